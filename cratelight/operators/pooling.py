@@ -24,9 +24,8 @@ def pool_scores(df: DataFrame, keys: list[str], score: str = "score") -> DataFra
 
 def pool_wide(df: DataFrame, key: str, label: str, score: str, classes: dict[str, str]) -> DataFrame:
     """One row per song, one mean-score column per class; ``classes`` maps label value to column name."""
-    return df.groupBy(key).agg(
-        *[F.avg(F.when(F.col(label) == value, F.col(score))).alias(name) for value, name in classes.items()]
-    )
+    pooled = df.groupBy(key).pivot(label, list(classes)).agg(F.avg(score))
+    return pooled.withColumnsRenamed(classes)
 
 
 def top_segments_mean(df: DataFrame, keys: list[str], score: str, n: int) -> DataFrame:

@@ -16,52 +16,54 @@ ACCURACY = 10_000
 def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]], accuracy: int = ACCURACY) -> DataFrame:
     """(name, q, value) for each column of ``df`` named in ``wanted`` and each of its quantiles; NULL and NaN skipped."""
     columns = list(wanted)
+    asked = [(c, float(q)) for c in columns for q in wanted[c]]
     scores = (
         df.select(*[F.col(c).cast("double").alias(c) for c in columns])
         .unpivot([], columns, "name", "x")
         .where(F.col("x").isNotNull() & ~F.isnan("x"))
     )
     margin = 3.0 / accuracy  # the sketch is off by at most 1 / accuracy
-    probs = sorted({p for qs in wanted.values() for q in qs for p in (max(q - margin, 0.0), min(q + margin, 1.0))})
-    slot = {p: i for i, p in enumerate(probs)}
+    probs = sorted({p for _, q in asked for p in (q - margin, q + margin) if 0 < p < 1}) or [0.5]
     sketch = scores.groupBy("name").agg(
         F.count("x").alias("n"), F.percentile_approx("x", F.array(*map(F.lit, probs)), accuracy).alias("_pts")
     )
 
-    def bracket(q: float) -> Column:
-        def edge(p: float, open_end: float) -> Column:
-            if not 0 < p < 1:
-                return F.lit(open_end)
-            # with few rows one rank weighs more than the margin, and keeping them all is cheap
-            return F.when(F.col("n") > accuracy, F.col("_pts")[slot[p]]).otherwise(F.lit(open_end))
+    def edge(p: float, open_end: float) -> Column:
+        if p not in probs:
+            return F.lit(open_end)
+        # with few rows one rank weighs more than the margin, and keeping them all is cheap
+        return F.when(F.col("n") > accuracy, F.col("_pts")[probs.index(p)]).otherwise(F.lit(open_end))
 
-        return F.struct(
-            F.lit(float(q)).alias("q"), edge(q - margin, float("-inf")).alias("lo"), edge(q + margin, float("inf")).alias("hi")
-        )
+    def bracket(slot: int, q: float) -> Column:
+        ends = edge(q - margin, float("-inf")).alias("lo"), edge(q + margin, float("inf")).alias("hi")
+        return F.struct(F.lit(slot).alias("slot"), *ends)
 
-    asked = F.coalesce(*[F.when(F.col("name") == c, F.array(*map(bracket, qs))) for c, qs in wanted.items()])
-    brackets = (
-        sketch.select("name", "n", F.explode(asked).alias("b"))
-        .select("name", "b.q", (F.col("b.q") * (F.col("n") - 1)).alias("rank"), "b.lo", "b.hi")
-    )
+    mine = F.coalesce(*[
+        F.when(F.col("name") == c, F.array(*[bracket(i, q) for i, (name, q) in enumerate(asked) if name == c])) for c in columns
+    ])
+    brackets = sketch.select("name", "n", F.explode(mine).alias("b")).select("name", "n", "b.*")
     # one row per wanted quantile, so the broadcast is bounded by the request
     counted = (
         scores.join(F.broadcast(brackets), "name")
         .where(F.col("x") <= F.col("hi"))
-        .groupBy("name", "q", "rank", F.when(F.col("x") >= F.col("lo"), F.col("x")).alias("v"))
+        .groupBy("slot", "n", F.when(F.col("x") >= F.col("lo"), F.col("x")).alias("v"))
         .agg(F.count("*").alias("c"))
     )
-    upto = Window.partitionBy("name", "q").orderBy(F.asc_nulls_first("v"))
-    placed = counted.withColumn("last", F.sum("c").over(upto) - 1).withColumn("first", F.col("last") - F.col("c") + 1)
+    upto = Window.partitionBy("slot", "n").orderBy(F.asc_nulls_first("v"))
+    names, qs = (F.array(*[F.lit(pair[i]) for pair in asked])[F.col("slot")] for i in (0, 1))
+    placed = (
+        counted.withColumn("last", F.sum("c").over(upto) - 1)
+        .withColumn("first", F.col("last") - F.col("c") + 1)
+        .withColumn("rank", qs * (F.col("n") - 1))
+    )
 
     def at(rank: Column) -> Column:
         return F.max(F.when(rank.between(F.col("first"), F.col("last")), F.col("v")))
 
-    return (
-        placed.groupBy("name", "q", "rank")
-        .agg(at(F.floor("rank")).alias("a"), at(F.ceil("rank")).alias("b"))
-        .select("name", "q", (F.col("a") + (F.col("b") - F.col("a")) * (F.col("rank") - F.floor("rank"))).alias("value"))
-    )
+    found = placed.groupBy("slot", "n").agg(at(F.floor("rank")).alias("a"), at(F.ceil("rank")).alias("b"))
+    rank = qs * (F.col("n") - 1)
+    value = F.col("a") + (F.col("b") - F.col("a")) * (rank - F.floor(rank))
+    return found.select(names.alias("name"), qs.alias("q"), value.alias("value"))
 
 
 def quantile_row(df: DataFrame, wanted: dict[str, list[float]]) -> tuple[DataFrame, dict[tuple[str, float], str]]:

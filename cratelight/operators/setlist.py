@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cratelight.functions.harmony import compatible_keys
 from cratelight.operators.pooling import running_sum
-from cratelight.operators.similarity import block_nearest, keep_nearest
+from cratelight.operators.similarity import Blocks, block_nearest, keep_nearest
 from cratelight.session import cut_lineage
 
 
@@ -24,8 +24,22 @@ def playable(tags: DataFrame, vectors: DataFrame) -> DataFrame:
     )
 
 
+CELL = ["cell_key", "cell_bpm"]
+
+
+def _cells_of_seeds(seeds: DataFrame, bpm_window: float, key_thresh: int) -> DataFrame:
+    bucket = _bucket(F.col("bpm"), bpm_window)
+    keys = seeds.withColumn("cell_key", F.explode(compatible_keys(F.col("initialkey"), key_thresh)))
+    return keys.withColumn("cell_bpm", F.explode(F.array(bucket - 1, bucket, bucket + 1)))
+
+
+def _cells_of_songs(songs: DataFrame, bpm_window: float) -> DataFrame:
+    return songs.withColumn("cell_key", F.col("initialkey")).withColumn("cell_bpm", _bucket(F.col("bpm"), bpm_window))
+
+
 def best_next(
-    seeds: DataFrame, songs: DataFrame, bpm_window: float = 5, key_thresh: int = 2, metric: str = "cosine"
+    seeds: DataFrame, songs: DataFrame, bpm_window: float = 5, key_thresh: int = 2, metric: str = "cosine",
+    seed_blocks: Blocks | None = None, song_blocks: Blocks | None = None,
 ) -> DataFrame:
     """(seed, sid, distance): the nearest song within tempo and key limits of each seed.
 
@@ -33,13 +47,10 @@ def best_next(
     an equality on tempo buckets and the key rule an equality on compatible keys, so songs only meet inside one
     (key, bucket) cell; seeds with nothing to play are absent.
     """
-    bucket = _bucket(F.col("bpm"), bpm_window)
-    cells = (
-        seeds.withColumn("cell_key", F.explode(compatible_keys(F.col("initialkey"), key_thresh)))
-        .withColumn("cell_bpm", F.explode(F.array(bucket - 1, bucket, bucket + 1)))
-    )
-    stock = songs.withColumn("cell_key", F.col("initialkey")).withColumn("cell_bpm", bucket)
-    return keep_nearest(block_nearest(cells, stock, 1, metric, ["cell_key", "cell_bpm"], bpm_window), 1).drop("rank")
+    cells, stock = _cells_of_seeds(seeds, bpm_window, key_thresh), _cells_of_songs(songs, bpm_window)
+    seed_blocks = seed_blocks or Blocks(cells, CELL, whole=seeds)
+    found = block_nearest(cells, stock, 1, metric, CELL, bpm_window, seed_blocks, song_blocks)
+    return keep_nearest(found, 1).drop("rank")
 
 
 def next_song(
@@ -68,9 +79,13 @@ def setlists(
     songs = cut_lineage(playable(tags, vectors))
     start = songs if seeds is None else songs.join(seeds.select("sid"), "sid", "left_semi")
     walks = start.select(F.col("sid").alias("seed"), F.array("sid").alias("excluded"), "bpm", "initialkey", "embedding")
+    song_blocks = Blocks(_cells_of_songs(songs, bpm_window), CELL)
+    seed_blocks = Blocks(_cells_of_seeds(walks, bpm_window, key_thresh), CELL, whole=walks)
     ended = []
     for _ in range(n_songs):
-        step = best_next(walks, songs, bpm_window, key_thresh, metric).select("seed", "sid")
+        if seed_blocks.counts is not None:  # the seeds have moved to other cells
+            seed_blocks = Blocks(_cells_of_seeds(walks, bpm_window, key_thresh), CELL, whole=walks)
+        step = best_next(walks, songs, bpm_window, key_thresh, metric, seed_blocks, song_blocks).select("seed", "sid")
         moved = walks.select("seed", "excluded").join(step, "seed", "left").join(songs, "sid", "left")
         moved = cut_lineage(
             moved.select("seed", F.when(F.col("sid").isNull(), F.col("excluded")).otherwise(F.array_append("excluded", F.col("sid"))).alias("excluded"),
@@ -106,7 +121,7 @@ def candidate_pool(tags: DataFrame, bpm_window: float = 5, key_thresh: int = 2)
     ]
     line = data.unionByName(edges[0]).unionByName(edges[1])
     summed = running_sum(
-        line, ["key"], _bucket(F.col("x"), bpm_window), ["x", "side", "initialkey", "bpm"], F.col("c"), "upto"
+        line, ["key"], _bucket(F.col("x") * 64, bpm_window), ["x", "side", "initialkey", "bpm"], F.col("c"), "upto"
     )
     pools = summed.where("side <> 1").groupBy("initialkey", "bpm").agg(
         (F.sum(F.when(F.col("side") == 2, F.col("upto")).otherwise(-F.col("upto"))) - 1).alias("n_candidates")

@@ -107,74 +107,86 @@ def _few(vectors: DataFrame, refs: list, n: int, metric: str, schema: str) -> Da
     return vectors.select("sid", "embedding").mapInArrow(scan, schema)
 
 
-def _cell_sizes(seeds: DataFrame, songs: DataFrame, cell: list[str]) -> DataFrame:
-    """Block counts per cell, so that one block of either side holds about ``BLOCK_BYTES`` of vectors."""
+class Blocks:
+    """How many blocks one side needs in each cell, so that a block holds about ``BLOCK_BYTES`` of vectors.
 
-    def blocks(df: DataFrame, name: str) -> DataFrame:
+    One look at the total comes first: a side that fits in one block as a whole needs no counting per cell.
+    """
+
+    def __init__(self, df: DataFrame, cell: list[str], whole: DataFrame | None = None):
         size = F.sum(F.size("embedding").cast("long") * 4)
-        return df.groupBy(*cell).agg(F.ceil(size / BLOCK_BYTES).cast("int").alias(name))
+        self.cell, self.counts = cell, None
+        total = (df if whole is None else whole).agg(size).first()[0] or 0
+        if total > BLOCK_BYTES:
+            counts = df.groupBy(*cell).agg(F.ceil(size / BLOCK_BYTES).cast("int").alias("n"))
+            local = bounded_local(counts, MANY_CELLS)
+            self.counts = counts if local is None else F.broadcast(local)
 
-    sizes = blocks(seeds, "_seed_blocks").join(blocks(songs, "_song_blocks"), cell)
-    local = bounded_local(sizes, MANY_CELLS)
-    return sizes if local is None else F.broadcast(local)
+    def add(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` with the number of blocks of its cell; rows of cells this side does not have are left out."""
+        if self.counts is None:
+            return df.withColumn(name, F.lit(1))
+        return df.join(self.counts.withColumnRenamed("n", name), self.cell)
 
 
 def block_nearest(
-    seeds: DataFrame, songs: DataFrame, n: int, metric: str, cell: list[str], bpm_window: float | None = None
+    seeds: DataFrame, songs: DataFrame, n: int, metric: str, cell: list[str], bpm_window: float | None = None,
+    seed_blocks: Blocks | None = None, song_blocks: Blocks | None = None,
 ) -> DataFrame:
     """(seed, sid, distance): the ``n`` nearest songs of every seed among songs of the same cell.
 
     seeds: seed, excluded array of sids, embedding, the cell columns (a seed may stand in several cells) and bpm if
     ``bpm_window`` is given. songs: sid, embedding, the cell columns (one cell each) and bpm.
     """
-    sizes = _cell_sizes(seeds, songs, cell)
+    seed_blocks, song_blocks = seed_blocks or Blocks(seeds, cell), song_blocks or Blocks(songs, cell)
+    tempo = ["bpm"] if bpm_window is not None else []
     id_type = _id_type(songs)
-    seed_blocks = seeds.join(sizes, cell).select(
+
+    def both(df: DataFrame) -> DataFrame:
+        return song_blocks.add(seed_blocks.add(df, "_n_sb"), "_n_cb")
+
+    left = both(seeds).select(
         *cell,
-        F.pmod(F.xxhash64("seed"), F.col("_seed_blocks")).cast("int").alias("_sb"),
-        F.explode(F.sequence(F.lit(0), F.col("_song_blocks") - 1)).alias("_cb"),
-        "seed", "embedding", "excluded", *(["bpm"] if bpm_window is not None else []),
+        F.pmod(F.xxhash64("seed"), F.col("_n_sb")).cast("int").alias("_sb"),
+        F.explode(F.sequence(F.lit(0), F.col("_n_cb") - 1)).alias("_cb"),
+        "seed", "embedding", "excluded", *tempo,
     )
-    song_blocks = songs.join(sizes, cell).select(
-        *cell,
-        F.explode(F.sequence(F.lit(0), F.col("_seed_blocks") - 1)).alias("_sb"),
-        F.pmod(F.xxhash64("sid"), F.col("_song_blocks")).cast("int").alias("_cb"),
-        # fresh column ids, since seeds and songs may come from one frame
-        *[F.col(c).alias(c) for c in ("sid", "embedding", *(["bpm"] if bpm_window is not None else []))],
+    # fresh column ids, since seeds and songs may come from one frame
+    right = both(songs).select(
+        *[F.col(c).alias(c) for c in cell],
+        F.explode(F.sequence(F.lit(0), F.col("_n_sb") - 1)).alias("_sb"),
+        F.pmod(F.xxhash64("sid"), F.col("_n_cb")).cast("int").alias("_cb"),
+        *[F.col(c).alias(c) for c in ("sid", "embedding", *tempo)],
     )
     group = [*cell, "_sb", "_cb"]
 
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+    def meet(seed_rows: pa.Table, song_rows: pa.Table) -> pa.Table:
         best = _Running(n)
-        seed_type, song_type = left.schema.field("seed").type, right.schema.field("sid").type
-        seed_ids = left["seed"].combine_chunks() if isinstance(left["seed"], pa.ChunkedArray) else left["seed"]
-        if left.num_rows and right.num_rows:
-            right = right.sort_by("sid")
-            ids = right["sid"].to_numpy(zero_copy_only=False) if isinstance(right["sid"], pa.Array) else right["sid"].to_numpy()
-            candidates = _matrix(right["embedding"])
-            song_bpm = right["bpm"].to_numpy() if bpm_window is not None else None
-            for at in range(0, left.num_rows, CHUNK_ROWS):
-                part = left.slice(at, CHUNK_ROWS)
+        seed_ids, song_type = seed_rows["seed"].combine_chunks(), song_rows.schema.field("sid").type
+        if seed_rows.num_rows and song_rows.num_rows:
+            song_rows = song_rows.sort_by("sid")
+            ids, candidates = song_rows["sid"].to_numpy(), _matrix(song_rows["embedding"])
+            song_bpm = song_rows["bpm"].to_numpy() if tempo else None
+            for at in range(0, seed_rows.num_rows, CHUNK_ROWS):
+                part = seed_rows.slice(at, CHUNK_ROWS)
                 matrix = _matrix(part["embedding"])
-                bpm = part["bpm"].to_numpy() if bpm_window is not None else None
+                bpm = part["bpm"].to_numpy() if tempo else None
                 excluded = part["excluded"].combine_chunks()
                 skip = excluded.flatten().to_numpy(zero_copy_only=False)
                 skip_row = np.repeat(np.arange(part.num_rows), excluded.value_lengths().to_numpy(zero_copy_only=False))
                 for start in range(0, len(ids), CHUNK_ROWS * 4):
-                    stop = start + CHUNK_ROWS * 4
-                    chunk = ids[start:stop]
-                    dist = np.round(_distances(matrix, candidates[start:stop], metric), DECIMALS)
-                    if bpm_window is not None:
-                        near = song_bpm[start:stop]
-                        outside = (near[None, :] < (bpm - bpm_window)[:, None]) | (near[None, :] > (bpm + bpm_window)[:, None])
-                        dist[outside] = np.inf
+                    chunk = ids[start : start + CHUNK_ROWS * 4]
+                    dist = np.round(_distances(matrix, candidates[start : start + len(chunk)], metric), DECIMALS)
+                    if tempo:
+                        near = song_bpm[None, start : start + len(chunk)]
+                        dist[(near < (bpm - bpm_window)[:, None]) | (near > (bpm + bpm_window)[:, None])] = np.inf
                     slot = np.minimum(np.searchsorted(chunk, skip), len(chunk) - 1)
                     hit = chunk[slot] == skip
                     dist[skip_row[hit], slot[hit]] = np.inf
                     best.add(dist, chunk, at)
-        return best.table(seed_ids.cast(seed_type), song_type)
+        return best.table(seed_ids, song_type)
 
-    return seed_blocks.groupBy(*group).cogroup(song_blocks.groupBy(*group)).applyInArrow(
+    return left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(
         meet, f"seed {_id_type(seeds, 'seed')}, sid {id_type}, distance double"
     )
 
@@ -197,14 +209,19 @@ def nearest(vectors: DataFrame, refs: DataFrame, n: int = 5, metric: str = "cosi
     vectors = vectors.select("sid", "embedding").where(F.size("embedding") > 0)
     refs = refs.select("sid", "embedding").where(F.size("embedding") > 0)
     few = refs.limit(FEW_REFERENCES + 1).collect()
+    if len(few) > FEW_REFERENCES:
+        return nearest_of_many(vectors, refs, n, metric)
     schema = f"seed {_id_type(refs)}, sid {_id_type(vectors)}, distance double"
-    if not few:
-        return keep_nearest(vectors.sparkSession.createDataFrame([], schema), n)
-    if len(few) <= FEW_REFERENCES:
-        return keep_nearest(_few(vectors, few, n, metric, schema), n)
+    found = _few(vectors, few, n, metric, schema) if few else vectors.sparkSession.createDataFrame([], schema)
+    return keep_nearest(found, n)
+
+
+def nearest_of_many(vectors: DataFrame, refs: DataFrame, n: int = 5, metric: str = "cosine") -> DataFrame:
+    """``nearest`` by blocks, for any number of references; the work is the product of both sides."""
     cell = F.lit(0).alias("_cell")
-    seeds = refs.select(F.col("sid").alias("seed"), F.array("sid").alias("excluded"), "embedding", cell)
-    return keep_nearest(block_nearest(seeds, vectors.select("*", cell), n, metric, ["_cell"]), n)
+    sides = [df.select("sid", "embedding", cell).where(F.size("embedding") > 0) for df in (refs, vectors)]
+    seeds = sides[0].withColumnRenamed("sid", "seed").withColumn("excluded", F.array("seed"))
+    return keep_nearest(block_nearest(seeds, sides[1], n, metric, ["_cell"]), n)
 
 
 def with_tags(neighbours: DataFrame, tags: DataFrame, fields: tuple[str, ...] = ("title", "artist", "bpm", "initialkey")) -> DataFrame:

@@ -57,17 +57,17 @@ def null_filter(spark, d):
     return views.holed_tags(spark, d).where("bpm IS NULL").dropna(subset=["title"]).select("sid", "title")
 
 
-@query("B15 C6", "mood", "SELECT sid, danceable, happy FROM mood WHERE danceable < 0.1 AND happy >= 0.5")
+@query("B15 C6", "mood", "SELECT sid, danceable, happy FROM mood WHERE danceable < 0.5 AND happy >= 0.5")
 def two_column_filter(spark, d):
-    return views.mood(spark, d).where("danceable < 0.1 AND happy >= 0.5").select("sid", "danceable", "happy")
+    return views.mood(spark, d).where("danceable < 0.5 AND happy >= 0.5").select("sid", "danceable", "happy")
 
 
 @query("B16 B9 B8 C6", "tags mood genres", """SELECT t.*, m.danceable, m.happy, g.electronic___house FROM tags t JOIN mood m USING (sid) JOIN genres g USING (sid)
-    WHERE bpm BETWEEN 95 AND 135 AND initialkey IN ('1A', '2A', '3A', '4B', '5B', '6A') AND danceable BETWEEN 0.05 AND 0.5
+    WHERE bpm BETWEEN 95 AND 135 AND initialkey IN ('1A', '2A', '3A', '4B', '5B', '6A') AND danceable BETWEEN 0.4 AND 0.6
     AND happy BETWEEN 0.2 AND 0.8 AND electronic___house BETWEEN 0.1 AND 0.9""")
 def song_filter(spark, d):
     return scenario.filter_songs(
-        views.tags(spark, d), views.mood(spark, d), views.genres(spark, d), {"danceable": (0.05, 0.5), "happy": (0.2, 0.8)},
+        views.tags(spark, d), views.mood(spark, d), views.genres(spark, d), {"danceable": (0.4, 0.6), "happy": (0.2, 0.8)},
         {"electronic___house": (0.1, 0.9)}, (95, 135), ["1A", "2A", "3A", "4B", "5B", "6A"],
     )
 

@@ -66,11 +66,11 @@ def scenario_club_house(spark, d):
 
 
 @query("D7", "mood", " UNION ALL ".join(
-    f"SELECT '{m}' AS name, {q}::DOUBLE AS q, round(quantile_cont({m}, {q}), 9) AS value FROM mood" for m in MOODS for q in (0.0, 0.2, 0.5, 0.75, 1.0)
+    f"SELECT '{m}' AS name, {q}::DOUBLE AS q, round(quantile_cont({m}, {q}), 12) AS value FROM mood" for m in MOODS for q in (0.0, 0.2, 0.5, 0.75, 1.0)
 ))
 def mood_quantiles(spark, d):
     found = quantiles.exact_quantiles(views.mood(spark, d), {m: [0.0, 0.2, 0.5, 0.75, 1.0] for m in MOODS})
-    return found.select("name", "q", F.round("value", 9).alias("value"))
+    return found.select("name", "q", F.round("value", 12).alias("value"))
 
 
 @query("D7", sql="""SELECT 'l_extendedprice' AS name, q, round(v, 6) AS value FROM (
@@ -199,11 +199,11 @@ def null_counts(spark, d):
     return stats.null_counts(views.holed_tags(spark, d), ["bpm", "title", "artist"])
 
 
-@query("D10 B15", "mood", """SELECT round(avg(CASE WHEN danceable < 0.08 THEN 1.0 ELSE 0 END), 6) AS low_dance,
-    round(avg(CASE WHEN danceable < 0.1 AND happy >= 0.45 THEN 1.0 ELSE 0 END), 6) AS calm_and_happy FROM mood""")
+@query("D10 B15", "mood", """SELECT round(avg(CASE WHEN danceable < 0.42 THEN 1.0 ELSE 0 END), 6) AS low_dance,
+    round(avg(CASE WHEN danceable < 0.5 AND happy >= 0.45 THEN 1.0 ELSE 0 END), 6) AS calm_and_happy FROM mood""")
 def fraction_pred(spark, d):
     shares = stats.fraction(views.mood(spark, d), {
-        "low_dance": F.col("danceable") < 0.08, "calm_and_happy": F.expr("danceable < 0.1 AND happy >= 0.45"),
+        "low_dance": F.col("danceable") < 0.42, "calm_and_happy": F.expr("danceable < 0.5 AND happy >= 0.45"),
     })
     return shares.select(*[F.round(c, 6).alias(c) for c in shares.columns])
 
@@ -246,10 +246,10 @@ def top_songs(spark, d):
     return ranking.top_songs(views.genres(spark, d), views.tags(spark, d), "rock___funk", 10)
 
 
-@query("F1", "mood tags", """SELECT sid, title, artist, round_even(danceable, 4) AS danceable FROM (
-    SELECT sid, danceable FROM mood WHERE danceable IS NOT NULL ORDER BY danceable, sid LIMIT 10) LEFT JOIN tags USING (sid)""")
+@query("F1", "mood tags", """SELECT sid, title, artist, round_even(arousal, 4) AS arousal FROM (
+    SELECT sid, arousal FROM mood WHERE arousal IS NOT NULL ORDER BY arousal, sid LIMIT 10) LEFT JOIN tags USING (sid)""")
 def bottom_songs(spark, d):
-    return ranking.top_songs(views.mood(spark, d), views.tags(spark, d), "danceable", 10, ascending=True)
+    return ranking.top_songs(views.mood(spark, d), views.tags(spark, d), "arousal", 10, ascending=True)
 
 
 @query("F2 F3 C13", "mood tags", """SELECT sid, title, artist, bpm, initialkey, happy FROM (

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cratelight.functions.vectors import METRICS
@@ -14,7 +13,6 @@ from cratelight.plans.registry import query
 from cratelight.plans.views import GENRES
 from cratelight.sources.tables import scan
 
-_DOT = "list_dot_product({0}, {1})"
 _COSINE = "round(greatest(0.0, 1 - list_dot_product({0}, {1}) / sqrt(list_dot_product({0}, {0}) * list_dot_product({1}, {1}))), 6)"
 _EUCLID = "round(list_distance({0}, {1}), 6)"
 
@@ -39,31 +37,33 @@ def knn_euclid(spark, d):
     return similarity.with_tags(similarity.nearest(vectors, refs, 5, "euclidean"), views.tags(spark, d))
 
 
-_NEIGHBOURS = """SELECT l_partkey AS sid1, lead(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS sid2 FROM lineitem"""
-
-
-def _playlist_neighbours(spark, d):
-    """Distinct pairs of songs that follow each other in a playlist; an order is a playlist, its lines the tracks."""
-    items = scan(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
-    following = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    pairs = items.select(F.col("l_partkey").alias("a"), F.lead("l_partkey").over(following).alias("b"))
-    return pairs.where("a <> b").select(F.least("a", "b").alias("sid1"), F.greatest("a", "b").alias("sid2")).distinct()
+def _requested_pairs(spark, d):
+    """Pairs of songs to compare: each line item asks for its part and its supplier's number."""
+    items = scan(spark, d, "lineitem", F.col("l_partkey").alias("a"), F.col("l_suppkey").alias("b"))
+    return items.where("a <> b").select(F.least("a", "b").alias("sid1"), F.greatest("a", "b").alias("sid2")).distinct()
 
 
 def _pairs_sql(metric: str) -> str:
-    return f"""WITH p AS (SELECT DISTINCT least(sid1, sid2) AS sid1, greatest(sid1, sid2) AS sid2 FROM ({_NEIGHBOURS}) WHERE sid1 <> sid2)
+    return f"""WITH p AS (SELECT DISTINCT least(l_partkey, l_suppkey) AS sid1, greatest(l_partkey, l_suppkey) AS sid2 FROM lineitem WHERE l_partkey <> l_suppkey)
     SELECT sid1, t1.title AS title1, t1.artist AS artist1, sid2, t2.title AS title2, t2.artist AS artist2, {metric.format('v1.embedding', 'v2.embedding')} AS score
     FROM p JOIN vectors v1 ON v1.sid = sid1 JOIN vectors v2 ON v2.sid = sid2 LEFT JOIN tags t1 ON t1.sid = sid1 LEFT JOIN tags t2 ON t2.sid = sid2"""
 
 
 @query("C12 C11 H17 F3", "vectors tags", _pairs_sql(_COSINE))
 def compare_songs(spark, d):
-    return similarity.compare_songs(_playlist_neighbours(spark, d), views.vectors(spark, d), views.tags(spark, d), "cosine")
+    return similarity.compare_songs(_requested_pairs(spark, d), views.vectors(spark, d), views.tags(spark, d), "cosine")
 
 
 @query("C12 C11 H17", "vectors tags", _pairs_sql(_EUCLID))
 def compare_songs_euclid(spark, d):
-    return similarity.compare_songs(_playlist_neighbours(spark, d), views.vectors(spark, d), views.tags(spark, d), "euclidean")
+    return similarity.compare_songs(_requested_pairs(spark, d), views.vectors(spark, d), views.tags(spark, d), "euclidean")
+
+
+@query("C11 I1 E2", "vectors", f"""WITH n AS (SELECT r.sid AS seed, v.sid, {_EUCLID.format('r.embedding', 'v.embedding')} AS distance FROM vectors v JOIN vectors r ON v.sid <> r.sid)
+    SELECT seed, sid, distance, rank::INTEGER AS rank FROM (SELECT *, row_number() OVER (PARTITION BY seed ORDER BY distance, sid) AS rank FROM n) WHERE rank <= 3""")
+def nearest_of_every_song(spark, d):
+    vectors = views.vectors(spark, d)
+    return similarity.nearest_of_many(vectors, vectors, 3, "euclidean")
 
 
 _KEY_STEPS = """(CASE WHEN abs(a.kn - b.kn) = 11 THEN 1 ELSE abs(a.kn - b.kn) END + CASE WHEN a.kl <> b.kl THEN 1 ELSE 0 END)"""

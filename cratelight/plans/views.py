@@ -10,8 +10,17 @@ from cratelight.operators.align import align_outer
 from cratelight.sources.tables import scan
 
 # Which column of the given tables stands for which mood or genre.
-EVENT_MOODS = {"click": "danceable", "error": "aggressive", "purchase": "party", "signup": "approachable", "view": "engaging"}
-ITEM_MOODS = {"acoustic": "l_discount * 10", "happy": "l_tax * 12.5", "sad": "l_quantity / 50"}
+EVENT_MOODS = {"click": "electronic", "error": "arousal", "purchase": "valence", "signup": "relaxed", "view": "bright"}
+ITEM_MOODS = {
+    "danceable": "l_quantity / 50",
+    "aggressive": "l_discount * 10",
+    "party": "l_tax * 12.5",
+    "approachable": "l_linenumber / 7.0e0",
+    "engaging": "(l_suppkey % 10) / 9.0e0",
+    "acoustic": "(l_orderkey % 16) / 15.0e0",
+    "happy": "(l_orderkey % 7) / 6.0e0",
+    "sad": "(l_orderkey % 9) / 8.0e0",
+}
 MOODS = [*EVENT_MOODS.values(), *ITEM_MOODS]
 FAMILIES = {"A": "electronic", "N": "funk__soul", "R": "rock"}
 SUBGENRES = {1: "disco", 2: "house", 3: "funk", 4: "techno", 5: "boogie", 6: "samba", 7: "zouk"}
@@ -49,7 +58,7 @@ def event_moods(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def item_moods(spark: SparkSession, folder: str) -> DataFrame:
-    items = scan(spark, folder, "lineitem", "l_partkey", "l_quantity", "l_discount", "l_tax")
+    items = scan(spark, folder, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
     return items.groupBy(F.col("l_partkey").alias("sid")).agg(
         *[F.round(F.avg(F.expr(score)), 9).alias(name) for name, score in ITEM_MOODS.items()]
     )
