@@ -25,8 +25,8 @@ WHEEL = [f"{number}{letter}" for letter in "AB" for number in range(1, 13)]
 
 def camelot(key: Column, scale: Column) -> Column:
     """Camelot code of a key such as ``G`` with a scale such as ``minor``; NULL when unknown."""
-    table = F.create_map(*[F.lit(part) for pair in CAMELOT.items() for part in pair])
-    return F.try_element_at(table, F.concat(key, scale))
+    table = ", ".join(f"'{name}', '{code}'" for name, code in CAMELOT.items())
+    return F.try_element_at(F.expr(f"map({table})"), F.concat(key, scale))
 
 
 def key_distance(left: Column, right: Column) -> Column:
@@ -52,8 +52,8 @@ def _steps(left: str, right: str) -> int:
 
 def compatible_keys(key: Column, thresh: int = 2) -> Column:
     """All Camelot codes that match ``key``, as an array; NULL for a missing or unknown key."""
-    pairs = []
+    rows = []
     for code in WHEEL:
-        matches = [other for other in WHEEL if _steps(code, other) < thresh]
-        pairs += [F.lit(code), F.array(*[F.lit(other) for other in matches])]
-    return F.try_element_at(F.create_map(*pairs), key)
+        matches = ", ".join(f"'{other}'" for other in WHEEL if _steps(code, other) < thresh)
+        rows.append(f"'{code}', array({matches})")
+    return F.try_element_at(F.expr(f"map({', '.join(rows)})"), key)

@@ -48,8 +48,9 @@ def number_words(label: Column) -> Column:
 
     ``73`` -> ``seventy-three``, ``80s`` -> ``eighties``, ``disco`` -> ``disco``.
     """
-    words = F.array(*[F.lit(_number_word(n)) for n in range(100)])
-    plurals = F.array(*[F.lit(_plural(_number_word(n))) for n in range(100)])
+    words, plurals = (
+        F.expr("array(" + ", ".join(f"'{form(_number_word(n))}'" for n in range(100)) + ")") for form in (str, _plural)
+    )
     number = F.regexp_extract(label, r"^([0-9]{1,2})s?$", 1)
     slot = number.try_cast("int") + 1
     return (

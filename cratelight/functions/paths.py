@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def strip_file_url(url: Column) -> Column:
@@ -19,7 +20,7 @@ def percent_decode(text: Column) -> Column:
     return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(text: pd.Series) -> pd.Series:
     """Unicode NFKC form; Spark has no built-in for it. ASCII values are already normal and pass untouched."""
     return text.map(
