@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from cratelight.functions.arrays import segment_start
 
+FEW_CLASSES = 32
+
 
 def pool_scores(df: DataFrame, keys: list[str], score: str = "score") -> DataFrame:
     """Mean, population standard deviation and count of the segment scores per ``keys``."""
@@ -23,9 +25,16 @@ def pool_scores(df: DataFrame, keys: list[str], score: str = "score") -> DataFra
 
 
 def pool_wide(df: DataFrame, key: str, label: str, score: str, classes: dict[str, str]) -> DataFrame:
-    """One row per song, one mean-score column per class; ``classes`` maps label value to column name."""
-    pooled = df.groupBy(key).pivot(label, list(classes)).agg(F.avg(score))
-    return pooled.withColumnsRenamed(classes)
+    """One row per song, one mean-score column per class; ``classes`` maps label value to column name.
+
+    Few classes are averaged conditionally in one pass, so unused ones are pruned; many go through a pivot, which
+    averages (song, class) rows first and keeps the generated code small.
+    """
+    if len(classes) > FEW_CLASSES:
+        return df.groupBy(key).pivot(label, list(classes)).agg(F.avg(score)).withColumnsRenamed(classes)
+    return df.groupBy(key).agg(
+        *[F.avg(F.when(F.col(label) == value, F.col(score))).alias(name) for value, name in classes.items()]
+    )
 
 
 def top_segments_mean(df: DataFrame, keys: list[str], score: str, n: int) -> DataFrame:
@@ -67,7 +76,7 @@ def running_sum(
     ``slice_by`` must not decrease along ``order``. Rows are summed inside (keys, slice); slice totals are combined
     map-side into one small row each and turned into offsets.
     """
-    sliced = df.withColumn("_slice", slice_by).withColumn("_value", value)
+    sliced = df.withColumns({"_slice": slice_by, "_value": value})
     group = [*keys, "_slice"]
     inside = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -86,23 +95,29 @@ def running_sum(
     )
 
 
-def time_slice(df: DataFrame, column: str, slices: int = 256) -> Column:
-    """Equal-width slice number of a numeric or timestamp column; NULL sorts into slice -1."""
+def _as_number(df: DataFrame, column: str) -> Column:
+    """A numeric or timestamp column as a double that keeps its order."""
     kind = dict(df.dtypes)[column]
     if kind == "timestamp_ntz":  # wall-clock fields keep the order; a cast would follow daylight saving
         number = F.unix_date(F.to_date(column)) * 86400.0 + F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
     else:
         number = F.unix_micros(column) if kind == "timestamp" else F.col(column)
-    bounds = df.select(number.cast("double").alias("x")).agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi")).alias("b")).scalar()
-    width = (bounds.getField("hi") - bounds.getField("lo")) / slices
-    slot = F.floor((number.cast("double") - bounds.getField("lo")) / F.nullif(width, F.lit(0.0)))
-    return F.when(F.col(column).isNull(), F.lit(-1)).otherwise(F.coalesce(slot, F.lit(0))).cast("int")
+    return number.cast("double")
 
 
 def positions(df: DataFrame, keys: list[str], order: list[str], name: str = "pos", slices: int = 256) -> DataFrame:
-    """0-based position of each row inside its ``keys``, along ``order`` (which must be a total order)."""
-    numbered = running_sum(df, keys, time_slice(df, order[0], slices), order, F.lit(1).cast("long"), name)
-    return numbered.withColumn(name, F.col(name) - 1)
+    """0-based position of each row inside its ``keys``, along ``order`` (which must be a total order).
+
+    The first order column, a number or timestamp, is cut into ``slices`` of equal width between its extremes.
+    """
+    number = _as_number(df, order[0])
+    bounds = df.select(number.alias("x")).agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
+    width = (F.col("_bounds.hi") - F.col("_bounds.lo")) / slices
+    slot = F.coalesce(F.floor((number - F.col("_bounds.lo")) / F.nullif(width, F.lit(0.0))), F.lit(0))
+    slice_by = F.when(F.col(order[0]).isNull(), F.lit(-1)).otherwise(slot).cast("int")
+    bounded = df.withColumn("_bounds", bounds)
+    numbered = running_sum(bounded, keys, slice_by, order, F.lit(1).cast("long"), name)
+    return numbered.select(*df.columns, (F.col(name) - 1).alias(name))
 
 
 def timeline(df: DataFrame, pos: str = "pos") -> DataFrame:

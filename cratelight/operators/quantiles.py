@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 ACCURACY = 10_000
 
 
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]], accuracy: int = ACCURACY) -> DataFrame:
     """(name, q, value) for each column of ``df`` named in ``wanted`` and each of its quantiles; NULL and NaN skipped."""
     columns = list(wanted)
@@ -28,19 +33,17 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]], accuracy: int
         F.count("x").alias("n"), F.percentile_approx("x", F.array(*map(F.lit, probs)), accuracy).alias("_pts")
     )
 
-    def edge(p: float, open_end: float) -> Column:
+    def edge(p: float, open_end: str) -> str:
         if p not in probs:
-            return F.lit(open_end)
+            return f"double('{open_end}')"
         # with few rows one rank weighs more than the margin, and keeping them all is cheap
-        return F.when(F.col("n") > accuracy, F.col("_pts")[probs.index(p)]).otherwise(F.lit(open_end))
+        return f"if(n > {accuracy}, _pts[{probs.index(p)}], double('{open_end}'))"
 
-    def bracket(slot: int, q: float) -> Column:
-        ends = edge(q - margin, float("-inf")).alias("lo"), edge(q + margin, float("inf")).alias("hi")
-        return F.struct(F.lit(slot).alias("slot"), *ends)
+    def bracket(slot: int, q: float) -> str:
+        return f"named_struct('slot', {slot}, 'lo', {edge(q - margin, '-Infinity')}, 'hi', {edge(q + margin, 'Infinity')})"
 
-    mine = F.coalesce(*[
-        F.when(F.col("name") == c, F.array(*[bracket(i, q) for i, (name, q) in enumerate(asked) if name == c])) for c in columns
-    ])
+    mine = {c: ", ".join(bracket(i, q) for i, (name, q) in enumerate(asked) if name == c) for c in columns}
+    mine = F.expr("CASE name " + " ".join(f"WHEN {_text(c)} THEN array({structs})" for c, structs in mine.items()) + " END")
     brackets = sketch.select("name", "n", F.explode(mine).alias("b")).select("name", "n", "b.*")
     # one row per wanted quantile, so the broadcast is bounded by the request
     counted = (
@@ -50,7 +53,8 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]], accuracy: int
         .agg(F.count("*").alias("c"))
     )
     upto = Window.partitionBy("slot", "n").orderBy(F.asc_nulls_first("v"))
-    names, qs = (F.array(*[F.lit(pair[i]) for pair in asked])[F.col("slot")] for i in (0, 1))
+    names = F.expr(f"array({', '.join(_text(c) for c, _ in asked)})[slot]")
+    qs = F.expr(f"array({', '.join(f'{q!r}d' for _, q in asked)})[slot]")
     placed = (
         counted.withColumn("last", F.sum("c").over(upto) - 1)
         .withColumn("first", F.col("last") - F.col("c") + 1)
@@ -69,10 +73,7 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]], accuracy: int
 def quantile_row(df: DataFrame, wanted: dict[str, list[float]]) -> tuple[DataFrame, dict[tuple[str, float], str]]:
     """The same quantiles as one row, with the field name of each (column, q)."""
     fields = {(c, float(q)): f"t{i}" for i, (c, q) in enumerate((c, q) for c, qs in wanted.items() for q in qs)}
-    picks = [
-        F.max(F.when((F.col("name") == c) & (F.col("q") == q), F.col("value"))).alias(field)
-        for (c, q), field in fields.items()
-    ]
+    picks = [F.expr(f"max(value) FILTER (WHERE name = {_text(c)} AND q = {q!r}d) AS {field}") for (c, q), field in fields.items()]
     return exact_quantiles(df, wanted).agg(*picks), fields
 
 
@@ -81,16 +82,16 @@ def describe(df: DataFrame, column: str, decimals: int = 3) -> DataFrame:
     quartiles, fields = quantile_row(df, {column: [0.25, 0.5, 0.75]})
     x = F.col(column).cast("double")
     row = F.struct(*[F.col(field) for field in fields.values()])
-    cuts = quartiles.select(row).scalar()
+    cuts = quartiles.select(row.alias("_cuts")).scalar()
     plain = df.where(x.isNotNull() & ~F.isnan(x)).agg(
         F.count("*").alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
         F.min(x).alias("min"), F.max(x).alias("max"),
     )
-    return plain.select(
+    return plain.withColumn("_cuts", cuts).select(
         "count",
         *[F.bround(c, decimals).alias(c) for c in ("mean", "std", "min")],
         *[
-            F.bround(cuts.getField(field), decimals).alias(f"p{int(q * 100)}")
+            F.bround(F.col("_cuts").getField(field), decimals).alias(f"p{int(q * 100)}")
             for (_, q), field in fields.items()
         ],
         F.bround("max", decimals).alias("max"),

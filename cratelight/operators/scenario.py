@@ -81,10 +81,11 @@ def passing(scores: DataFrame, rules: list[Rule], decimals: int | None = 3) -> D
     cuts = row.select(F.struct(*row.columns)).scalar()
 
     def holds(rule: Rule):
-        cut = cuts.getField(fields[rule.column, float(rule.percentile)])
+        cut = F.col("_cuts").getField(fields[rule.column, float(rule.percentile)])
         return COMPARE[rule.op](F.col(rule.column), F.bround(cut, decimals) if decimals is not None else cut)
 
-    return scores.where(reduce(and_, map(holds, rules)))
+    # one column holds the thresholds, so their plan is optimised once and not once per rule
+    return scores.withColumn("_cuts", cuts).where(reduce(and_, map(holds, rules))).drop("_cuts")
 
 
 def scenario(scores: DataFrame, tags: DataFrame, rules: list[Rule]) -> DataFrame:

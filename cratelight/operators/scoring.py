@@ -79,7 +79,7 @@ def minmax_scale(df: DataFrame, columns: list[str], fitted: DataFrame | None = N
     ranges = source.agg(F.struct(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("lo", F.min), ("hi", F.max))]).alias("r")).scalar()
 
     def scaled(c: str) -> Column:
-        low, high = ranges.getField(f"lo_{c}"), ranges.getField(f"hi_{c}")
+        low, high = F.col("_ranges").getField(f"lo_{c}"), F.col("_ranges").getField(f"hi_{c}")
         return (F.col(c) - low) / F.when(high > low, high - low).otherwise(1.0)
 
-    return df.withColumns({f"{c}_scaled": scaled(c) for c in columns})
+    return df.withColumn("_ranges", ranges).withColumns({f"{c}_scaled": scaled(c) for c in columns}).drop("_ranges")

@@ -71,10 +71,11 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Counts in ``bins`` equal-width bins between minimum and maximum; the last bin is closed on the right."""
     values = df.select(F.col(column).cast("double").alias("x")).where("x IS NOT NULL AND NOT isnan(x)")
     bounds = values.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi")).alias("b")).scalar()
-    lo, hi = bounds.getField("lo"), bounds.getField("hi")
+    lo, hi = F.col("_b.lo"), F.col("_b.hi")
     slot = F.least(F.floor((F.col("x") - lo) / F.nullif(hi - lo, F.lit(0.0)) * bins), F.lit(bins - 1))
-    counts = values.groupBy(F.coalesce(slot, F.lit(0)).cast("int").alias("bin")).agg(F.count("*").alias("c"))
-    every_bin = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    placed = values.withColumn("_b", bounds).select(F.coalesce(slot, F.lit(0)).cast("int").alias("bin"))
+    counts = placed.groupBy("bin").agg(F.count("*").alias("c"))
+    every_bin = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"), bounds.alias("_b"))
     width = (hi - lo) / bins
     return every_bin.join(counts, "bin", "left").select(
         "bin",

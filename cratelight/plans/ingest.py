@@ -11,7 +11,7 @@ from cratelight.plans.registry import query
 from cratelight.session import scratch_path
 from cratelight.sources import documents, library_xml, tables
 from cratelight.sources.audio_files import existing_only
-from cratelight.sources.tables import scan
+from cratelight.plans.views import scan
 from cratelight.streaming.ingest import ingest_stream, new_content
 
 _CONTENT = "SELECT md5(text) AS sid, min('/' || lang || '/' || source || '/' || lpad(doc_id::VARCHAR, 12, '0')) AS file_path FROM documents"

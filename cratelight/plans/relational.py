@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from cratelight.operators import align, scenario, schema, stats
 from cratelight.plans import views
 from cratelight.plans.registry import query
-from cratelight.plans.views import GENRES
-from cratelight.sources.tables import scan
+from cratelight.plans.views import GENRES, scan
 
 
 @query("A1 B1 B2 D12", "tags", "SELECT sid, title, artist, bpm FROM tags")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cratelight.functions import harmony, labels, paths, tags
 from cratelight.plans import views
 from cratelight.plans.registry import query
-from cratelight.sources.tables import scan
+from cratelight.plans.views import scan
 
 
 @query("H1 B4", sql="""WITH l AS (SELECT l_orderkey, list_sort(list_distinct(list(l_returnflag))) AS v FROM lineitem GROUP BY l_orderkey)

@@ -10,8 +10,7 @@ from cratelight.operators import projection, scoring, setlist, similarity, stats
 from cratelight.operators.pooling import vector_means
 from cratelight.plans import views
 from cratelight.plans.registry import query
-from cratelight.plans.views import GENRES
-from cratelight.sources.tables import scan
+from cratelight.plans.views import GENRES, scan
 
 _COSINE = "round(greatest(0.0, 1 - list_dot_product({0}, {1}) / sqrt(list_dot_product({0}, {0}) * list_dot_product({1}, {1}))), 6)"
 _EUCLID = "round(list_distance({0}, {1}), 6)"

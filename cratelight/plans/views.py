@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cratelight.operators.pooling import pool_wide
 from cratelight.operators.align import align_outer
-from cratelight.sources.tables import scan
+from cratelight.operators.pooling import pool_wide
+from cratelight.sources import tables
+
+# The schemas of the given tables.
+SCHEMAS = {
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
 
 # Which column of the given tables stands for which mood or genre.
 EVENT_MOODS = {"click": "electronic", "error": "arousal", "purchase": "valence", "signup": "relaxed", "view": "bright"}
@@ -27,6 +40,11 @@ SUBGENRES = {1: "disco", 2: "house", 3: "funk", 4: "techno", 5: "boogie", 6: "sa
 GENRES = [f"{family}___{sub}" for family in FAMILIES.values() for sub in SUBGENRES.values()]
 
 
+def scan(spark: SparkSession, folder: str, name: str, *columns: str | Column) -> DataFrame:
+    """A given table, or some of its columns."""
+    return tables.scan(spark, folder, name, *columns, schema=SCHEMAS[name])
+
+
 def tags(spark: SparkSession, folder: str) -> DataFrame:
     """One row per song; a part is a song. Some tempos, titles, artists and keys are missing."""
     part = scan(spark, folder, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
