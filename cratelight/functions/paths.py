@@ -21,13 +21,21 @@ def percent_decode(text: Column) -> Column:
 
 
 @F.pandas_udf(StringType())
-def nfkc(text: pd.Series) -> pd.Series:
-    """Unicode NFKC form; Spark has no built-in for it. ASCII values are already normal and pass untouched."""
+def _nfkc(text: pd.Series) -> pd.Series:
     return text.map(
         lambda value: value if value is None or value.isascii() else unicodedata.normalize("NFKC", value)
     )
 
 
+# declared non-deterministic so that a null check inferred for a join does not evaluate it a second time
+_nfkc_once = _nfkc.asNondeterministic()
+
+
+def nfkc(text: Column | str) -> Column:
+    """Unicode NFKC form; Spark has no built-in for it. ASCII values are already normal and pass untouched."""
+    return _nfkc_once(text)
+
+
 def export_path(location: Column) -> Column:
     """Join key of a track location in the library export."""
     return nfkc(percent_decode(strip_file_url(location)))

@@ -38,18 +38,22 @@ def load_scores(
     return frames[0] if len(frames) == 1 else align_outer(frames, key)
 
 
-def reconcile(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Full outer join with ``in_left`` and ``in_right`` telling where each row was found."""
-    return left.withColumn("in_left", F.lit(True)).join(
-        right.withColumn("in_right", F.lit(True)), key, "full_outer"
-    ).withColumns({c: F.coalesce(c, F.lit(False)) for c in ("in_left", "in_right")})
-
-
 def only_known(df: DataFrame, ids: DataFrame, key: str = "sid") -> DataFrame:
-    """Rows whose id occurs in ``ids``."""
-    return df.join(ids.select(key), key, "left_semi")
+    """Rows whose id occurs in ``ids``; repeated ids are dropped before they are shuffled."""
+    return df.join(ids.select(key).distinct(), key, "left_semi")
 
 
 def only_new(df: DataFrame, ids: DataFrame, key: str = "sid") -> DataFrame:
     """Rows whose id does not occur in ``ids``."""
-    return df.join(ids.select(key), key, "left_anti")
+    return df.join(ids.select(key).distinct(), key, "left_anti")
+
+
+def reconcile(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Full outer join with ``in_left`` and ``in_right`` telling where each row was found.
+
+    Written as the matches and the two remainders: a key held by very many rows, NULL included, can be split over
+    tasks in each of them, but not in a full outer join.
+    """
+    flags = {(True, True): left.join(right, key), (True, False): only_new(left, right, key), (False, True): only_new(right, left, key)}
+    parts = [df.withColumns({"in_left": F.lit(a), "in_right": F.lit(b)}) for (a, b), df in flags.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

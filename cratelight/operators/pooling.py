@@ -1,8 +1,8 @@
 """Segment scores to song scores, and ordered segment sequences.
 
 Pooling is a plain ``groupBy``: Spark combines map-side, so one song with a third of all segments costs one
-partial row per task. Ordered operators never gather a song: they number rows inside (key, slice) groups and
-add per-slice offsets, so a long sequence is spread over many tasks.
+partial row per task. Ordered operators cut the sequences of large songs into slices, number rows inside (song,
+slice) and add per-slice offsets, so a long sequence is spread over many tasks.
 """
 
 from __future__ import annotations
@@ -11,8 +11,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cratelight.functions.arrays import segment_start
+from cratelight.session import bounded_local, bounded_rows
 
 FEW_CLASSES = 32
+HOT_ROWS = 1_000_000  # rows of one song that one task may sort
+SLICES_PER_HOT = 4  # room for an uneven spread
+MANY_HOT_KEYS = 100_000
+MANY_SLICES = 1_000_000
 
 
 def pool_scores(df: DataFrame, keys: list[str], score: str = "score") -> DataFrame:
@@ -73,8 +78,9 @@ def running_sum(
 ) -> DataFrame:
     """Inclusive running sum of ``value`` per ``keys`` along ``order``, without one task per key.
 
-    ``slice_by`` must not decrease along ``order``. Rows are summed inside (keys, slice); slice totals are combined
-    map-side into one small row each and turned into offsets.
+    ``slice_by`` must not decrease along ``order``; neither it nor the keys may be NULL. Rows are summed inside (keys,
+    slice); slice totals are combined map-side into one small row each and turned into offsets. The join has the
+    partitioning of the window, so rows are shuffled once.
     """
     sliced = df.withColumns({"_slice": slice_by, "_value": value})
     group = [*keys, "_slice"]
@@ -86,13 +92,8 @@ def running_sum(
         .select(*group, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
     )
     local = sliced.withColumn("_local", F.sum("_value").over(inside))
-    right = offsets.select(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(group)], "_offset")
-    condition = [F.col(c).eqNullSafe(F.col(f"_r{i}")) for i, c in enumerate(group)]
-    return (
-        local.join(right, condition)
-        .withColumn(name, F.col("_local") + F.col("_offset"))
-        .select(*df.columns, name)
-    )
+    summed = local.join(offsets, group).withColumn(name, F.col("_local") + F.col("_offset"))
+    return summed.select(*df.columns, name)
 
 
 def _as_number(df: DataFrame, column: str) -> Column:
@@ -105,19 +106,38 @@ def _as_number(df: DataFrame, column: str) -> Column:
     return number.cast("double")
 
 
-def positions(df: DataFrame, keys: list[str], order: list[str], name: str = "pos", slices: int = 256) -> DataFrame:
-    """0-based position of each row inside its ``keys``, along ``order`` (which must be a total order).
+def _null_safe(left: list[str], right: list[str]) -> list[Column]:
+    return [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)]
+
 
-    The first order column, a number or timestamp, is cut into ``slices`` of equal width between its extremes.
+def positions(df: DataFrame, keys: list[str], order: list[str], name: str = "pos") -> DataFrame:
+    """0-based position of each row inside its ``keys``, along ``order`` (a total order that starts with a number or timestamp).
+
+    Keys with more than ``HOT_ROWS`` rows are looked up first. Their range of the first order column is cut into
+    slices of equal width, numbered apart and put together with offsets; the others are one slice each.
     """
     number = _as_number(df, order[0])
-    bounds = df.select(number.alias("x")).agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
-    width = (F.col("_bounds.hi") - F.col("_bounds.lo")) / slices
-    slot = F.coalesce(F.floor((number - F.col("_bounds.lo")) / F.nullif(width, F.lit(0.0))), F.lit(0))
-    slice_by = F.when(F.col(order[0]).isNull(), F.lit(-1)).otherwise(slot).cast("int")
-    bounded = df.withColumn("_bounds", bounds)
-    numbered = running_sum(bounded, keys, slice_by, order, F.lit(1).cast("long"), name)
-    return numbered.select(*df.columns, (F.col(name) - 1).alias(name))
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"), F.min(number).alias("_lo"), F.max(number).alias("_hi"))
+    hot = sizes.where(F.col("_n") > HOT_ROWS).toDF(*[f"_k{i}" for i in range(len(keys))], "_n", "_lo", "_hi")
+    rows = bounded_rows(hot, MANY_HOT_KEYS)
+    if rows == []:
+        return df.withColumn(name, (F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1).cast("long"))
+    hot_keys = hot.columns[: len(keys)]
+    known = hot if rows is None else F.broadcast(df.sparkSession.createDataFrame(rows, hot.schema))
+    width = F.nullif((F.col("_hi") - F.col("_lo")) / (SLICES_PER_HOT * F.ceil(F.col("_n") / HOT_ROWS)), F.lit(0.0))
+    slot = F.when(F.col(order[0]).isNull(), F.lit(-1)).otherwise(F.coalesce(F.floor((number - F.col("_lo")) / width), F.lit(0)))
+    sliced = df.join(known, _null_safe(keys, hot_keys), "left").withColumn("_slice", F.when(F.col("_n").isNull(), 0).otherwise(slot).cast("int"))
+    sliced = sliced.withColumn("_hot", F.col("_n").isNotNull()).select(*df.columns, "_slice", "_hot")
+
+    counts = sliced.where("_hot").groupBy(*keys, "_slice").agg(F.count("*").alias("_c"))
+    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_offset", F.sum("_c").over(before)).drop("_c").toDF(*hot_keys, "_s", "_offset")
+    few = bounded_local(offsets, MANY_SLICES)
+    inside = F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(*order)) - 1
+    placed = sliced.withColumn("_local", inside.cast("long")).join(
+        offsets if few is None else F.broadcast(few), _null_safe([*keys, "_slice"], [*hot_keys, "_s"]), "left"
+    )
+    return placed.select(*df.columns, (F.col("_local") + F.coalesce("_offset", F.lit(0))).alias(name))
 
 
 def timeline(df: DataFrame, pos: str = "pos") -> DataFrame:

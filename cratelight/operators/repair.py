@@ -6,16 +6,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cratelight.functions.paths import export_path, nfkc
+from cratelight.operators.align import reconcile
 
 # Tag column -> export column that replaces its nulls.
 REPAIRS = {"bpm": "AverageBpm", "title": "Name", "artist": "Artist", "initialkey": "Tonality"}
 
 
-def match_export(tags: DataFrame, export: DataFrame, how: str = "inner") -> DataFrame:
+def _keyed(tags: DataFrame, export: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return tags.withColumn("path_key", nfkc("file_path")), export.withColumn("path_key", export_path(F.col("Location")))
+
+
+def match_export(tags: DataFrame, export: DataFrame) -> DataFrame:
     """Tags (with file_path) joined to the export (with Location) on the normalised path."""
-    left = tags.withColumn("path_key", nfkc("file_path"))
-    right = export.withColumn("path_key", export_path(F.col("Location")))
-    return left.join(right, "path_key", how)
+    left, right = _keyed(tags, export)
+    return left.join(right, "path_key")
+
+
+def reconcile_export(tags: DataFrame, export: DataFrame) -> DataFrame:
+    """The same join with the songs and tracks that found no partner, flagged ``in_left`` and ``in_right``."""
+    return reconcile(*_keyed(tags, export), "path_key")
 
 
 def repair_tags(tags: DataFrame, export: DataFrame, repairs: dict[str, str] = REPAIRS) -> DataFrame:

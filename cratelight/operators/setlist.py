@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cratelight.functions.harmony import compatible_keys
+from cratelight.operators.align import only_known
 from cratelight.operators.pooling import running_sum
 from cratelight.operators.similarity import Blocks, block_nearest, keep_nearest
 from cratelight.session import cut_lineage
@@ -61,7 +62,7 @@ def next_song(
     songs = playable(tags, vectors)
     chosen = songs
     if seeds is not None:
-        chosen = songs.join(seeds, "sid") if "excludes" in seeds.columns else songs.join(seeds, "sid", "left_semi")
+        chosen = songs.join(seeds, "sid") if "excludes" in seeds.columns else only_known(songs, seeds)
     own = F.array("sid")
     excluded = F.concat(own, F.coalesce("excludes", F.array().cast(f"array<{dict(songs.dtypes)['sid']}>"))) if "excludes" in chosen.columns else own
     return best_next(chosen.withColumn("seed", F.col("sid")).withColumn("excluded", excluded), songs, bpm_window, key_thresh, metric)
@@ -77,7 +78,7 @@ def setlists(
     early. Each step is written to the shared checkpoint folder, so a lost executor repeats one step at most.
     """
     songs = cut_lineage(playable(tags, vectors))
-    start = songs if seeds is None else songs.join(seeds.select("sid"), "sid", "left_semi")
+    start = songs if seeds is None else only_known(songs, seeds)
     walks = start.select(F.col("sid").alias("seed"), F.array("sid").alias("excluded"), "bpm", "initialkey", "embedding")
     song_blocks = Blocks(_cells_of_songs(songs, bpm_window), CELL)
     seed_blocks = Blocks(_cells_of_seeds(walks, bpm_window, key_thresh), CELL, whole=walks)

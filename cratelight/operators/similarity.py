@@ -229,20 +229,29 @@ def with_tags(neighbours: DataFrame, tags: DataFrame, fields: tuple[str, ...] =
     return neighbours.join(tags.select("sid", *fields), "sid").select("seed", "rank", "sid", *fields, "distance")
 
 
+def _score(metric: str) -> Column:
+    return F.round(METRICS[metric](F.col("_v1"), F.col("_v2")), DECIMALS)
+
+
 def pair_distances(pairs: DataFrame, vectors: DataFrame, metric: str = "cosine") -> DataFrame:
     """Adds the distance of both songs to a table of pairs (sid1, sid2); pairs without both vectors are left out."""
-    sides = [vectors.select(F.col("sid").alias(f"sid{i}"), F.col("embedding").alias(f"_v{i}")) for i in (1, 2)]
-    joined = pairs.join(sides[0], "sid1").join(sides[1], "sid2")
-    return joined.withColumn("score", F.round(METRICS[metric](F.col("_v1"), F.col("_v2")), DECIMALS)).drop("_v1", "_v2")
+    for i in (1, 2):
+        pairs = pairs.join(vectors.select(F.col("sid").alias(f"sid{i}"), F.col("embedding").alias(f"_v{i}")), f"sid{i}")
+    return pairs.withColumn("score", _score(metric)).drop("_v1", "_v2")
 
 
 def compare_songs(pairs: DataFrame, vectors: DataFrame, tags: DataFrame, metric: str = "cosine") -> DataFrame:
-    """Title and artist of both songs of each pair with their distance, closest first."""
-    scored = pair_distances(pairs, vectors, metric)
+    """Title and artist of both songs of each pair with their distance, closest first.
+
+    Vector and tags of one side are joined one after the other, so the pairs are shuffled once per side.
+    """
     for i in (1, 2):
-        side = tags.select(F.col("sid").alias(f"sid{i}"), F.col("title").alias(f"title{i}"), F.col("artist").alias(f"artist{i}"))
-        scored = scored.join(side, f"sid{i}", "left")
-    return scored.select("sid1", "title1", "artist1", "sid2", "title2", "artist2", "score").orderBy("score", "sid1", "sid2")
+        sid = F.col("sid").alias(f"sid{i}")
+        pairs = pairs.join(vectors.select(sid, F.col("embedding").alias(f"_v{i}")), f"sid{i}").join(
+            tags.select(sid, F.col("title").alias(f"title{i}"), F.col("artist").alias(f"artist{i}")), f"sid{i}", "left"
+        )
+    scored = pairs.select("sid1", "title1", "artist1", "sid2", "title2", "artist2", _score(metric).alias("score"))
+    return scored.orderBy("score", "sid1", "sid2")
 
 
 def pairs_of(spark, ids: list) -> DataFrame:

@@ -13,24 +13,14 @@ def long_scores(df: DataFrame, key: str, label: str = "label", score: str = "sco
 
 def largest_class_means(df: DataFrame, key: str, n: int) -> DataFrame:
     """The ``n`` classes with the largest mean score over all songs."""
-    return (
-        long_scores(df, key)
-        .groupBy("label")
-        .agg(F.avg("score").alias("mean_score"))
-        .orderBy(F.desc_nulls_last("mean_score"), "label")
-        .limit(n)
-    )
+    means = df.agg(*[F.avg(c).alias(c) for c in df.columns if c != key])
+    return means.unpivot([], means.columns, "label", "mean_score").orderBy(F.desc_nulls_last("mean_score"), "label").limit(n)
 
 
 def classes_over(df: DataFrame, key: str, threshold: float, n: int) -> DataFrame:
     """The ``n`` classes with the most songs scoring at least ``threshold``."""
-    return (
-        long_scores(df, key)
-        .groupBy("label")
-        .agg(F.count_if(F.col("score") >= threshold).alias("n_songs"))
-        .orderBy(F.desc("n_songs"), "label")
-        .limit(n)
-    )
+    counts = df.agg(*[F.count_if(F.col(c) >= threshold).alias(c) for c in df.columns if c != key])
+    return counts.unpivot([], counts.columns, "label", "n_songs").orderBy(F.desc("n_songs"), "label").limit(n)
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -94,6 +84,16 @@ def dominant_class(df: DataFrame, key: str, classes: list[str], name: str = "dom
     return df.select(key, best["label"].alias(name), best["score"].alias(f"{name}_score"))
 
 
+def top_classes(df: DataFrame, key: str, n: int) -> DataFrame:
+    """(key, rank, label, score): the ``n`` highest classes of every song, ties by label; each row sorts its own scores."""
+    scores = F.array(*[F.struct((-F.col(c)).alias("low"), F.lit(c).alias("label")) for c in df.columns if c != key])
+    present = F.filter(scores, lambda s: s["low"].isNotNull())
+    best = F.slice(F.array_sort(present), 1, n)
+    return df.select(key, F.posexplode(best).alias("pos", "s")).select(
+        key, (F.col("pos") + 1).alias("rank"), F.col("s.label").alias("label"), (-F.col("s.low")).alias("score")
+    )
+
+
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     """Distinct values in order."""
     return df.select(column).distinct().orderBy(column)

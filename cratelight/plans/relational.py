@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cratelight.operators import align, scenario, schema, stats
+from cratelight.operators import align, repair, scenario, schema
 from cratelight.plans import views
 from cratelight.plans.registry import query
 from cratelight.plans.views import GENRES, scan
@@ -108,9 +108,7 @@ def join_outer(spark, d):
 
 @query("C2 H6 H7 H8", "holed_tags export", "SELECT sid, TrackID, Name FROM holed_tags JOIN export ON file_path = path")
 def path_join(spark, d):
-    from cratelight.operators.repair import match_export
-
-    return match_export(views.holed_tags(spark, d), views.export(spark, d)).select("sid", "TrackID", "Name")
+    return repair.match_export(views.holed_tags(spark, d), views.export(spark, d)).select("sid", "TrackID", "Name")
 
 
 @query("C6", "tags mood vectors", "SELECT t.sid, title, happy, label FROM tags t JOIN mood USING (sid) JOIN vectors USING (sid)")
@@ -170,7 +168,5 @@ def list_to_columns(spark, d):
 @query("D9 C3 D12", "holed_tags export", """SELECT count(sid) AS songs, count(TrackID) AS tracks, count(*) FILTER (sid IS NOT NULL AND TrackID IS NOT NULL) AS matched
     FROM holed_tags FULL JOIN export ON file_path = path""")
 def export_reconciliation(spark, d):
-    from cratelight.operators.repair import match_export
-
-    joined = match_export(views.holed_tags(spark, d), views.export(spark, d), "full_outer")
-    return joined.agg(F.count("sid").alias("songs"), F.count("TrackID").alias("tracks"), F.count_if(F.col("sid").isNotNull() & F.col("TrackID").isNotNull()).alias("matched"))
+    joined = repair.reconcile_export(views.holed_tags(spark, d), views.export(spark, d))
+    return joined.agg(F.count_if("in_left").alias("songs"), F.count_if("in_right").alias("tracks"), F.count_if(F.col("in_left") & F.col("in_right")).alias("matched"))

@@ -262,8 +262,14 @@ def top_songs_tagged(spark, d):
 @query("E2 H18 H11", "genres", f"""SELECT sid, label, score, rank::INTEGER AS rank FROM (SELECT *, row_number() OVER (PARTITION BY sid
     ORDER BY score DESC, label) AS rank FROM ({_GENRE_LONG})) WHERE rank <= 5""")
 def top_n_per_song(spark, d):
-    scores = stats.long_scores(views.genres(spark, d), "sid").where("score IS NOT NULL")
-    return ranking.top_per_group(scores, "sid", "score", 5, "label").select("sid", "label", "score", "rank")
+    return stats.top_classes(views.genres(spark, d), "sid", 5)
+
+
+@query("E2", "genre_segments", """SELECT sid, class, rank::INTEGER AS rank, mean_score FROM (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY mean_score DESC, class) AS rank
+    FROM (SELECT sid, class, round(avg(score), 9) AS mean_score FROM genre_segments GROUP BY ALL)) WHERE rank <= 3""")
+def top_n_long(spark, d):
+    pooled = pooling.pool_scores(views.genre_segments(spark, d), ["sid", "class"]).select("sid", "class", F.round("mean_score", 9).alias("mean_score"))
+    return ranking.top_per_group(pooled, "sid", "mean_score", 3, "class")
 
 
 _MOOD_LONG = "SELECT sid, label, score FROM (" + " UNION ALL ".join(f"SELECT sid, '{m}' AS label, {m} AS score FROM mood" for m in MOODS) + ") WHERE score IS NOT NULL"
@@ -283,7 +289,7 @@ def song_cards(genres, mood):
     """Top five genres and all moods, raw and scaled, of every song."""
     from cratelight.functions.labels import display_label
 
-    best = ranking.top_per_group(stats.long_scores(genres, "sid").where("score IS NOT NULL"), "sid", "score", 5, "label")
+    best = stats.top_classes(genres, "sid", 5)
     moods = [c for c in mood.columns if c != "sid"]
     scaled = scoring.minmax_scale(mood, moods)
     each = F.explode(F.array(*[F.struct(F.lit(m).alias("label"), F.col(m).alias("score"), F.col(f"{m}_scaled").alias("scaled")) for m in moods]))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -51,13 +51,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def bounded_rows(df: DataFrame, max_rows: int) -> list[Row] | None:
+    """The rows of ``df`` when there are at most ``max_rows``, else None; reads ``max_rows + 1`` rows at most."""
+    rows = df.limit(max_rows + 1).collect()
+    return rows if len(rows) <= max_rows else None
+
+
 def bounded_local(df: DataFrame, max_rows: int) -> DataFrame | None:
     """``df`` as a local relation when it has at most ``max_rows`` rows, else None.
 
-    Reads ``max_rows + 1`` rows at most, so it is safe on a frame of any size; a frame that passes has a proven
-    bound and may be broadcast.
+    A frame that passes has a proven bound and may be broadcast.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return None
-    return df.sparkSession.createDataFrame(rows, df.schema)
+    rows = bounded_rows(df, max_rows)
+    return None if rows is None else df.sparkSession.createDataFrame(rows, df.schema)

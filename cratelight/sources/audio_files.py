@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cratelight.operators.align import only_known
+
 # The audio file extensions.
 AUDIO_GLOB = "*.{wav,mp3,aiff}"
 
@@ -18,7 +20,8 @@ def list_files(spark: SparkSession, folder: str, pattern: str = AUDIO_GLOB) -> D
 def hashed_files(spark: SparkSession, folder: str, pattern: str = AUDIO_GLOB) -> DataFrame:
     """(sid, file_path) with the MD5 of the file bytes as id, one row per distinct content (smallest path)."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folder)
-    return one_per_content(files.select(F.md5("content").alias("sid"), plain_path(F.col("path")).alias("file_path")))
+    hashed = files.select(F.md5("content").alias("sid"), plain_path(F.col("path")).alias("file_path"))
+    return one_per_content(hashed).drop("copies")
 
 
 def plain_path(path):
@@ -27,10 +30,10 @@ def plain_path(path):
 
 
 def one_per_content(files: DataFrame) -> DataFrame:
-    """One row per sid with its smallest path; copies are combined map-side."""
-    return files.groupBy("sid").agg(F.min("file_path").alias("file_path"))
+    """(sid, file_path, copies): one row per content with its smallest path; copies are combined map-side."""
+    return files.groupBy("sid").agg(F.min("file_path").alias("file_path"), F.count("*").alias("copies"))
 
 
 def existing_only(paths: DataFrame, listing: DataFrame) -> DataFrame:
     """Paths that the listing contains."""
-    return paths.join(listing.select("file_path"), "file_path", "left_semi")
+    return only_known(paths, listing, "file_path")

@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cratelight.operators.align import only_new
 from cratelight.sources.audio_files import AUDIO_GLOB, one_per_content, plain_path
 from cratelight.sources.tables import read_or_empty
 
@@ -15,8 +14,14 @@ FILES_SCHEMA = "sid string, file_path string"
 
 
 def new_content(batch: DataFrame, known: DataFrame) -> DataFrame:
-    """(sid, file_path) rows of a batch that are not known yet, one per content."""
-    return only_new(one_per_content(batch), known)
+    """(sid, file_path) rows of a batch that are not known yet, one per content.
+
+    The condition on ``copies`` always holds; it keeps the anti join above the grouping. Pushed below it, the join
+    would shuffle every copy of a content to one task.
+    """
+    single, known = one_per_content(batch), known.select(F.col("sid").alias("_known")).distinct()
+    fresh = single.join(known, (F.col("sid") == F.col("_known")) & (F.col("copies") > 0), "left_anti")
+    return fresh.select("sid", "file_path")
 
 
 def drain(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None]) -> None:

@@ -36,16 +36,21 @@ def test_describe_has_sample_std(spark):
     assert (row["count"], row["mean"], row["std"], row["min"], row["p25"], row["p50"], row["p75"], row["max"]) == (4, 2.5, 1.291, 1.0, 1.75, 2.5, 3.25, 4.0)
 
 
-def test_positions_with_a_hot_key(spark):
-    rows = [("hot", i // 3, i) for i in range(3000)] + [("cold", i, i) for i in range(7)] + [("one", None, 1)]
+@pytest.mark.parametrize("many", [100_000, 0])
+@pytest.mark.parametrize("hot_rows", [1_000_000, 100, 5, 1])
+def test_positions_with_a_hot_key(spark, monkeypatch, hot_rows, many):
+    for limit in ("MANY_HOT_KEYS", "MANY_SLICES"):
+        monkeypatch.setattr(pooling, limit, many)
+    monkeypatch.setattr(pooling, "HOT_ROWS", hot_rows)
+    rows = [("hot", i // 3, i) for i in range(3000)] + [("cold", i, i) for i in range(7)] + [("one", None, 1), (None, 3, 1), (None, 2, 2)]
     random.Random(1).shuffle(rows)
     df = spark.createDataFrame(rows, "sid string, t bigint, id bigint")
-    for slices in (1, 16, 256):
-        got = values(pooling.positions(df, ["sid"], ["t", "id"], slices=slices), "sid", "pos", "id")
-        assert got == [("cold", i, i) for i in range(7)] + [("hot", i, i) for i in range(3000)] + [("one", 0, 1)]
+    got = sorted((r.sid or "", r.pos, r.id) for r in pooling.positions(df, ["sid"], ["t", "id"]).collect())
+    assert got == [("", 0, 2), ("", 1, 1)] + [("cold", i, i) for i in range(7)] + [("hot", i, i) for i in range(3000)] + [("one", 0, 1)]
 
 
-def test_positions_of_one_instant(spark):
+def test_positions_of_one_instant(spark, monkeypatch):
+    monkeypatch.setattr(pooling, "HOT_ROWS", 2)
     df = spark.createDataFrame([("a", 5, i) for i in range(9)], "sid string, t bigint, id bigint")
     assert values(pooling.positions(df, ["sid"], ["t", "id"]), "pos", "id") == [(i, i) for i in range(9)]
 
