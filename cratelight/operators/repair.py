@@ -13,6 +13,9 @@ REPAIRS = {"bpm": "AverageBpm", "title": "Name", "artist": "Artist", "initialkey
 
 
 def _keyed(tags: DataFrame, export: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the normalised path; export columns named like a tag (in any case) become ``export_<name>``."""
+    taken = {c.lower() for c in tags.columns}
+    export = export.withColumnsRenamed({c: f"export_{c}" for c in export.columns if c.lower() in taken})
     return tags.withColumn("path_key", nfkc("file_path")), export.withColumn("path_key", export_path(F.col("Location")))
 
 

@@ -19,7 +19,7 @@ from cratelight.session import bounded_local
 
 DECIMALS = 6  # distances are compared at the precision of the stored vectors, so copies tie
 FEW_REFERENCES = 1024
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
 CHUNK_ROWS = 2048
 MANY_CELLS = 200_000
 

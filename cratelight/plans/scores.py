@@ -109,6 +109,14 @@ def array_pooling(spark, d):
     )
 
 
+@query("I7 D1 D2", "vectors", """SELECT sid, 'happy' AS class, round(list_avg(embedding[33:]), 6) AS mean_score,
+    round(list_stddev_pop(embedding[33:]), 6) AS std_score FROM vectors""")
+def activation_head(spark, d):
+    table = views.vectors(spark, d).select("sid", F.slice("embedding", 1, 32).alias("not_happy"), F.slice("embedding", 33, 32).alias("happy"))
+    head = pooling.pool_activation_head(table.withColumnRenamed("not_happy", "non_happy"))
+    return head.select("sid", "class", *[F.round(c, 6).alias(c) for c in ("mean_score", "std_score")])
+
+
 @query("D18", "genre_segments", """SELECT sid, class, round(avg(score), 6) AS top_mean FROM (
     SELECT *, row_number() OVER (PARTITION BY sid, class ORDER BY score DESC) AS r FROM genre_segments) WHERE r <= 3
     GROUP BY sid, class""")
