@@ -79,6 +79,11 @@ def song_label(title: Column, artist: Column) -> Column:
     return F.concat(title, F.lit(" -- "), F.coalesce(artist, F.lit("")))
 
 
+def sql_text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def family(name: Column) -> Column:
     """``family___sub`` -> ``family``."""
     return F.split_part(name, F.lit("___"), F.lit(1))

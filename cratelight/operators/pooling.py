@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cratelight.functions.arrays import segment_start
+from cratelight.functions.labels import sql_text
 from cratelight.session import bounded_local, bounded_rows
 
 FEW_CLASSES = 32
@@ -37,9 +38,8 @@ def pool_wide(df: DataFrame, key: str, label: str, score: str, classes: dict[str
     """
     if len(classes) > FEW_CLASSES:
         return df.groupBy(key).pivot(label, list(classes)).agg(F.avg(score)).withColumnsRenamed(classes)
-    return df.groupBy(key).agg(
-        *[F.avg(F.when(F.col(label) == value, F.col(score))).alias(name) for value, name in classes.items()]
-    )
+    means = [f"avg(`{score}`) FILTER (WHERE `{label}` = {sql_text(value)}) AS `{name}`" for value, name in classes.items()]
+    return df.groupBy(key).agg(*map(F.expr, means))
 
 
 def top_segments_mean(df: DataFrame, keys: list[str], score: str, n: int) -> DataFrame:

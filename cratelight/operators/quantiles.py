@@ -10,12 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 10_000
-
+from cratelight.functions.labels import sql_text
 
-def _text(value: str) -> str:
-    """A SQL string literal."""
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+ACCURACY = 10_000
 
 
 def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]], accuracy: int = ACCURACY) -> DataFrame:
@@ -43,7 +40,7 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]], accuracy: int
         return f"named_struct('slot', {slot}, 'lo', {edge(q - margin, '-Infinity')}, 'hi', {edge(q + margin, 'Infinity')})"
 
     mine = {c: ", ".join(bracket(i, q) for i, (name, q) in enumerate(asked) if name == c) for c in columns}
-    mine = F.expr("CASE name " + " ".join(f"WHEN {_text(c)} THEN array({structs})" for c, structs in mine.items()) + " END")
+    mine = F.expr("CASE name " + " ".join(f"WHEN {sql_text(c)} THEN array({structs})" for c, structs in mine.items()) + " END")
     brackets = sketch.select("name", "n", F.explode(mine).alias("b")).select("name", "n", "b.*")
     # one row per wanted quantile, so the broadcast is bounded by the request
     counted = (
@@ -53,7 +50,7 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]], accuracy: int
         .agg(F.count("*").alias("c"))
     )
     upto = Window.partitionBy("slot", "n").orderBy(F.asc_nulls_first("v"))
-    names = F.expr(f"array({', '.join(_text(c) for c, _ in asked)})[slot]")
+    names = F.expr(f"array({', '.join(sql_text(c) for c, _ in asked)})[slot]")
     qs = F.expr(f"array({', '.join(f'{q!r}d' for _, q in asked)})[slot]")
     placed = (
         counted.withColumn("last", F.sum("c").over(upto) - 1)
@@ -73,7 +70,7 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]], accuracy: int
 def quantile_row(df: DataFrame, wanted: dict[str, list[float]]) -> tuple[DataFrame, dict[tuple[str, float], str]]:
     """The same quantiles as one row, with the field name of each (column, q)."""
     fields = {(c, float(q)): f"t{i}" for i, (c, q) in enumerate((c, q) for c, qs in wanted.items() for q in qs)}
-    picks = [F.expr(f"max(value) FILTER (WHERE name = {_text(c)} AND q = {q!r}d) AS {field}") for (c, q), field in fields.items()]
+    picks = [F.expr(f"max(value) FILTER (WHERE name = {sql_text(c)} AND q = {q!r}d) AS {field}") for (c, q), field in fields.items()]
     return exact_quantiles(df, wanted).agg(*picks), fields
 
 
