@@ -94,6 +94,17 @@ def subgenre(name: Column) -> Column:
     return F.split_part(name, F.lit("___"), F.lit(2))
 
 
+def score_column(label: Column) -> Column:
+    """Score-column name of a class label: spaces to ``_``, number labels to words."""
+    return number_words(F.translate(label, " ", "_"))
+
+
+def score_table(model_path: Column) -> Column:
+    """Activation-table name of a model path, as ``classifier_table``."""
+    stem = F.regexp_replace(F.element_at(F.split(model_path, "/"), -1), r"\.onnx$", "")
+    return F.concat(F.translate(stem, "-", "_"), F.lit("_activations"))
+
+
 def classifier_columns(classes: list[str]) -> list[str]:
     """Score-column names of a classifier: spaces to ``_``, number labels to words."""
     return [number_word(name.replace(" ", "_")) for name in classes]

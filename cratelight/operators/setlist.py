@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cratelight.functions.harmony import compatible_keys
+from cratelight.operators import similarity
 from cratelight.operators.align import only_known
 from cratelight.operators.pooling import running_sum
 from cratelight.operators.similarity import Blocks, block_nearest, keep_nearest
@@ -49,7 +50,6 @@ def best_next(
     (key, bucket) cell; seeds with nothing to play are absent.
     """
     cells, stock = _cells_of_seeds(seeds, bpm_window, key_thresh), _cells_of_songs(songs, bpm_window)
-    seed_blocks = seed_blocks or Blocks(cells, CELL, whole=seeds)
     found = block_nearest(cells, stock, 1, metric, CELL, bpm_window, seed_blocks, song_blocks)
     return keep_nearest(found, 1).drop("rank")
 
@@ -81,11 +81,11 @@ def setlists(
     start = songs if seeds is None else only_known(songs, seeds)
     walks = start.select(F.col("sid").alias("seed"), F.array("sid").alias("excluded"), "bpm", "initialkey", "embedding")
     song_blocks = Blocks(_cells_of_songs(songs, bpm_window), CELL)
-    seed_blocks = Blocks(_cells_of_seeds(walks, bpm_window, key_thresh), CELL, whole=walks)
+    few_seeds = similarity.vector_bytes(walks) <= similarity.BLOCK_BYTES
     ended = []
     for _ in range(n_songs):
-        if seed_blocks.counts is not None:  # the seeds have moved to other cells
-            seed_blocks = Blocks(_cells_of_seeds(walks, bpm_window, key_thresh), CELL, whole=walks)
+        # seeds move to other cells, so unless they fit in one block they are counted again
+        seed_blocks = Blocks(_cells_of_seeds(walks, bpm_window, key_thresh), CELL, fits=few_seeds)
         step = best_next(walks, songs, bpm_window, key_thresh, metric, seed_blocks, song_blocks).select("seed", "sid")
         moved = walks.select("seed", "excluded").join(step, "seed", "left").join(songs, "sid", "left")
         moved = cut_lineage(

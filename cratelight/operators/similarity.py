@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cratelight.functions.vectors import METRICS
-from cratelight.session import bounded_local
+from cratelight.session import bounded_rows
 
 DECIMALS = 6  # distances are compared at the precision of the stored vectors, so copies tie
 FEW_REFERENCES = 1024
@@ -107,23 +107,31 @@ def _few(vectors: DataFrame, refs: list, n: int, metric: str, schema: str) -> Da
     return vectors.select("sid", "embedding").mapInArrow(scan, schema)
 
 
+def vector_bytes(df: DataFrame) -> int:
+    """Total size of the vectors of a frame."""
+    return df.agg(F.sum(F.size("embedding").cast("long") * 4)).first()[0] or 0
+
+
 class Blocks:
     """How many blocks one side needs in each cell, so that a block holds about ``BLOCK_BYTES`` of vectors.
 
-    One look at the total comes first: a side that fits in one block as a whole needs no counting per cell.
+    ``fits`` says that the whole side fits in one block, which saves counting per cell.
     """
 
-    def __init__(self, df: DataFrame, cell: list[str], whole: DataFrame | None = None):
-        size = F.sum(F.size("embedding").cast("long") * 4)
+    def __init__(self, df: DataFrame, cell: list[str], fits: bool = False):
         self.cell, self.counts = cell, None
-        total = (df if whole is None else whole).agg(size).first()[0] or 0
-        if total > BLOCK_BYTES:
-            counts = df.groupBy(*cell).agg(F.ceil(size / BLOCK_BYTES).cast("int").alias("n"))
-            local = bounded_local(counts, MANY_CELLS)
-            self.counts = counts if local is None else F.broadcast(local)
+        if fits:
+            return
+        size = F.sum(F.size("embedding").cast("long") * 4)
+        counts = df.groupBy(*cell).agg(F.ceil(size / BLOCK_BYTES).cast("int").alias("n"))
+        rows = bounded_rows(counts, MANY_CELLS)
+        if rows is None:
+            self.counts = counts
+        elif any(row["n"] > 1 for row in rows):
+            self.counts = F.broadcast(df.sparkSession.createDataFrame(rows, counts.schema))
 
     def add(self, df: DataFrame, name: str) -> DataFrame:
-        """``df`` with the number of blocks of its cell; rows of cells this side does not have are left out."""
+        """``df`` with the number of blocks of its cell; rows of cells this side does not have may be left out."""
         if self.counts is None:
             return df.withColumn(name, F.lit(1))
         return df.join(self.counts.withColumnRenamed("n", name), self.cell)
@@ -208,8 +216,8 @@ def nearest(vectors: DataFrame, refs: DataFrame, n: int = 5, metric: str = "cosi
     """
     vectors = vectors.select("sid", "embedding").where(F.size("embedding") > 0)
     refs = refs.select("sid", "embedding").where(F.size("embedding") > 0)
-    few = refs.limit(FEW_REFERENCES + 1).collect()
-    if len(few) > FEW_REFERENCES:
+    few = bounded_rows(refs, FEW_REFERENCES)
+    if few is None:
         return nearest_of_many(vectors, refs, n, metric)
     schema = f"seed {_id_type(refs)}, sid {_id_type(vectors)}, distance double"
     found = _few(vectors, few, n, metric, schema) if few else vectors.sparkSession.createDataFrame([], schema)

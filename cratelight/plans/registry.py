@@ -22,14 +22,14 @@ class Query:
 REGISTRY: dict[str, Query] = {}
 
 
-def query(covers: str, views: str = "", sql: str | None = None) -> Callable[[Run], Run]:
-    """Registers a query under its function's name; ``covers`` lists the survey ids it exercises."""
+def query(covers: str, views: str = "", sql: str | None = None, name: str | None = None) -> Callable[[Run], Run]:
+    """Registers a query, by default under its function's name; ``covers`` lists the survey ids it exercises."""
 
     def register(run: Run) -> Run:
-        name = run.__name__
-        if name in REGISTRY:
-            raise ValueError(f"query {name} is registered twice")
-        REGISTRY[name] = Query(run, None if sql is None else (with_views(views, sql) if views else sql), covers)
+        key = name or run.__name__
+        if key in REGISTRY:
+            raise ValueError(f"query {key} is registered twice")
+        REGISTRY[key] = Query(run, None if sql is None else (with_views(views, sql) if views else sql), covers)
         return run
 
     return register

@@ -107,7 +107,7 @@ def join_outer(spark, d):
 
 
 @query("C2 H6 H7 H8", "holed_tags export", "SELECT sid, TrackID, Name FROM holed_tags JOIN export ON file_path = path")
-def path_join(spark, d):
+def nfkc_join(spark, d):
     return repair.match_export(views.holed_tags(spark, d), views.export(spark, d)).select("sid", "TrackID", "Name")
 
 

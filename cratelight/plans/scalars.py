@@ -52,6 +52,16 @@ def number_words(spark, d):
     return items.select("l_orderkey", "l_linenumber", "l_partkey", "q", labels.number_words(label).alias("words")).distinct()
 
 
+@query("H21 H3", sql=f"""SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN {_words(True)}[p_size + 1] ELSE replace(p_name, ' ', '_') END AS score_column,
+    lower(replace(p_type, '#', '')) || '_' || replace(p_name, ' ', '_') || '_' || (p_size % 3) || '_activations' AS score_table FROM part""")
+def classifier_names(spark, d):
+    part = scan(spark, d, "part", "p_partkey", "p_name", "p_type", "p_size")
+    size = F.col("p_size").cast("string")
+    label = F.when(F.col("p_partkey") % 2 == 0, F.concat(size, F.lit("s"))).otherwise(F.col("p_name"))
+    model = F.concat(F.lit("models/v1/"), F.lower("p_type"), F.lit("-"), F.translate("p_name", " ", "-"), F.lit("-"), (F.col("p_size") % 3).cast("string"), F.lit(".onnx"))
+    return part.select("p_partkey", labels.score_column(label).alias("score_column"), labels.score_table(model).alias("score_table"))
+
+
 _KEYS = ["Ab", "A", "Bb", "B", "C", "C#", "D", "Eb", "E", "F", "F#", "G", "H"]
 
 

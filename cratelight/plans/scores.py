@@ -27,7 +27,7 @@ def _edition_sql(genre: str) -> str:
 
 
 def _scenario(name: str):
-    return lambda spark, d: scenario.scenario(views.mood(spark, d), views.tags(spark, d), SCENARIOS[name])
+    return lambda spark, d: scenario.scenario(views.stored_mood(spark, d), views.tags(spark, d), SCENARIOS[name])
 
 
 @query("B12 D7 I6 C6 H12", "tags mood", _scenario_sql("winebar"))
@@ -69,7 +69,7 @@ def scenario_club_house(spark, d):
     f"SELECT '{m}' AS name, {q}::DOUBLE AS q, round(quantile_cont({m}, {q}), 12) AS value FROM mood" for m in MOODS for q in (0.0, 0.2, 0.5, 0.75, 1.0)
 ))
 def mood_quantiles(spark, d):
-    found = quantiles.exact_quantiles(views.mood(spark, d), {m: [0.0, 0.2, 0.5, 0.75, 1.0] for m in MOODS})
+    found = quantiles.exact_quantiles(views.stored_mood(spark, d), {m: [0.0, 0.2, 0.5, 0.75, 1.0] for m in MOODS})
     return found.select("name", "q", F.round("value", 12).alias("value"))
 
 
@@ -90,6 +90,12 @@ def pooled_scores(spark, d):
     return pooled.select("sid", "class", F.round("mean_score", 6).alias("mean_score"), F.round("std_score", 6).alias("std_score"), "n_segments")
 
 
+@query("D2 D19", "activations", "SELECT sid, round(stddev_pop(score), 6) AS std_score, count(*) AS n_segments FROM activations GROUP BY sid")
+def pooled_std(spark, d):
+    pooled = pooling.pool_scores(views.activations(spark, d), ["sid"])
+    return pooled.select("sid", F.round("std_score", 6).alias("std_score"), "n_segments")
+
+
 @query("A4 C5 K1", "mood", "SELECT sid, " + ", ".join(f"round({m}, 6) AS {m}" for m in MOODS) + " FROM mood")
 def mood_wide(spark, d):
     tables = [
@@ -184,7 +190,7 @@ def class_over_threshold(spark, d):
 @query("D6 D12", "tags", """SELECT count(*) AS count, round_even(avg(bpm), 3) AS mean, round_even(stddev_samp(bpm), 3) AS std,
     round_even(min(bpm), 3) AS min, round_even(quantile_cont(bpm, 0.25), 3) AS p25, round_even(quantile_cont(bpm, 0.5), 3) AS p50,
     round_even(quantile_cont(bpm, 0.75), 3) AS p75, round_even(max(bpm), 3) AS max FROM tags WHERE bpm > 0""")
-def describe_bpm(spark, d):
+def describe(spark, d):
     return quantiles.describe(views.tags(spark, d).where("bpm > 0"), "bpm")
 
 
@@ -244,7 +250,7 @@ def genre_families(spark, d):
 @query("I13", "mood", "SELECT sid, " + ", ".join(
     f"round(({m} - (SELECT min({m}) FROM mood)) / (SELECT max({m}) - min({m}) FROM mood), 6) AS {m}_scaled" for m in MOODS) + " FROM mood")
 def minmax_scale(spark, d):
-    scaled = scoring.minmax_scale(views.mood(spark, d), MOODS)
+    scaled = scoring.minmax_scale(views.stored_mood(spark, d), MOODS)
     return scaled.select("sid", *[F.round(f"{m}_scaled", 6).alias(f"{m}_scaled") for m in MOODS])
 
 
@@ -290,7 +296,7 @@ _SCALED_LONG = " UNION ALL ".join(
     ORDER BY score DESC, label) AS rank FROM ({_GENRE_LONG})) WHERE rank <= 5
     UNION ALL SELECT sid, 'mood', upper(label[1]) || label[2:], score, scaled FROM ({_SCALED_LONG}) WHERE score IS NOT NULL""")
 def song_card(spark, d):
-    return song_cards(views.genres(spark, d), views.mood(spark, d))
+    return song_cards(views.genres(spark, d), views.stored_mood(spark, d))
 
 
 def song_cards(genres, mood):

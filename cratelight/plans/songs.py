@@ -86,7 +86,7 @@ def next_song(spark, d):
     walk AS (SELECT k.sid AS seed, 1 AS step, k.sid, [k.sid] AS seen FROM k JOIN vectors USING (sid)
       UNION ALL SELECT seed, step + 1, first(dst ORDER BY distance, dst), list_append(seen, first(dst ORDER BY distance, dst))
       FROM walk JOIN edges ON src = sid AND NOT list_contains(seen, dst) WHERE step <= 10 GROUP BY seed, step, seen)
-    SELECT seed, step::INTEGER AS "order", walk.sid, title, artist FROM walk JOIN tags USING (sid)""")
+    SELECT seed, step::INTEGER AS "order", walk.sid, title, artist FROM walk JOIN tags USING (sid)""", name="setlist")
 def setlist_walks(spark, d):
     tags = views.tags(spark, d)
     walks = setlist.setlists(tags, views.vectors(spark, d), n_songs=10, bpm_window=5)
@@ -101,7 +101,7 @@ def ann_knn(spark, d):
 
 
 @query("I11 I12")
-def pca_map(spark, d):
+def pca2(spark, d):
     vectors = views.vectors(spark, d)
     fitted = projection.fit_projection(vectors)
     placed = projection.song_map(fitted, vectors, views.tags(spark, d))
@@ -109,7 +109,7 @@ def pca_map(spark, d):
 
 
 @query("I17")
-def song_clusters(spark, d):
+def kmeans(spark, d):
     placed, quality = projection.clusters(views.vectors(spark, d), k=10)
     sizes = placed.groupBy("cluster").agg(F.count("*").alias("n_songs"))
     return sizes.withColumn("silhouette", F.lit(round(quality, 6)))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cratelight.operators.align import align_outer
 from cratelight.operators.pooling import pool_wide
+from cratelight.session import cut_lineage
 from cratelight.sources import tables
 
 # The schemas of the given tables.
@@ -87,6 +88,11 @@ def mood(spark: SparkSession, folder: str) -> DataFrame:
     return align_outer([event_moods(spark, folder), item_moods(spark, folder)])
 
 
+def stored_mood(spark: SparkSession, folder: str) -> DataFrame:
+    """The mood table written once, for queries that read it several times."""
+    return cut_lineage(mood(spark, folder))
+
+
 def genre_segments(spark: SparkSession, folder: str) -> DataFrame:
     """Segment scores per genre class (sid, class, score); a line item is a segment."""
     items = scan(spark, folder, "lineitem", "l_partkey", "l_returnflag", "l_linenumber", "l_quantity")

@@ -30,6 +30,6 @@ def test_contract(spark):
 
 
 def test_map_has_ordered_variance(spark, folder):
-    rows = REGISTRY["pca_map"].run(spark, folder).collect()
+    rows = REGISTRY["pca2"].run(spark, folder).collect()
     spread = [sum(getattr(r, c) ** 2 for r in rows) for c in ("component1", "component2")]
     assert spread[0] > spread[1] > 0
