@@ -13,7 +13,7 @@ from cratelight.session import local_session
 HEADLINE = [
     "scenario_winebar", "scenario_club", "scenario_opening", "scenario_club_disco", "song_filter", "song_card", "mood_wide",
     "pooled_scores", "topk_mean_pool", "class_mean_top", "describe", "price_quantiles", "histogram", "top_songs",
-    "top_n_per_song", "timeline", "patches", "tag_repair", "nfkc_join", "dedupe_ingest", "stream_ingest", "xml_collection",
+    "top_n_per_song", "timeline", "patches", "tag_repair", "nfkc_join", "dedupe_ingest", "stream_ingest", "ingest_documents", "xml_collection",
     "document_tags", "nfkc_text", "tag_collapse", "playlist_labels", "vector_mean_by_label", "knn_cosine", "knn_euclid",
     "compare_songs", "candidate_edges", "next_song", "setlist", "score_head", "score_model", "ann_knn", "pca2", "kmeans",
 ]

@@ -48,6 +48,16 @@ def only_new(df: DataFrame, ids: DataFrame, key: str = "sid") -> DataFrame:
     return df.join(ids.select(key).distinct(), key, "left_anti")
 
 
+def only_new_groups(grouped: DataFrame, ids: DataFrame, count: str, key: str = "sid") -> DataFrame:
+    """``only_new`` for a frame grouped by ``key``, whose row count ``count`` is dropped.
+
+    The condition on the count always holds; it keeps the anti join above the grouping. Pushed below it, the join would
+    shuffle every row of a frequent key to one task.
+    """
+    known = ids.select(F.col(key).alias("_known")).distinct()
+    return grouped.join(known, (F.col(key) == F.col("_known")) & (F.col(count) > 0), "left_anti").drop(count)
+
+
 def reconcile(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Full outer join with ``in_left`` and ``in_right`` telling where each row was found.
 

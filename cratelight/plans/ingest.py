@@ -12,6 +12,7 @@ from cratelight.session import scratch_path
 from cratelight.sources import documents, library_xml, tables
 from cratelight.sources.audio_files import existing_only
 from cratelight.plans.views import scan
+from cratelight.streaming import ingest as library
 from cratelight.streaming.ingest import ingest_stream, new_content
 
 _CONTENT = "SELECT md5(text) AS sid, min('/' || lang || '/' || source || '/' || lpad(doc_id::VARCHAR, 12, '0')) AS file_path FROM documents"
@@ -66,6 +67,27 @@ def document_tags(spark, d):
     return named.select(F.col("sid").cast("long").alias("sid"), "bpm", "title", "artist")
 
 
+@query("A14 A5 A11 B3 B4 B6 H1 H16 G3", "tags", """SELECT sid, title, bpm, length AS rhythm_length, sid % 7 AS tonal_key, length AS beat, u.i::INTEGER AS pos
+    FROM tags, (SELECT unnest([0, 1]) AS i) u""")
+def ingest_documents(spark, d):
+    songs = views.tags(spark, d)
+    nested = songs.select(
+        F.struct(F.struct(F.col("sid").cast("string").alias("md5_encoded")).alias("audio_properties"),
+                 F.struct(F.array("title", "title").alias("title"), F.array("bpm").alias("bpm")).alias("tags")).alias("metadata"),
+        F.struct(F.col("length"), F.array("length", "length").alias("beats")).alias("rhythm"),
+        F.struct((F.col("sid") % 7).alias("key")).alias("tonal"),
+    )
+    arrived, root = scratch_path(spark, "arrived"), scratch_path(spark, "library")
+    nested.write.json(arrived)
+    nested.write.mode("append").json(arrived)  # every document arrives twice
+    stream = spark.readStream.schema(nested.schema).json(arrived)
+    library.ingest_documents(spark, stream, root, scratch_path(spark, "progress"))
+    stored = {name: spark.read.parquet(f"{root}/{name}").drop("batch") for name in ("tags", "rhythm_features", "tonal_features", "rhythm_beats_tbl")}
+    joined = stored["tags"].join(stored["rhythm_features"], "sid").join(stored["tonal_features"], "sid").join(stored["rhythm_beats_tbl"], "sid")
+    beats = F.posexplode("rhythm_beats").alias("pos", "beat")
+    return joined.select(F.col("sid").cast("long").alias("sid"), "title", "bpm", "rhythm_length", "tonal_key", beats)
+
+
 @query("I15 C2 H6 H7 H8", "holed_tags export", """SELECT sid, file_path, coalesce(bpm, AverageBpm) AS bpm, coalesce(title, Name) AS title,
     coalesce(artist, Artist_1) AS artist, coalesce(initialkey, Tonality) AS initialkey
     FROM holed_tags LEFT JOIN (SELECT path, AverageBpm, Name, Artist AS Artist_1, Tonality FROM export) ON file_path = path""")

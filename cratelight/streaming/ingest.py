@@ -1,4 +1,4 @@
-"""Incremental ingest: new files in a folder become new rows, each content once."""
+"""Incremental ingest: new files and feature documents become new rows, each content once."""
 
 from __future__ import annotations
 
@@ -7,21 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cratelight.functions.tags import collapse_tag
+from cratelight.operators.align import only_new_groups
+from cratelight.operators.schema import conform, last_part_names, split_by_prefix, split_lists
 from cratelight.sources.audio_files import AUDIO_GLOB, one_per_content, plain_path
+from cratelight.sources.documents import feature_rows
 from cratelight.sources.tables import read_or_empty
 
 FILES_SCHEMA = "sid string, file_path string"
 
 
 def new_content(batch: DataFrame, known: DataFrame) -> DataFrame:
-    """(sid, file_path) rows of a batch that are not known yet, one per content.
-
-    The condition on ``copies`` always holds; it keeps the anti join above the grouping. Pushed below it, the join
-    would shuffle every copy of a content to one task.
-    """
-    single, known = one_per_content(batch), known.select(F.col("sid").alias("_known")).distinct()
-    fresh = single.join(known, (F.col("sid") == F.col("_known")) & (F.col("copies") > 0), "left_anti")
-    return fresh.select("sid", "file_path")
+    """(sid, file_path) rows of a batch that are not known yet, one per content."""
+    return only_new_groups(one_per_content(batch), known, "copies")
 
 
 def drain(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None]) -> None:
@@ -56,3 +54,36 @@ def audio_stream(spark: SparkSession, folder: str, pattern: str = AUDIO_GLOB, fi
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     files = reader.schema("path string, modificationTime timestamp, length long, content binary").load(folder)
     return files.select(F.md5("content").alias("sid"), plain_path(F.col("path")).alias("file_path"))
+
+
+def feature_tables(rows: DataFrame, meta_prefix: str = "meta") -> dict[str, DataFrame]:
+    """The tables of a batch of flat feature rows, by name.
+
+    ``tags`` from the metadata columns (list tags collapsed, known tag columns only), one table per feature family from
+    the scalar columns, and one ``<column>_tbl`` per list column.
+    """
+    meta = [field for field in rows.schema if field.name.startswith(meta_prefix)]
+    single = rows.select("sid", *[collapse_tag(F.col(f.name), f.dataType).alias(f.name) for f in meta])
+    scalars, lists = split_lists(rows.drop(*[f.name for f in meta]))
+    tables = {"tags": conform(last_part_names(single))[0], **split_by_prefix(scalars)}
+    return tables | {f"{c}_tbl": lists.select("sid", c) for c in lists.columns if c != "sid"}
+
+
+def ingest_documents(spark: SparkSession, stream: DataFrame, root: str, checkpoint: str) -> None:
+    """Appends the tables of new feature documents below ``root``; documents with a known ``sid`` are left out.
+
+    As in ``ingest_stream``, a batch owns its ``batch=<n>`` folders. ``tags`` is written last and tells what is known,
+    so a batch that failed half way is written again as a whole.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        known = read_or_empty(spark, f"{root}/tags", "sid string, batch long").where(F.col("batch") < number)
+        flat = feature_rows(batch)
+        single = flat.groupBy("sid").agg(*[F.first(c).alias(c) for c in flat.columns if c != "sid"], F.count("*").alias("_copies"))
+        rows = only_new_groups(single, known, "_copies").persist()
+        tables = feature_tables(rows)
+        for name in [*(n for n in tables if n != "tags"), "tags"]:
+            tables[name].write.mode("overwrite").parquet(f"{root}/{name}/batch={number}")
+        rows.unpersist()
+
+    drain(stream, checkpoint, write)

@@ -111,3 +111,39 @@ def test_append_and_round_trip(spark, tmp_path):
 def test_list_tables(spark):
     spark.range(1).createOrReplaceTempView("tags_view")
     assert "tags_view" in [r.name for r in tables.list_tables(spark).collect()]
+
+
+def test_documents_become_tables_once(spark, tmp_path):
+    from pyspark.sql.types import StructType
+
+    from cratelight.streaming.ingest import ingest_documents
+
+    folder = tmp_path / "docs"
+    folder.mkdir()
+    schema = StructType.fromDDL(
+        "metadata struct<audio_properties:struct<md5_encoded:string,length:double>,tags:struct<title:array<string>,artist:array<string>>>,"
+        "lowlevel struct<loudness:double,mfcc:array<double>>, rhythm struct<bpm:double>"
+    )
+
+    def document(sid, title):
+        return json.dumps({"metadata": {"audio_properties": {"md5_encoded": sid, "length": 9.5}, "tags": {"title": title, "artist": ["x", "y", "z"]}},
+                           "lowlevel": {"loudness": 0.5, "mfcc": [1.0, 2.0]}, "rhythm": {"bpm": 120.0}})
+
+    def drain():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(folder))
+        ingest_documents(spark, stream, str(tmp_path / "library"), str(tmp_path / "progress"))
+
+    (folder / "1.json").write_text(document("a", ["One"]) + "\n" + document("a", ["One"]))
+    (folder / "2.json").write_text(document("b", ["Two", "two"]))
+    drain()
+    (folder / "3.json").write_text(document("a", ["again"]) + "\n" + document("c", []))
+    drain()
+
+    def stored(name):
+        return spark.read.parquet(str(tmp_path / "library" / name)).drop("batch")
+
+    assert sorted((r.sid, r.title, r.artist, r.length) for r in stored("tags").collect()) == [
+        ("a", "One", None, 9.5), ("b", "two", None, 9.5), ("c", None, None, 9.5)]
+    assert stored("lowlevel_features").columns == ["sid", "lowlevel_loudness"] and stored("lowlevel_features").count() == 3
+    assert stored("rhythm_features").columns == ["sid", "rhythm_bpm"]
+    assert [r.lowlevel_mfcc for r in stored("lowlevel_mfcc_tbl").collect()] == [[1.0, 2.0]] * 3
