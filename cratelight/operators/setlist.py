@@ -6,10 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cratelight.functions.harmony import compatible_keys
-from cratelight.operators import similarity
 from cratelight.operators.align import only_known
 from cratelight.operators.pooling import running_sum
-from cratelight.operators.similarity import Blocks, block_nearest, keep_nearest
+from cratelight.operators.similarity import Blocks, block_nearest, fits_in_one, keep_nearest
 from cratelight.session import cut_lineage
 
 
@@ -81,7 +80,7 @@ def setlists(
     start = songs if seeds is None else only_known(songs, seeds)
     walks = start.select(F.col("sid").alias("seed"), F.array("sid").alias("excluded"), "bpm", "initialkey", "embedding")
     song_blocks = Blocks(_cells_of_songs(songs, bpm_window), CELL)
-    few_seeds = similarity.vector_bytes(walks) <= similarity.BLOCK_BYTES
+    few_seeds = fits_in_one(walks)
     ended = []
     for _ in range(n_songs):
         # seeds move to other cells, so unless they fit in one block they are counted again

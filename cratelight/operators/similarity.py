@@ -19,7 +19,8 @@ from cratelight.session import bounded_rows
 
 DECIMALS = 6  # distances are compared at the precision of the stored vectors, so copies tie
 FEW_REFERENCES = 1024
-BLOCK_BYTES = 8 << 20
+BLOCK_ROWS = 4096
+BLOCK_BYTES = 16 << 20
 CHUNK_ROWS = 2048
 MANY_CELLS = 200_000
 
@@ -30,13 +31,25 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.reshape(len(values), -1)
 
 
-def _distances(left: np.ndarray, right: np.ndarray, metric: str) -> np.ndarray:
-    left_norm, right_norm = np.linalg.norm(left, axis=1), np.linalg.norm(right, axis=1)
-    products = left @ right.T
+def _prepared(column: pa.ChunkedArray | pa.Array, metric: str) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors and their squared lengths; for cosine the vectors are scaled to length 1 (a zero vector stays zero)."""
+    matrix = _matrix(column) if not isinstance(column, np.ndarray) else column
+    squares = np.einsum("ij,ij->i", matrix, matrix)
     if metric == "cosine":
-        lengths = np.outer(left_norm, right_norm)
-        return np.clip(1.0 - np.divide(products, lengths, out=np.zeros_like(products), where=lengths > 0), 0.0, 2.0)
-    return np.sqrt(np.maximum(left_norm[:, None] ** 2 + right_norm[None, :] ** 2 - 2.0 * products, 0.0))
+        lengths = np.sqrt(squares)[:, None]
+        matrix = np.divide(matrix, lengths, out=np.zeros_like(matrix), where=lengths > 0)
+    return matrix, squares
+
+
+def _distances(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray], metric: str) -> np.ndarray:
+    """All distances of two prepared sides, exact to well below ``DECIMALS``; in place, since blocks are large."""
+    dist = left[0] @ right[0].T
+    if metric == "cosine":
+        return np.subtract(1.0, dist, out=dist)
+    dist *= -2.0
+    dist += left[1][:, None]
+    dist += right[1][None, :]
+    return np.sqrt(np.maximum(dist, 0.0, out=dist), out=dist)
 
 
 def _best(rows: np.ndarray, ids: np.ndarray, dist: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -50,9 +63,11 @@ def _best(rows: np.ndarray, ids: np.ndarray, dist: np.ndarray, n: int) -> tuple[
 
 
 def _closest(dist: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column numbers that hold every finite value up to the n-th smallest of their row."""
-    limit = np.partition(dist, n - 1, axis=1)[:, n - 1 : n] if n < dist.shape[1] else np.inf
-    return np.nonzero((dist <= limit) & np.isfinite(dist))
+    """Row and column numbers of every finite value that can be among the n smallest of its row once rounded."""
+    if n >= dist.shape[1]:
+        return np.nonzero(np.isfinite(dist))
+    limit = dist.min(axis=1) if n == 1 else np.partition(dist, n - 1, axis=1)[:, n - 1]
+    return np.nonzero(dist <= np.minimum(limit + 2 * 10.0**-DECIMALS, np.finfo(np.float64).max)[:, None])
 
 
 class _Running:
@@ -63,7 +78,8 @@ class _Running:
 
     def add(self, dist: np.ndarray, ids: np.ndarray, first_row: int = 0) -> None:
         rows, cols = _closest(dist, self.n)
-        parts = rows + first_row, ids[cols], dist[rows, cols]
+        rounded = np.maximum(np.round(dist[rows, cols], DECIMALS), 0.0) + 0.0
+        parts = rows + first_row, ids[cols], rounded
         if self.rows is not None:
             parts = [np.concatenate(pair) for pair in zip((self.rows, self.ids, self.dist), parts)]
         if len(parts[0]):
@@ -89,6 +105,7 @@ def _few(vectors: DataFrame, refs: list, n: int, metric: str, schema: str) -> Da
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, matrix = shared.value
+        prepared = _prepared(matrix, metric)
         best, id_type = _Running(n), None
         row_of = {name: i for i, name in enumerate(names)}
         for batch in batches:
@@ -96,7 +113,7 @@ def _few(vectors: DataFrame, refs: list, n: int, metric: str, schema: str) -> Da
             for at in range(0, batch.num_rows, CHUNK_ROWS):
                 part = batch.slice(at, CHUNK_ROWS)
                 ids = part["sid"].to_numpy(zero_copy_only=False)
-                dist = np.round(_distances(matrix, _matrix(part["embedding"]), metric), DECIMALS)
+                dist = _distances(prepared, _prepared(part["embedding"], metric), metric)
                 own = [(row_of[i], col) for col, i in enumerate(ids.tolist()) if i in row_of]
                 if own:
                     dist[tuple(np.array(own).T)] = np.inf
@@ -107,13 +124,20 @@ def _few(vectors: DataFrame, refs: list, n: int, metric: str, schema: str) -> Da
     return vectors.select("sid", "embedding").mapInArrow(scan, schema)
 
 
-def vector_bytes(df: DataFrame) -> int:
-    """Total size of the vectors of a frame."""
-    return df.agg(F.sum(F.size("embedding").cast("long") * 4)).first()[0] or 0
+def _block_count() -> Column:
+    """Blocks for a group of vectors."""
+    size = F.sum(F.size("embedding").cast("long") * 4)
+    return F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, size / BLOCK_BYTES)).cast("int")
+
+
+def fits_in_one(df: DataFrame) -> bool:
+    """Whether all vectors of a frame fit in one block."""
+    return (df.agg(_block_count()).first()[0] or 0) <= 1
 
 
 class Blocks:
-    """How many blocks one side needs in each cell, so that a block holds about ``BLOCK_BYTES`` of vectors.
+    """How many blocks one side needs in each cell, so that a block holds about ``BLOCK_ROWS`` songs, and for wide
+    vectors fewer, to stay near ``BLOCK_BYTES``.
 
     ``fits`` says that the whole side fits in one block, which saves counting per cell.
     """
@@ -122,8 +146,7 @@ class Blocks:
         self.cell, self.counts = cell, None
         if fits:
             return
-        size = F.sum(F.size("embedding").cast("long") * 4)
-        counts = df.groupBy(*cell).agg(F.ceil(size / BLOCK_BYTES).cast("int").alias("n"))
+        counts = df.groupBy(*cell).agg(_block_count().alias("n"))
         rows = bounded_rows(counts, MANY_CELLS)
         if rows is None:
             self.counts = counts
@@ -173,21 +196,23 @@ def block_nearest(
         seed_ids, song_type = seed_rows["seed"].combine_chunks(), song_rows.schema.field("sid").type
         if seed_rows.num_rows and song_rows.num_rows:
             song_rows = song_rows.sort_by("sid")
-            ids, candidates = song_rows["sid"].to_numpy(), _matrix(song_rows["embedding"])
+            ids, (candidates, squares) = song_rows["sid"].to_numpy(), _prepared(song_rows["embedding"], metric)
             song_bpm = song_rows["bpm"].to_numpy() if tempo else None
             for at in range(0, seed_rows.num_rows, CHUNK_ROWS):
                 part = seed_rows.slice(at, CHUNK_ROWS)
-                matrix = _matrix(part["embedding"])
+                matrix = _prepared(part["embedding"], metric)
                 bpm = part["bpm"].to_numpy() if tempo else None
                 excluded = part["excluded"].combine_chunks()
                 skip = excluded.flatten().to_numpy(zero_copy_only=False)
                 skip_row = np.repeat(np.arange(part.num_rows), excluded.value_lengths().to_numpy(zero_copy_only=False))
                 for start in range(0, len(ids), CHUNK_ROWS * 4):
                     chunk = ids[start : start + CHUNK_ROWS * 4]
-                    dist = np.round(_distances(matrix, candidates[start : start + len(chunk)], metric), DECIMALS)
+                    stop = start + len(chunk)
+                    dist = _distances(matrix, (candidates[start:stop], squares[start:stop]), metric)
                     if tempo:
-                        near = song_bpm[None, start : start + len(chunk)]
-                        dist[(near < (bpm - bpm_window)[:, None]) | (near > (bpm + bpm_window)[:, None])] = np.inf
+                        near, low, high = song_bpm[start:stop], bpm - bpm_window, bpm + bpm_window
+                        if near.min() < low.max() or near.max() > high.min():
+                            dist[(near[None, :] < low[:, None]) | (near[None, :] > high[:, None])] = np.inf
                     slot = np.minimum(np.searchsorted(chunk, skip), len(chunk) - 1)
                     hit = chunk[slot] == skip
                     dist[skip_row[hit], slot[hit]] = np.inf

@@ -70,7 +70,7 @@ def feature_tables(rows: DataFrame, meta_prefix: str = "meta") -> dict[str, Data
 
 
 def ingest_documents(spark: SparkSession, stream: DataFrame, root: str, checkpoint: str) -> None:
-    """Appends the tables of new feature documents below ``root``; documents with a known ``sid`` are left out.
+    """Appends the tables of new feature documents below ``root``; documents with a known or no ``sid`` are left out.
 
     As in ``ingest_stream``, a batch owns its ``batch=<n>`` folders. ``tags`` is written last and tells what is known,
     so a batch that failed half way is written again as a whole.
@@ -78,7 +78,7 @@ def ingest_documents(spark: SparkSession, stream: DataFrame, root: str, checkpoi
 
     def write(batch: DataFrame, number: int) -> None:
         known = read_or_empty(spark, f"{root}/tags", "sid string, batch long").where(F.col("batch") < number)
-        flat = feature_rows(batch)
+        flat = feature_rows(batch).where("sid IS NOT NULL")
         single = flat.groupBy("sid").agg(*[F.first(c).alias(c) for c in flat.columns if c != "sid"], F.count("*").alias("_copies"))
         rows = only_new_groups(single, known, "_copies").persist()
         tables = feature_tables(rows)

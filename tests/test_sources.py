@@ -136,7 +136,7 @@ def test_documents_become_tables_once(spark, tmp_path):
     (folder / "1.json").write_text(document("a", ["One"]) + "\n" + document("a", ["One"]))
     (folder / "2.json").write_text(document("b", ["Two", "two"]))
     drain()
-    (folder / "3.json").write_text(document("a", ["again"]) + "\n" + document("c", []))
+    (folder / "3.json").write_text(document("a", ["again"]) + "\n{broken\n" + document("c", []))
     drain()
 
     def stored(name):
