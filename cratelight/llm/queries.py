@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from cratelight.llm import mixing, shards, urls
+from cratelight.llm import language, mixing, quality, shards, toxicity, urls
 
 QUERIES = {
+    "op3_naive_bayes": language.op3_naive_bayes,
+    "op5_gru_attention": toxicity.op5_gru_attention,
     "op6_golden_mix": mixing.op6_golden_mix,
     "op7_bloom_cascade": urls.op7_bloom_cascade,
     "op8_jump_hash": shards.op8_jump_hash,
+    "op10_ngram_ratio": quality.op10_ngram_ratio,
 }
 SQL = {
     "op6_golden_mix": mixing.OP6_SQL,
