@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_SHIPPED: set[str] = set()
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "cratelight") -> SparkSession:
@@ -25,6 +28,20 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     )
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package's source to the Python workers, once per application; Spark serves the archive from the driver."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="cratelight-source-")) / "cratelight_source.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can write to: the one the cluster names, else (local mode only) a fresh one."""
     context = spark.sparkContext
