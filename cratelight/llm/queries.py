@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from cratelight.llm import language, mixing, quality, shards, toxicity, urls
+from cratelight.llm import dedup, language, mixing, quality, shards, toxicity, urls, vectors
 
 QUERIES = {
+    "op1_multi_index": vectors.op1_multi_index,
     "op3_naive_bayes": language.op3_naive_bayes,
+    "op4_bag_minhash": dedup.op4_bag_minhash,
     "op5_gru_attention": toxicity.op5_gru_attention,
     "op6_golden_mix": mixing.op6_golden_mix,
     "op7_bloom_cascade": urls.op7_bloom_cascade,
