@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from cratelight.llm import dedup, language, mixing, quality, shards, toxicity, urls, vectors
+from cratelight.llm import dedup, language, mixing, packing, quality, shards, toxicity, urls, vectors, warc
 
 QUERIES = {
     "op1_multi_index": vectors.op1_multi_index,
+    "op2_swap_packing": packing.op2_swap_packing,
     "op3_naive_bayes": language.op3_naive_bayes,
     "op4_bag_minhash": dedup.op4_bag_minhash,
     "op5_gru_attention": toxicity.op5_gru_attention,
     "op6_golden_mix": mixing.op6_golden_mix,
     "op7_bloom_cascade": urls.op7_bloom_cascade,
     "op8_jump_hash": shards.op8_jump_hash,
+    "op9_seekable_warc": warc.op9_seekable_warc,
     "op10_ngram_ratio": quality.op10_ngram_ratio,
 }
 SQL = {
