@@ -21,6 +21,7 @@ PASSES, STEPS, DONORS, WIDEST = 2, 64, 400, 6
 MOST_WORDS = 800_000  # in the cache of a worker, about 200 bytes each
 TOKENIZER = "word_bpe_49k.json"
 PROBE = "The  cat's Na\u00efve stra\u00dfe,\nco-op. \u00c9t\u00e9 12ab (x) qwxz don't e\u0301 \u0130 a.b ,. tz".encode()
+MARKS = "!#$%&*+,-./:;?@^_|~()[]{}=>"
 _CACHES: dict[str, tuple[object, dict[bytes, bytes]]] = {}
 
 
@@ -58,11 +59,10 @@ def encoder(path: str) -> Callable[[bytes], bytes]:
         name = word.decode("utf-8", "replace")
         if name.isalpha() and max(name) < "\u0250" and name.lower() == name:
             return np.array([t.id for t in tokenizer.model.tokenize(word.decode("latin-1").translate(letters))], "<u4").tobytes()
-        if len(name) > 1 and name[-1] in ".," and name[-2].isalpha() and "<|" not in name:
-            for part in (word[:-1], word[-1:]):
-                if part not in known:
-                    known[part] = of_word(part)
-            return known[word[:-1]] + known[word[-1:]]
+        base = name.rstrip(MARKS)
+        if base != name and base.isalpha():  # letters, then marks: two tokens of the rules, whatever they are
+            cut = len(base.encode())
+            return b"".join(known.get(part) or known.setdefault(part, of_word(part)) for part in (word[:cut], word[cut:]))
         return whole(word)
 
     def encode(text: bytes) -> bytes:

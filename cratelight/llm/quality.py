@@ -101,18 +101,19 @@ def fit(docs: DataFrame, labels: DataFrame, trusted_rows: int = TRUSTED_ROWS) ->
     return np.log(trusted / trusted.sum()) - np.log(raw / raw.sum())
 
 
-def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
-    """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score, kept) of every document.
+def judge(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",), threshold: float = THRESHOLD, trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
+    """The columns ``keep`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, score, base_failed and kept.
 
     ``score`` is the mean log ratio of the document's tokens and token pairs between the trusted target and the raw corpus; a
     document is kept if the base rules pass and the score reaches ``threshold``. A null or blank text has no words and so
     fails the base rules, with score 0. Without trusted rows every ratio is 0 and the base rules decide. Repeated rows and
-    ids are judged alike; columns other than doc_id, text and quality are not read.
+    ids are judged alike; names of the
+    figures must not be among ``keep``; columns other than these, doc_id, text and quality are not read.
     """
     spark = docs.sparkSession
     ratios = spark.sparkContext.broadcast(fit(docs, labels, trusted_rows))
-    docs = docs.select("doc_id", "text")
-    schema = T.StructType([docs.schema["doc_id"], *[T.StructField(c, T.LongType()) for c in FIGURES], T.StructField("score", T.DoubleType())])
+    docs = docs.select(*dict.fromkeys(["text", *keep]))
+    schema = T.StructType([*[docs.schema[c] for c in keep], *[T.StructField(c, T.LongType()) for c in FIGURES], T.StructField("score", T.DoubleType())])
 
     def score(batches):
         for batch in batches:
@@ -122,7 +123,7 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, trus
                 one, one_bounds, two, two_bounds = features(data, bounds)
                 total = _sums(ratios.value[one], one_bounds) + _sums(ratios.value[two], two_bounds)
                 mean = total / np.maximum(np.diff(one_bounds) + np.diff(two_bounds), 1)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *[pa.array(figures[c].astype(np.int64)) for c in FIGURES], pa.array(mean)], schema.names)
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], *[pa.array(figures[c].astype(np.int64)) for c in FIGURES], pa.array(mean)], schema.names)
 
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
     return docs.mapInArrow(score, schema).withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))

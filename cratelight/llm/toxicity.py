@@ -292,22 +292,22 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
     return train(list(rows.text), toxic)
 
 
-def score(docs: DataFrame, net: Network | None) -> DataFrame:
-    """``docs`` with ``score`` and ``predicted`` behind its columns: the probability that a whole text is toxic, over all
-    its windows, and 1 if it is 0.5 or more.
+def score(docs: DataFrame, net: Network | None, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` of ``docs`` with ``score`` and ``predicted``: the probability that a whole text is toxic, over all
+    its windows, and 1 if it is 0.5 or more. The names of these two must not be among ``keep``.
 
     Null texts, texts without a word (a run of letters and digits) and all texts without a network have score 0. Repeated
     rows are scored alike.
     """
     shared = docs.sparkSession.sparkContext.broadcast(net)
-    schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField("score", T.DoubleType())])
 
     def run(batches):
         net = shared.value
         for batch in batches:
             for part in pieces_of(batch, 2 << 20):
                 chance = np.zeros(len(part)) if net is None else net.chance(part.column("text"))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(chance)], schema.names)
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], pa.array(chance)], schema.names)
 
     return docs.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
@@ -316,4 +316,4 @@ def op5_gru_attention(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's toxicity, learned from the labels that are not held out."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     net = fit(docs, table(spark, folder, "labels").select("doc_id", "toxic"))
-    return score(docs, net).withColumn("held_out", held_out()).select("doc_id", "held_out", "score", "predicted")
+    return score(docs, net, ["doc_id"]).withColumn("held_out", held_out()).select("doc_id", "held_out", "score", "predicted")
