@@ -150,9 +150,25 @@ def forest(linked: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
+def stars(edges: np.ndarray) -> pd.DataFrame:
+    """Edges (a, b) that join what ``edges`` (rows of two ids) join: from the smallest id of each component to each other."""
+    names, ends = np.unique(edges, return_inverse=True)
+    ends = ends.reshape(-1, 2)
+    label = np.arange(len(names))
+    while True:
+        before = label.copy()
+        np.minimum.at(label, ends[:, 0], label[ends[:, 1]])
+        np.minimum.at(label, ends[:, 1], label[ends[:, 0]])
+        label = label[label]
+        if (label == before).all():
+            break
+    others = np.flatnonzero(label != np.arange(len(names)))
+    return pd.DataFrame({"a": names[label[others]], "b": names[others]}, dtype="int64")
+
+
 def _canopies(group: pd.DataFrame) -> pd.DataFrame:
-    """Edges from leaders to the texts of their canopies, for each band key of the group. The first text that is close to no
-    leader yet becomes one, and every text near it joins it, whether it has a leader or not."""
+    """Edges that join the texts of each canopy of each band key of the group. The first text that is close to no leader yet
+    becomes one, and every text near it joins it, whether it has a leader or not."""
     group = group.sort_values(["key", "one", "two", "node"], kind="stable")
     node = group.node.to_numpy()
     marks = np.frombuffer(b"".join(group.marks), np.uint8).reshape(len(group), -1)
@@ -171,8 +187,7 @@ def _canopies(group: pd.DataFrame) -> pd.DataFrame:
             free &= alike < CLOSE
             free[leader] = False
             edges.append(np.stack([np.full(len(joined), node[at + leader]), node[at + joined]], 1))
-    edges = np.concatenate(edges)
-    return pd.DataFrame(np.unique(edges[edges[:, 0] != edges[:, 1]], axis=0), columns=["a", "b"])
+    return stars(np.concatenate(edges))
 
 
 def overlaps(text: np.ndarray, shingle: np.ndarray, weight: np.ndarray, texts: int, split: int = 0) -> np.ndarray:
@@ -217,7 +232,7 @@ def _verify(least: tuple[int, int]):
         ids, blocks, texts, edges = group.doc_id.to_numpy(), group.block.to_numpy(), list(group.text), []
         for i, j in zip(first, np.append(first[1:], len(group)), strict=True):
             edges += one_block_pair(ids[i:j], blocks[i:j], texts[i:j])
-        return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
+        return stars(np.array(edges, np.int64).reshape(-1, 2))
 
     return verify
 
