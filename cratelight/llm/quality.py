@@ -12,7 +12,8 @@ from cratelight.llm.common import U64, WORDS, WORDS_AND_MARKS, mix, pieces_of, t
 
 BUCKET_BITS = 14
 TRUSTED_ROWS = 20_000  # bound of the labelled sample that the target is fitted on
-SMOOTHING = 1.0
+SMOOTHING = 1.0  # of the raw corpus's counts
+PULL = 1000.0  # tokens of the raw corpus that the target's multinomial starts from
 THRESHOLD = -0.12  # of the mean log ratio of a document's n-grams; 0 means as likely under either
 LEAST_WORDS, MOST_REPEATED_PERCENT, WINDOW = 10, 20, 5
 LINES = np.where(np.arange(256) == ord("\n"), 0, 1).astype(np.uint8)
@@ -93,12 +94,18 @@ def fit(docs: DataFrame, labels: DataFrame, trusted_rows: int = TRUSTED_ROWS) ->
     marked = marked.select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
     counted = marked.mapInArrow(_count, "bucket int, raw long, trusted long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted"))
     rows = counted.toPandas()  # at most one row per bucket
-    raw, trusted = (np.full(1 << BUCKET_BITS, SMOOTHING) for _ in range(2))
+    raw, trusted = np.full(1 << BUCKET_BITS, SMOOTHING), np.zeros(1 << BUCKET_BITS)
     raw[rows.bucket] += rows.raw
     trusted[rows.bucket] += rows.trusted
-    if not rows.trusted.sum():
-        return np.zeros(1 << BUCKET_BITS)
-    return np.log(trusted / trusted.sum()) - np.log(raw / raw.sum())
+    return log_ratio(raw, trusted)
+
+
+def log_ratio(raw: np.ndarray, trusted: np.ndarray) -> np.ndarray:
+    """The target's multinomial is drawn towards the raw one, so without evidence a ratio is 0."""
+    if not trusted.any():
+        return np.zeros(len(raw))
+    base = raw / raw.sum()
+    return np.log((trusted + PULL * base) / (trusted.sum() + PULL)) - np.log(base)
 
 
 def judge(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",), threshold: float = THRESHOLD, trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
