@@ -19,7 +19,7 @@ ROWS_PER_CLASS = 2000  # bound of the labelled sample, for each class
 ROUNDS, BATCH, RATE, WORD_DROP = 8, 128, 6e-3, 0.3
 HELD_OUT_MOD, HELD_OUT_REST = 5, 0
 LETTERS = np.where(WORDS_AND_MARKS == 1, 1, 0).astype(np.uint8)
-AT_ONCE = 1024
+AT_ONCE, WORDS_AT_ONCE = 1024, 20_000
 
 
 @dataclass
@@ -30,15 +30,11 @@ class Vocabulary:
     grams: np.ndarray
     begin: np.ndarray
 
-    def inputs(self, words: np.ndarray, chars: np.ndarray, some: np.ndarray | None = None, drop: np.ndarray | None = None):
+    def inputs(self, words: np.ndarray, chars: np.ndarray, some: np.ndarray, drop: np.ndarray | None = None):
         """[word embedding; characters' embeddings summed over the root of their number] of the words ``some``."""
-        lengths = np.diff(self.begin)
-        if some is None:
-            word, flat, begin = self.word, self.grams, self.begin
-        else:
-            word, n = self.word[some], lengths[some]
-            begin = np.concatenate([[0], np.cumsum(n)])
-            flat = self.grams[np.repeat(self.begin[some] - begin[:-1], n) + np.arange(begin[-1])]
+        word, n = self.word[some], self.begin[some + 1] - self.begin[some]
+        begin = np.concatenate([[0], np.cumsum(n)])
+        flat = self.grams[np.repeat(self.begin[some] - begin[:-1], n) + np.arange(begin[-1])]
         scale = (1 / np.sqrt(np.diff(begin))).astype(np.float32)[:, None]
         left = words[word]
         if drop is not None:
@@ -59,14 +55,16 @@ def read(texts) -> tuple[Tokens, Vocabulary, np.ndarray]:
     following = np.append(found.starts, len(data))[first + 1] if len(first) else start
     lengths = np.minimum(stops[ends] if len(first) else start, following) - start
     begin = np.concatenate([[0], np.cumsum(lengths)])
-    at = np.repeat(start - begin[:-1], lengths) + np.arange(begin[-1])
-    here = data[at].astype(U64)
-    before, after = np.zeros_like(here), np.zeros_like(here)
-    before[1:], after[:-1] = here[:-1], here[1:]
-    before[begin[:-1]] = 0
-    after[begin[1:] - 1] = 0
-    grams = mix((before << U64(16)) | (here << U64(8)) | after | U64(1 << 40)) >> U64(64 - 13)
-    return found, Vocabulary((hashes >> U64(64 - 13)).astype(np.int64), grams.astype(np.int64), begin), index.astype(np.int64)
+    grams = np.empty(begin[-1], np.int32)
+    for i in range(0, len(start), WORDS_AT_ONCE):
+        own, local = lengths[i : i + WORDS_AT_ONCE], begin[i : i + WORDS_AT_ONCE + 1] - begin[i]
+        here = data[np.repeat(start[i : i + WORDS_AT_ONCE] - local[:-1], own) + np.arange(local[-1])].astype(U64)
+        before, after = np.zeros_like(here), np.zeros_like(here)
+        before[1:], after[:-1] = here[:-1], here[1:]
+        before[local[:-1]] = 0
+        after[local[1:] - 1] = 0
+        grams[begin[i] : begin[i] + local[-1]] = mix((before << U64(16)) | (here << U64(8)) | after | U64(1 << 40)) >> U64(64 - 13)
+    return found, Vocabulary((hashes >> U64(64 - 13)).astype(np.int64), grams, begin), index.astype(np.int32)
 
 
 def cut(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -97,6 +95,14 @@ class Network:
         """What each word adds to the gates: both directions' reset, update and candidate."""
         return inputs @ self.weights["in"] + self.weights["bias"]
 
+    def gates_of(self, vocabulary: Vocabulary) -> np.ndarray:
+        """The gates of every word of a vocabulary."""
+        out = np.empty((len(vocabulary.word), 6 * UNITS), np.float32)
+        for i in range(0, len(out), WORDS_AT_ONCE):
+            some = np.arange(i, min(i + WORDS_AT_ONCE, len(out)))
+            out[some] = self.gates(vocabulary.inputs(self.weights["words"], self.weights["chars"], some)[0])
+        return out
+
     def forward(self, gates: np.ndarray, lengths: np.ndarray, keep: bool = False):
         """Logits of windows from their words' gates (step, 2, 3 * UNITS, window). ``keep``: also what ``backward`` needs."""
         w, (steps, _, _, n), u = self.weights, gates.shape, UNITS
@@ -181,8 +187,7 @@ class Network:
         text, first = cut(counts)
         top = np.full(len(counts), -np.inf)
         if len(text):
-            gates = self.gates(vocabulary.inputs(self.weights["words"], self.weights["chars"])[0])
-            logits = self.windows(gates, index, found.bounds[text] + first, np.minimum(counts[text], WINDOW))
+            logits = self.windows(self.gates_of(vocabulary), index, found.bounds[text] + first, np.minimum(counts[text], WINDOW))
             np.maximum.at(top, text, logits)
         return top
 
@@ -208,7 +213,7 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Network:
         lot = rng.random(len(text))
         chosen = [_tops(lot, heads), _tops(rng.random(len(text)), heads)]
         if round_:
-            logits = net.windows(net.gates(vocabulary.inputs(w["words"], w["chars"])[0]), index, starts, lengths)
+            logits = net.windows(net.gates_of(vocabulary), index, starts, lengths)
             top = _tops(logits, heads)
             chosen = [top, chosen[0][~toxic[text[chosen[0]]]]]
         picked = rng.permutation(np.concatenate(chosen))
@@ -241,7 +246,7 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Network:
                 b += 0.01 * (g * g - b)
                 w[k] -= rate * ((a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.99**step)) + 1e-6) + 1e-3 * w[k]).astype(np.float32)
     if len(text):
-        logits = net.windows(net.gates(vocabulary.inputs(w["words"], w["chars"])[0]), index, starts, lengths)
+        logits = net.windows(net.gates_of(vocabulary), index, starts, lengths)
         top = np.maximum.reduceat(logits, heads)
         net.slope, net.offset = _calibrate(top.astype(np.float64), toxic[text[heads]].astype(np.float64))
     return net
@@ -286,10 +291,11 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
         part = known.where(F.col("toxic") == value).orderBy(*order).limit(rows_per_class)
         chosen = part if chosen is None else chosen.union(part)
     rows = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
-    toxic = rows.toxic.to_numpy().astype(bool)
+    toxic, texts = rows.toxic.to_numpy().astype(bool), list(rows.text)
+    del rows
     if not toxic.any() or toxic.all():
         return None
-    return train(list(rows.text), toxic)
+    return train(texts, toxic)
 
 
 def score(docs: DataFrame, net: Network | None, keep: list[str]) -> DataFrame:
