@@ -28,45 +28,67 @@ def slug(label: Column) -> Column:
     )
 
 
-def _number_word(n: int) -> str:
-    if n < 20:
-        return UNITS[n]
-    return TENS[n // 10] + (f"-{UNITS[n % 10]}" if n % 10 else "")
+SCALES = ["", " thousand", " million", " billion", " trillion", " quadrillion"]
+MOST_DIGITS = 3 * len(SCALES)
 
 
-def _plural(word: str) -> str:
-    head, dash, last = word.rpartition("-")
-    if last.endswith("y"):
-        last = last[:-1] + "ies"
+def _below_1000(n: int) -> str:
+    """Words of 0 to 999, nothing for 0."""
+    hundreds, rest = divmod(n, 100)
+    if rest < 20:
+        tail = UNITS[rest] if rest else ""
     else:
-        last = IRREGULAR_PLURALS.get(last, last + "s")
-    return head + dash + last
+        tail = TENS[rest // 10] + (f"-{UNITS[rest % 10]}" if rest % 10 else "")
+    return " and ".join(part for part in (f"{UNITS[hundreds]} hundred" if hundreds else "", tail) if part)
+
+
+def _plural(words: str) -> str:
+    cut = max(words.rfind("-"), words.rfind(" ")) + 1
+    last = words[cut:]
+    return words[:cut] + (last[:-1] + "ies" if last.endswith("y") else IRREGULAR_PLURALS.get(last, last + "s"))
 
 
 def number_words(label: Column) -> Column:
-    """Labels that are a number 0-99, or one with a plural s, as words; every other label unchanged.
+    """Labels that are a whole number, or one with a plural s, as words; every other label unchanged.
 
-    ``73`` -> ``seventy-three``, ``80s`` -> ``eighties``, ``disco`` -> ``disco``.
+    ``73`` -> ``seventy-three``, ``80s`` -> ``eighties``, ``1204`` -> ``one thousand, two hundred and four``, ``disco`` -> ``disco``.
+    Groups of three digits are looked up and joined by commas, a last group below 100 by ``and``. Numbers of more than
+    ``MOST_DIGITS`` digits have no name here and stay as they are.
     """
-    words, plurals = (
-        F.expr("array(" + ", ".join(f"'{form(_number_word(n))}'" for n in range(100)) + ")") for form in (str, _plural)
-    )
-    number = F.regexp_extract(label, r"^([0-9]{1,2})s?$", 1)
-    slot = number.try_cast("int") + 1
-    return (
-        F.when(label.rlike(r"^[0-9]{1,2}$"), F.try_element_at(words, slot))
-        .when(label.rlike(r"^[0-9]{1,2}s$"), F.try_element_at(plurals, slot))
-        .otherwise(label)
-    )
+    small = F.expr("array(" + ", ".join(f"'{_below_1000(n)}'" for n in range(1000)) + ")")
+    scales = F.array(*map(F.lit, reversed(SCALES)))
+    digits = F.lpad(F.regexp_extract(label, f"^([0-9]{{1,{MOST_DIGITS}}})s?$", 1), MOST_DIGITS, "0")
+    groups = F.transform(F.sequence(F.lit(0), F.lit(len(SCALES) - 1)), lambda i: F.substr(digits, 1 + 3 * i, F.lit(3)).try_cast("int"))
+    named = F.transform(groups, lambda g, i: F.when(g > 0, F.concat(F.element_at(small, g + 1), F.element_at(scales, i + 1))))
+
+    def joined(parts: Column) -> Column:
+        head = F.concat_ws(", ", F.slice(parts, 1, len(SCALES) - 1))
+        last = F.element_at(parts, -1)
+        joint = F.when((head == "") | last.isNull(), "").when(last.contains("hundred"), ", ").otherwise(" and ")
+        return F.concat(head, joint, F.coalesce(last, F.lit("")))
+
+    def plural(words: Column) -> Column:
+        irregular = [F.when(words.rlike(f"(^|[- ]){one}$"), F.regexp_replace(words, f"{one}$", many)) for one, many in IRREGULAR_PLURALS.items()]
+        return F.coalesce(*irregular, F.when(words.endswith("y"), F.regexp_replace(words, "y$", "ies")), F.concat(words, F.lit("s")))
+
+    # one-element arrays, so that each step is evaluated once
+    words = F.transform(F.transform(F.array(named), joined), lambda w: F.when(w == "", UNITS[0]).otherwise(w))
+    named_label = F.transform(words, lambda w: F.when(label.endswith("s"), plural(w)).otherwise(w))[0]
+    return F.when(label.rlike(f"^[0-9]{{1,{MOST_DIGITS}}}s?$"), named_label).otherwise(label)
 
 
 def number_word(label: str) -> str:
     """``number_words`` for one driver-side name."""
-    found = re.fullmatch(r"([0-9]{1,2})(s?)", label)
+    found = re.fullmatch(f"([0-9]{{1,{MOST_DIGITS}}})(s?)", label)
     if not found:
         return label
-    word = _number_word(int(found[1]))
-    return _plural(word) if found[2] else word
+    digits = found[1].zfill(MOST_DIGITS)
+    groups = [int(digits[i : i + 3]) for i in range(0, MOST_DIGITS, 3)]
+    head = ", ".join(_below_1000(g) + scale for g, scale in zip(groups[:-1], list(reversed(SCALES))[:-1]) if g)
+    last = _below_1000(groups[-1])
+    joint = "" if not head or not last else " and " if groups[-1] < 100 else ", "
+    words = head + joint + last or UNITS[0]
+    return _plural(words) if found[2] else words
 
 
 def display_label(name: Column) -> Column:

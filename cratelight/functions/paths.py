@@ -16,8 +16,9 @@ def strip_file_url(url: Column) -> Column:
 
 
 def percent_decode(text: Column) -> Column:
-    """Percent-decoding that leaves ``+`` alone."""
-    return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+    """Percent-decoding that leaves ``+`` and any ``%`` that no two hex digits follow alone."""
+    kept = F.regexp_replace(F.replace(text, F.lit("+"), F.lit("%2B")), "%(?![0-9A-Fa-f]{2})", "%25")
+    return F.url_decode(kept)
 
 
 @F.pandas_udf(StringType())

@@ -42,6 +42,8 @@ def seeded_sample(
     ).orderBy(F.desc(column), "sid")
 
 
-def random_sample(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
-    """``n`` random rows."""
-    return df.orderBy(F.rand(seed) if seed is not None else F.rand()).limit(n)
+def random_sample(df: DataFrame, n: int, seed: int | None = None, key: str = "sid") -> DataFrame:
+    """``n`` random rows; with a ``seed`` by a hash of seed and ``key``, the same in any partitioning."""
+    if seed is None:
+        return df.orderBy(F.rand()).limit(n)
+    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(n)

@@ -23,7 +23,8 @@ def score(
     """Scores vectors with a user's model, one double column per class plus ``error``.
 
     ``load_model`` runs once per partition and returns a function from a (rows, width) array to a (rows, classes)
-    array. A batch the model rejects is retried row by row, and rows it still rejects carry the message in ``error``.
+    array. A batch the model rejects is halved until
+    it passes or is one row, and rows it still rejects carry the message in ``error``.
     """
     if new_ids is not None:
         df = only_known(df, new_ids, key)
@@ -38,7 +39,8 @@ def score(
                 out, error = pd.DataFrame(scores, columns=classes), None
             except Exception as problem:
                 if len(part) > 1:
-                    return pd.concat([attempt(part.iloc[i : i + 1]) for i in range(len(part))], ignore_index=True)
+                    half = len(part) // 2
+                    return pd.concat([attempt(part.iloc[:half]), attempt(part.iloc[half:])], ignore_index=True)
                 out, error = pd.DataFrame([[np.nan] * len(classes)], columns=classes), f"{type(problem).__name__}: {problem}"
             out.insert(0, key, part[key].to_numpy())
             return out.assign(error=error)
@@ -50,6 +52,54 @@ def score(
     return df.select(key, vector).mapInPandas(run, schema)
 
 
+def score_segments(
+    df: DataFrame, load_model: Callable[[], Predict], classes: list[str], key: str = "sid", matrix: str = "segments", batch_rows: int = 4096,
+) -> DataFrame:
+    """Scores every segment of every song: one array column per class, in the order of the segments, plus ``error``.
+
+    ``matrix`` is an array of segment vectors. The segments of a batch of songs go to the model together, at most about
+    ``batch_rows`` in a call; if the model rejects them the songs are halved, and a song it still rejects carries the message. A song
+    without segments has empty arrays, a song whose matrix is NULL has NULLs.
+    """
+    schema = f"{key} {dict(df.dtypes)[key]}, " + "".join(f"`{c}` array<double>, " for c in classes) + "error string"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        predict = load_model()
+
+        def attempt(ids: list, songs: list) -> list[tuple]:
+            try:
+                counts = [len(song) for song in songs]
+                flat = [np.asarray(v, np.float32) for song in songs for v in song]
+                scores = np.asarray(predict(np.stack(flat)), np.float64) if flat else np.zeros((0, len(classes)))
+                if scores.shape != (len(flat), len(classes)):
+                    raise ValueError(f"the model gave {scores.shape} for {len(flat)} segments")
+                ends = np.cumsum(counts)
+                return [(i, *[scores[e - c : e, k].tolist() for k in range(len(classes))], None) for i, c, e in zip(ids, counts, ends)]
+            except Exception as problem:
+                if len(ids) == 1:
+                    return [(ids[0], *[None] * len(classes), f"{type(problem).__name__}: {problem}")]
+                half = len(ids) // 2
+                return attempt(ids[:half], songs[:half]) + attempt(ids[half:], songs[half:])
+
+        for batch in batches:
+            rows, ids, songs, size = [], [], [], 0
+            for i, song in zip(batch[key].tolist(), batch[matrix].tolist()):
+                if song is None:
+                    rows.append((i, *[None] * len(classes), None))
+                    continue
+                ids.append(i)
+                songs.append(song)
+                size += len(song)
+                if size >= batch_rows:
+                    rows += attempt(ids, songs)
+                    ids, songs, size = [], [], 0
+            if ids:
+                rows += attempt(ids, songs)
+            yield pd.DataFrame(rows, columns=[key, *classes, "error"])
+
+    return df.select(key, matrix).mapInPandas(run, schema)
+
+
 def split_errors(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows, rejected rows) of a scored frame."""
     return scored.where("error IS NULL").drop("error"), scored.where("error IS NOT NULL")

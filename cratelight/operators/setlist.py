@@ -13,7 +13,8 @@ from cratelight.session import cut_lineage
 
 
 def _bucket(bpm: Column, window: float) -> Column:
-    return F.floor(bpm / F.lit(float(window))).cast("long")
+    """Tempo bucket, as wide as the band, or 1 for a band of one tempo."""
+    return F.floor(bpm / F.lit(float(window) or 1.0)).cast("long")
 
 
 def playable(tags: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -29,9 +30,10 @@ CELL = ["cell_key", "cell_bpm"]
 
 
 def _cells_of_seeds(seeds: DataFrame, bpm_window: float, key_thresh: int) -> DataFrame:
-    bucket = _bucket(F.col("bpm"), bpm_window)
+    # from the same bounds that the band is checked with: rounding is monotonic, so no bucket of the band is left out
+    first, last = _bucket(F.col("bpm") - bpm_window, bpm_window), _bucket(F.col("bpm") + bpm_window, bpm_window)
     keys = seeds.withColumn("cell_key", F.explode(compatible_keys(F.col("initialkey"), key_thresh)))
-    return keys.withColumn("cell_bpm", F.explode(F.array(bucket - 1, bucket, bucket + 1)))
+    return keys.withColumn("cell_bpm", F.explode(F.sequence(first, last)))
 
 
 def _cells_of_songs(songs: DataFrame, bpm_window: float) -> DataFrame:

@@ -22,12 +22,19 @@ FEW_REFERENCES = 1024
 BLOCK_ROWS = 4096
 BLOCK_BYTES = 16 << 20
 CHUNK_ROWS = 2048
+DIRECT_VALUES = 1 << 22
 MANY_CELLS = 200_000
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     values = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    flat = values.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    widths = values.value_lengths().to_numpy(zero_copy_only=False)
+    if len(widths) and (widths != widths[0]).any():
+        raise ValueError("vectors of one comparison must have one width")
+    elements = values.flatten()
+    if elements.null_count:
+        raise ValueError("vectors must not hold NULL elements")
+    flat = elements.to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(values), -1)
 
 
@@ -41,15 +48,36 @@ def _prepared(column: pa.ChunkedArray | pa.Array, metric: str) -> tuple[np.ndarr
     return matrix, squares
 
 
-def _distances(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray], metric: str) -> np.ndarray:
-    """All distances of two prepared sides, exact to well below ``DECIMALS``; in place, since blocks are large."""
+def _products(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray], metric: str) -> np.ndarray:
+    """What orders all pairs of two prepared sides, from one matrix product: 1 - cosine, or the squared distance.
+
+    The squared distance loses digits where the vectors are long and close; it only serves to choose candidates.
+    """
     dist = left[0] @ right[0].T
     if metric == "cosine":
         return np.subtract(1.0, dist, out=dist)
     dist *= -2.0
     dist += left[1][:, None]
     dist += right[1][None, :]
-    return np.sqrt(np.maximum(dist, 0.0, out=dist), out=dist)
+    return dist
+
+
+def _slack(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray], metric: str) -> np.ndarray:
+    """For each left vector, how far ``_products`` can be off."""
+    unit = 4 * np.finfo(np.float64).eps * max(left[0].shape[1], 8)
+    if metric == "cosine":
+        return np.full(len(left[0]), unit)
+    return unit * (left[1] + right[1].max(initial=0.0))
+
+
+def _direct(left: np.ndarray, right: np.ndarray, rows: np.ndarray, cols: np.ndarray, metric: str) -> np.ndarray:
+    """The distances of chosen pairs, from the components."""
+    out = np.empty(len(rows))
+    step = max(1, DIRECT_VALUES // max(1, left.shape[1]))
+    for at in range(0, len(rows), step):
+        a, b = left[rows[at : at + step]], right[cols[at : at + step]]
+        out[at : at + step] = 1.0 - np.einsum("ij,ij->i", a, b) if metric == "cosine" else np.sqrt(np.einsum("ij,ij->i", a - b, a - b))
+    return out
 
 
 def _best(rows: np.ndarray, ids: np.ndarray, dist: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -62,24 +90,30 @@ def _best(rows: np.ndarray, ids: np.ndarray, dist: np.ndarray, n: int) -> tuple[
     return rows[keep], ids[keep], dist[keep]
 
 
-def _closest(dist: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _closest(dist: np.ndarray, n: int, slack: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
     """Row and column numbers of every finite value that can be among the n smallest of its row once rounded."""
     if n >= dist.shape[1]:
         return np.nonzero(np.isfinite(dist))
     limit = dist.min(axis=1) if n == 1 else np.partition(dist, n - 1, axis=1)[:, n - 1]
-    return np.nonzero(dist <= np.minimum(limit + 2 * 10.0**-DECIMALS, np.finfo(np.float64).max)[:, None])
+    rounding = 2 * 10.0**-DECIMALS
+    if metric == "cosine":
+        reach = limit + rounding + 2 * slack
+    else:
+        reach = (np.sqrt(np.maximum(limit + slack, 0.0)) + rounding) ** 2 + slack
+    return np.nonzero(dist <= np.minimum(reach, np.finfo(np.float64).max)[:, None])
 
 
 class _Running:
     """The best n per reference over the chunks seen so far."""
 
-    def __init__(self, n: int):
-        self.n, self.rows, self.ids, self.dist = n, None, None, None
+    def __init__(self, n: int, metric: str):
+        self.n, self.metric, self.rows, self.ids, self.dist = n, metric, None, None, None
 
-    def add(self, dist: np.ndarray, ids: np.ndarray, first_row: int = 0) -> None:
-        rows, cols = _closest(dist, self.n)
-        rounded = np.maximum(np.round(dist[rows, cols], DECIMALS), 0.0) + 0.0
-        parts = rows + first_row, ids[cols], rounded
+    def add(self, dist: np.ndarray, ids: np.ndarray, left: tuple, right: tuple, first_row: int = 0) -> None:
+        """``dist`` are the products of both sides, infinite where a pair is not allowed."""
+        rows, cols = _closest(dist, self.n, _slack(left, right, self.metric), self.metric)
+        exact = _direct(left[0], right[0], rows, cols, self.metric)
+        parts = rows + first_row, ids[cols], np.maximum(np.round(exact, DECIMALS), 0.0) + 0.0
         if self.rows is not None:
             parts = [np.concatenate(pair) for pair in zip((self.rows, self.ids, self.dist), parts)]
         if len(parts[0]):
@@ -106,18 +140,19 @@ def _few(vectors: DataFrame, refs: list, n: int, metric: str, schema: str) -> Da
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, matrix = shared.value
         prepared = _prepared(matrix, metric)
-        best, id_type = _Running(n), None
+        best, id_type = _Running(n, metric), None
         row_of = {name: i for i, name in enumerate(names)}
         for batch in batches:
             id_type = batch.schema.field("sid").type
             for at in range(0, batch.num_rows, CHUNK_ROWS):
                 part = batch.slice(at, CHUNK_ROWS)
                 ids = part["sid"].to_numpy(zero_copy_only=False)
-                dist = _distances(prepared, _prepared(part["embedding"], metric), metric)
+                songs = _prepared(part["embedding"], metric)
+                dist = _products(prepared, songs, metric)
                 own = [(row_of[i], col) for col, i in enumerate(ids.tolist()) if i in row_of]
                 if own:
                     dist[tuple(np.array(own).T)] = np.inf
-                best.add(dist, ids)
+                best.add(dist, ids, prepared, songs)
         if id_type is not None:
             yield from best.table(pa.array(names, id_type), id_type).to_batches()
 
@@ -192,7 +227,7 @@ def block_nearest(
     group = [*cell, "_sb", "_cb"]
 
     def meet(seed_rows: pa.Table, song_rows: pa.Table) -> pa.Table:
-        best = _Running(n)
+        best = _Running(n, metric)
         seed_ids, song_type = seed_rows["seed"].combine_chunks(), song_rows.schema.field("sid").type
         if seed_rows.num_rows and song_rows.num_rows:
             song_rows = song_rows.sort_by("sid")
@@ -208,7 +243,8 @@ def block_nearest(
                 for start in range(0, len(ids), CHUNK_ROWS * 4):
                     chunk = ids[start : start + CHUNK_ROWS * 4]
                     stop = start + len(chunk)
-                    dist = _distances(matrix, (candidates[start:stop], squares[start:stop]), metric)
+                    chosen = candidates[start:stop], squares[start:stop]
+                    dist = _products(matrix, chosen, metric)
                     if tempo:
                         near, low, high = song_bpm[start:stop], bpm - bpm_window, bpm + bpm_window
                         if near.min() < low.max() or near.max() > high.min():
@@ -216,7 +252,7 @@ def block_nearest(
                     slot = np.minimum(np.searchsorted(chunk, skip), len(chunk) - 1)
                     hit = chunk[slot] == skip
                     dist[skip_row[hit], slot[hit]] = np.inf
-                    best.add(dist, chunk, at)
+                    best.add(dist, chunk, matrix, chosen, at)
         return best.table(seed_ids, song_type)
 
     return left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(
@@ -237,7 +273,8 @@ def nearest(vectors: DataFrame, refs: DataFrame, n: int = 5, metric: str = "cosi
     """(seed, sid, distance, rank): the ``n`` nearest songs of each reference in ``refs`` (sid, embedding).
 
     A reference is never its own neighbour. Up to ``FEW_REFERENCES`` references are sent to the rows; more go
-    through blocks. Both ways are exact and agree.
+    through blocks. Either way a matrix product chooses candidates, with room for its error, and their distances are
+    then computed directly, so both agree and copies tie at any length. Vectors must have one width and no NULL element.
     """
     vectors = vectors.select("sid", "embedding").where(F.size("embedding") > 0)
     refs = refs.select("sid", "embedding").where(F.size("embedding") > 0)
@@ -292,23 +329,44 @@ def pairs_of(spark, ids: list) -> DataFrame:
     return spark.createDataFrame([(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :]], ["sid1", "sid2"])
 
 
-def approximate_nearest(
-    vectors: DataFrame, ref: list[float], n: int = 5, bucket_length: float = 0.5, tables: int = 6, seed: int = 1
-) -> DataFrame:
-    """(sid, distance): about the ``n`` nearest songs of one vector by cosine distance, from a random-projection index."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH, Normalizer
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.linalg import Vectors
+def plane_signs(embedding: Column, width: int, tables: int, bits: int, seed: int) -> list[Column]:
+    """For each table a number of ``bits`` bits: on which side of ``bits`` fixed planes a vector lies.
 
-    unit = Normalizer(inputCol="_raw", outputCol="_unit", p=2.0).transform(
-        vectors.select("sid", array_to_vector("embedding").alias("_raw"))
-    )
-    length = float(np.linalg.norm(ref)) or 1.0
-    index = BucketedRandomProjectionLSH(
-        inputCol="_unit", outputCol="_hashes", bucketLength=bucket_length, numHashTables=tables, seed=seed
-    ).fit(unit)
-    hits = index.approxNearestNeighbors(unit, Vectors.dense([x / length for x in ref]), n, distCol="_d")
-    return hits.select("sid", F.round(F.col("_d") * F.col("_d") / 2, DECIMALS).alias("distance"))
+    The planes' components are -1, 0 or 1, from a linear congruence of their place, so any engine can repeat them.
+    """
+    out = []
+    for t in range(tables):
+        code = F.lit(0)
+        for b in range(bits):
+            plane = [plane_component(t * bits + b, i, seed) for i in range(width)]
+            side = F.aggregate(F.zip_with(embedding, F.array(*map(F.lit, plane)), lambda x, w: x.cast("double") * w), F.lit(0.0), lambda s, x: s + x)
+            code = code + F.when(side > 0, 1 << b).otherwise(0)
+        out.append(code.cast("int"))
+    return out
+
+
+def plane_component(plane: int, i: int, seed: int) -> int:
+    return ((plane * 64 + i) * 7919 + seed * 104729) // 13 % 3 - 1
+
+
+def build_index(vectors: DataFrame, path: str, width: int, tables: int = 6, bits: int = 4, seed: int = 1) -> None:
+    """Writes the approximate index once, (table, code, sid, embedding), partitioned by table and code: a search reads its buckets only."""
+    codes = F.array(*plane_signs(F.col("embedding"), width, tables, bits, seed))
+    rows = vectors.where(F.size("embedding") == width).select("sid", "embedding", F.posexplode(codes).alias("table", "code"))
+    rows.write.partitionBy("table", "code").parquet(path)
+
+
+def search_index(refs: DataFrame, path: str, width: int, n: int = 5, tables: int = 6, bits: int = 4, seed: int = 1) -> DataFrame:
+    """(seed, sid, distance, rank): about the ``n`` nearest songs of each reference by cosine distance, itself left out.
+
+    Songs that share a bucket of some table with the reference are ranked by their exact distance.
+    """
+    stored = refs.sparkSession.read.parquet(path)
+    codes = F.array(*plane_signs(F.col("embedding"), width, tables, bits, seed))
+    asked = refs.select(F.col("sid").alias("seed"), F.col("embedding").alias("_v1"), F.posexplode(codes).alias("table", "code"))
+    met = asked.join(stored.withColumnRenamed("embedding", "_v2"), ["table", "code"]).where("seed <> sid")
+    scored = met.select("seed", "sid", _score("cosine").alias("distance")).distinct()
+    return keep_nearest(scored, n).select("seed", "sid", "distance", F.col("rank").cast("int").alias("rank"))
 
 
 def unit_vector(vector: Column) -> Column:

@@ -39,6 +39,40 @@ def stream_ingest(spark, d):
     return spark.read.parquet(table).select("sid", "file_path")
 
 
+@query("A14 A9 G3", sql="""WITH c AS (SELECT lang, md5(text) AS sid, '/' || lang || '/' || source || '/' || lpad(doc_id::VARCHAR, 12, '0') AS file_path FROM documents),
+    a AS (SELECT sid, min(file_path) AS file_path FROM c WHERE lang IN ('de', 'en') GROUP BY sid),
+    b AS (SELECT sid, min(file_path) AS file_path FROM c WHERE lang IN ('de', 'fr') GROUP BY sid),
+    e AS (SELECT sid, min(file_path) AS file_path FROM c GROUP BY sid),
+    ab AS (SELECT * FROM a UNION ALL SELECT * FROM b WHERE sid NOT IN (SELECT sid FROM a))
+    SELECT * FROM ab UNION ALL SELECT * FROM e WHERE sid NOT IN (SELECT sid FROM ab)""")
+def stream_two_sources(spark, d):
+    # two overlapping sources and then everything under a third checkpoint fill one table; nothing written earlier is lost
+    table = scratch_path(spark, "files")
+    fields = scan(spark, d, "documents").schema
+    for languages in (["de", "en"], ["de", "fr"], None):
+        arriving = spark.readStream.schema(fields).option("pathGlobFilter", "documents.parquet").parquet(d)
+        if languages is not None:
+            arriving = arriving.where(F.col("lang").isin(languages))
+        ingest_stream(spark, _content(arriving), table, scratch_path(spark, "progress"))
+    return spark.read.parquet(table).select("sid", "file_path")
+
+
+@query("A16 A14", "tags", """SELECT CASE sid % 3 WHEN 0 THEN 'malformed' ELSE 'no id' END AS reason,
+    CASE sid % 3 WHEN 0 THEN '{"metadata": ' || sid ELSE '{"tonal":{"key":' || sid || '}}' END AS document FROM tags WHERE sid % 3 < 2""")
+def document_rejects(spark, d):
+    # every third document is broken, every third has no id
+    sid = F.col("sid").cast("string")
+    text = (F.when(F.col("sid") % 3 == 0, F.concat(F.lit('{"metadata": '), sid))
+            .when(F.col("sid") % 3 == 1, F.concat(F.lit('{"tonal": {"key": '), sid, F.lit("}}")))
+            .otherwise(F.concat(F.lit('{"metadata": {"audio_properties": {"md5_encoded": "'), sid, F.lit('"}, "tags": {"bpm": [1.0]}}, "tonal": {"key": 1}}'))))
+    arrived, root = scratch_path(spark, "arrived"), scratch_path(spark, "library")
+    views.tags(spark, d).select(text.alias("value")).write.text(arrived)
+    shape = "metadata struct<audio_properties: struct<md5_encoded: string>, tags: struct<bpm: array<double>>>, tonal struct<key: bigint>, _corrupt string"
+    stream = spark.readStream.schema(shape).option("columnNameOfCorruptRecord", "_corrupt").json(arrived)
+    library.ingest_documents(spark, stream, root, scratch_path(spark, "progress"))
+    return spark.read.parquet(f"{root}/rejects").select("reason", "document")
+
+
 @query("A5 A6 B5", sql="SELECT event_id, (props->>'k')::BIGINT AS props_k FROM events")
 def flatten_json(spark, d):
     events = scan(spark, d, "events", "event_id", "props")
@@ -82,7 +116,7 @@ def ingest_documents(spark, d):
     nested.write.mode("append").json(arrived)  # every document arrives twice
     stream = spark.readStream.schema(nested.schema).json(arrived)
     library.ingest_documents(spark, stream, root, scratch_path(spark, "progress"))
-    stored = {name: spark.read.parquet(f"{root}/{name}").drop("batch") for name in ("tags", "rhythm_features", "tonal_features", "rhythm_beats_tbl")}
+    stored = {name: spark.read.parquet(f"{root}/{name}").drop("stream", "batch") for name in ("tags", "rhythm_features", "tonal_features", "rhythm_beats_tbl")}
     joined = stored["tags"].join(stored["rhythm_features"], "sid").join(stored["tonal_features"], "sid").join(stored["rhythm_beats_tbl"], "sid")
     beats = F.posexplode("rhythm_beats").alias("pos", "beat")
     return joined.select(F.col("sid").cast("long").alias("sid"), "title", "bpm", "rhythm_length", "tonal_key", beats)
@@ -95,13 +129,17 @@ def tag_repair(spark, d):
     return repair.repair_tags(views.holed_tags(spark, d), views.export(spark, d))
 
 
-@query("A7 B5 B13", "export", "SELECT TrackID, Name, Artist, AverageBpm::VARCHAR AS AverageBpm, Tonality, path FROM export WHERE contains(path, 'LaCie')")
+@query("A7 B5 B13", "export", """SELECT TrackID, Name, Artist, AverageBpm::VARCHAR AS AverageBpm, Tonality, path, 'c' || TrackID AS Comments,
+    AverageBpm::VARCHAR AS first_bpm, 2 AS marks FROM export WHERE contains(path, 'LaCie')""")
 def xml_collection(spark, d):
     folder = scratch_path(spark, "collection")
     tracks = views.export(spark, d)
-    tracks.toDF(*[f"_{c}" for c in tracks.columns]).write.format("xml").option("rootTag", "COLLECTION").option("rowTag", "TRACK").save(folder)
+    mark = lambda at: F.struct(F.lit(at).alias("_Inizio"), F.col("_AverageBpm").alias("_Bpm"))
+    written = tracks.toDF(*[f"_{c}" for c in tracks.columns]).withColumn("_Comments", F.concat(F.lit("c"), "_TrackID"))
+    written.withColumn("TEMPO", F.array(mark("0.1"), mark("0.9"))).write.format("xml").option("rootTag", "COLLECTION").option("rowTag", "TRACK").save(folder)
     read = library_xml.read_collection(spark, folder, "LaCie")
-    return read.select("TrackID", "Name", "Artist", "AverageBpm", "Tonality", export_path(F.col("Location")).alias("path"))
+    return read.select("TrackID", "Name", "Artist", "AverageBpm", "Tonality", export_path(F.col("Location")).alias("path"), "Comments",
+                       F.col("TEMPO")[0]["_Bpm"].alias("first_bpm"), F.size("TEMPO").alias("marks"))
 
 
 def _playlist_tree(spark, d):

@@ -37,23 +37,41 @@ def slug_text(spark, d):
     return scan(spark, d, "documents", "doc_id", "text").select("doc_id", F.md5(labels.slug(F.col("text"))).alias("slug_md5"))
 
 
-def _words(plural: bool) -> str:
-    names = [labels.number_word(f"{n}s" if plural else str(n)) for n in range(100)]
-    return "[" + ", ".join(f"'{name}'" for name in names) + "]"
+# The number words spelled out for the check, by units and tens; nothing here comes from the code under test.
+_UNITS_SQL = "['one','two','three','four','five','six','seven','eight','nine','ten','eleven','twelve','thirteen','fourteen','fifteen','sixteen','seventeen','eighteen','nineteen']"
+_TENS_SQL = "['ten','twenty','thirty','forty','fifty','sixty','seventy','eighty','ninety']"
 
 
-@query("H3", sql=f"""WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity::INTEGER AS q FROM lineitem)
-    SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, q,
-    CASE WHEN l_linenumber = 1 THEN 'q' || q WHEN l_linenumber % 2 = 0 THEN {_words(False)}[q + 1] ELSE {_words(True)}[q + 1] END AS words FROM l""")
+def _below_1000_sql(n: str) -> str:
+    tail = f"CASE WHEN {n} % 100 = 0 THEN '' WHEN {n} % 100 < 20 THEN {_UNITS_SQL}[{n} % 100] ELSE {_TENS_SQL}[{n} % 100 // 10] || CASE WHEN {n} % 10 > 0 THEN '-' || {_UNITS_SQL}[{n} % 10] ELSE '' END END"
+    return f"(CASE WHEN {n} >= 100 THEN {_UNITS_SQL}[{n} // 100] || ' hundred' || CASE WHEN {n} % 100 > 0 THEN ' and ' ELSE '' END ELSE '' END || {tail})"
+
+
+def _number_sql(n: str) -> str:
+    """SQL words of a whole number below a billion."""
+    million, thousand, rest = f"({n} // 1000000)", f"({n} // 1000 % 1000)", f"({n} % 1000)"
+    head = f"concat_ws(', ', CASE WHEN {million} > 0 THEN {_below_1000_sql(million)} || ' million' END, CASE WHEN {thousand} > 0 THEN {_below_1000_sql(thousand)} || ' thousand' END)"
+    joint = f"CASE WHEN {n} < 1000 OR {rest} = 0 THEN '' WHEN {rest} < 100 THEN ' and ' ELSE ', ' END"
+    return f"CASE WHEN {n} = 0 THEN 'zero' ELSE {head} || {joint} || {_below_1000_sql(rest)} END"
+
+
+def _plural_sql(words: str) -> str:
+    return f"CASE WHEN ends_with({words}, 'y') THEN {words}[:-2] || 'ies' WHEN ends_with({words}, 'six') THEN {words} || 'es' ELSE {words} || 's' END"
+
+
+@query("H3", sql=f"""WITH l AS (SELECT DISTINCT l_linenumber, l_partkey * l_quantity::BIGINT % 3000000 AS q FROM lineitem), w AS (SELECT *, {_number_sql('q')} AS word FROM l)
+    SELECT l_linenumber, q, CASE WHEN l_linenumber = 1 THEN 'q' || q WHEN l_linenumber % 2 = 0 THEN word ELSE {_plural_sql('word')} END AS words FROM w""")
 def number_words(spark, d):
-    items = scan(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity").withColumn("q", F.col("l_quantity").cast("int"))
+    items = scan(spark, d, "lineitem", "l_linenumber", "l_partkey", "l_quantity")
+    items = items.select("l_linenumber", (F.col("l_partkey") * F.col("l_quantity").cast("long") % 3000000).alias("q")).distinct()
     text = F.col("q").cast("string")
     label = F.when(F.col("l_linenumber") == 1, F.concat(F.lit("q"), text)).when(F.col("l_linenumber") % 2 == 0, text).otherwise(F.concat(text, F.lit("s")))
-    return items.select("l_orderkey", "l_linenumber", "l_partkey", "q", labels.number_words(label).alias("words")).distinct()
+    return items.select("l_linenumber", "q", labels.number_words(label).alias("words"))
 
 
-@query("H21 H3", sql=f"""SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN {_words(True)}[p_size + 1] ELSE replace(p_name, ' ', '_') END AS score_column,
-    lower(replace(p_type, '#', '')) || '_' || replace(p_name, ' ', '_') || '_' || (p_size % 3) || '_activations' AS score_table FROM part""")
+@query("H21 H3", sql=f"""WITH w AS (SELECT *, {_number_sql('p_size::BIGINT')} AS word FROM part)
+    SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN {_plural_sql('word')} ELSE replace(p_name, ' ', '_') END AS score_column,
+    lower(replace(p_type, '#', '')) || '_' || replace(p_name, ' ', '_') || '_' || (p_size % 3) || '_activations' AS score_table FROM w""")
 def classifier_names(spark, d):
     part = scan(spark, d, "part", "p_partkey", "p_name", "p_type", "p_size")
     size = F.col("p_size").cast("string")
@@ -98,9 +116,11 @@ def label_case(spark, d):
     return views.tags(spark, d).select("sid", labels.song_label(F.col("title"), artist).alias("song"), labels.display_label(name).alias("label"))
 
 
-@query("H6 H7", "export", "SELECT TrackID, path AS fixed FROM export")
+@query("H6 H7", "export", "SELECT TrackID, path || ' 100% pure%2' AS fixed FROM export")
 def url_fix(spark, d):
-    fixed = paths.nfkc(paths.percent_decode(paths.strip_file_url(F.col("Location"))))
+    # malformed escapes stay as they are
+    location = F.concat("Location", F.lit("%20100%25%20pure%2"))
+    fixed = paths.nfkc(paths.percent_decode(paths.strip_file_url(F.replace(location, F.lit("100%25"), F.lit("100%")))))
     return views.export(spark, d).select("TrackID", fixed.alias("fixed"))
 
 

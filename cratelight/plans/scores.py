@@ -320,7 +320,7 @@ def seeded_sample(spark, d):
     return ranking.seeded_sample(views.mood(spark, d), views.tags(spark, d), "happy", (0.45, 0.55), 10, 1, carry=("sad",))
 
 
-@query("F5")
+@query("F5", "tags mood", f"SELECT * FROM ({_scenario_sql('winebar_relaxed')}) ORDER BY md5('1:' || sid), sid LIMIT 5")
 def random_sample(spark, d):
     return ranking.random_sample(_scenario("winebar_relaxed")(spark, d), 5, seed=1)
 

@@ -11,6 +11,7 @@ from cratelight.operators.pooling import vector_means
 from cratelight.plans import views
 from cratelight.plans.registry import query
 from cratelight.plans.views import GENRES, scan
+from cratelight.session import scratch_path
 
 _COSINE = "round(greatest(0.0, 1 - list_dot_product({0}, {1}) / sqrt(list_dot_product({0}, {0}) * list_dot_product({1}, {1}))), 6)"
 _EUCLID = "round(list_distance({0}, {1}), 6)"
@@ -77,6 +78,23 @@ def candidate_edges(spark, d):
     return setlist.candidate_pool(views.tags(spark, d), 5, 2)
 
 
+def _band(window: str) -> str:
+    return _EDGES.replace("b.bpm BETWEEN a.bpm - 5 AND a.bpm + 5", f"b.bpm / 10 BETWEEN a.bpm / 10 - {window} AND a.bpm / 10 + {window}")
+
+
+@query("I4 C14", "tags vectors", f"""WITH {_band('0.3')} SELECT src AS seed, first(dst ORDER BY distance, dst) AS sid, min(distance) AS distance FROM edges GROUP BY src""")
+def next_song_fraction(spark, d):
+    # tempos in tenths and a band that they do not divide
+    tags = views.tags(spark, d).withColumn("bpm", F.col("bpm") / 10)
+    return setlist.next_song(tags, views.vectors(spark, d), bpm_window=0.3)
+
+
+@query("I4 C14", "tags vectors", f"""WITH {_band('0.0')} SELECT src AS seed, first(dst ORDER BY distance, dst) AS sid, min(distance) AS distance FROM edges GROUP BY src""")
+def next_song_same_tempo(spark, d):
+    tags = views.tags(spark, d).withColumn("bpm", F.col("bpm") / 10)
+    return setlist.next_song(tags, views.vectors(spark, d), bpm_window=0)
+
+
 @query("I4 C14 D15 C10", "tags vectors", f"""WITH {_EDGES} SELECT src AS seed, first(dst ORDER BY distance, dst) AS sid, min(distance) AS distance FROM edges GROUP BY src""")
 def next_song(spark, d):
     return setlist.next_song(views.tags(spark, d), views.vectors(spark, d), bpm_window=5)
@@ -93,11 +111,34 @@ def setlist_walks(spark, d):
     return walks.join(tags.select("sid", "title", "artist"), "sid").select("seed", "order", "sid", "title", "artist")
 
 
-@query("I3")
+_TABLES, _BITS, _WIDTH = 6, 4, 64
+_CODES = "[" + ", ".join(
+    "(" + " + ".join(
+        f"CASE WHEN list_sum(list_transform(list_zip(embedding, {[similarity.plane_component(t * _BITS + b, i, 1) for i in range(_WIDTH)]}), lambda z: z[1] * z[2])) > 0 THEN {1 << b} ELSE 0 END"
+        for b in range(_BITS)) + ")" for t in range(_TABLES)) + "]"
+
+
+@query("I3 I2 H17", "vectors", f"""WITH x AS (SELECT sid, embedding, {_CODES} AS codes FROM vectors), h AS (SELECT sid, embedding, unnest(codes) AS code, generate_subscripts(codes, 1) AS t FROM x),
+    r AS (SELECT * FROM h WHERE sid % 50 = 0),
+    m AS (SELECT DISTINCT r.sid AS seed, h.sid, {_COSINE.format('r.embedding', 'h.embedding')} AS distance FROM r JOIN h ON r.t = h.t AND r.code = h.code AND r.sid <> h.sid),
+    k AS (SELECT *, row_number() OVER (PARTITION BY seed ORDER BY distance, sid) AS rank FROM m)
+    SELECT seed, sid, distance, rank::INTEGER AS rank FROM k WHERE rank <= 5""")
 def ann_knn(spark, d):
-    vectors = views.vectors(spark, d)
-    first = vectors.orderBy("sid").select("embedding").first()["embedding"]
-    return similarity.approximate_nearest(vectors, first, 10)
+    # the index is written once; every 50th song asks it
+    vectors, path = views.vectors(spark, d), scratch_path(spark, "index")
+    similarity.build_index(vectors, path, _WIDTH, _TABLES, _BITS)
+    return similarity.search_index(vectors.where("sid % 50 = 0"), path, _WIDTH, 5, _TABLES, _BITS)
+
+
+@query("I1 I2 H17", "vectors", f"""WITH s AS (SELECT sid, list_transform(embedding, lambda x: x * 1000) AS embedding, label FROM vectors UNION ALL
+    SELECT sid + 1000000, list_transform(embedding, lambda x: x * 1000), label FROM vectors WHERE sid % 10 = 0),
+    r AS (SELECT * FROM s WHERE sid >= 1000000), n AS (SELECT r.sid AS seed, s.sid, {_EUCLID.format('r.embedding', 's.embedding')} AS distance FROM s, r WHERE s.sid <> r.sid),
+    t AS (SELECT *, row_number() OVER (PARTITION BY seed ORDER BY distance, sid) AS rank FROM n) SELECT seed, sid, distance, rank::INTEGER AS rank FROM t WHERE rank <= 1""")
+def knn_euclid_scaled(spark, d):
+    # long vectors, some of them twice: a copy is at distance 0
+    scaled = views.vectors(spark, d).withColumn("embedding", F.transform("embedding", lambda x: x.cast("double") * 1000))
+    copies = scaled.where("sid % 10 = 0").withColumn("sid", F.col("sid") + 1000000)
+    return similarity.nearest_of_many(scaled.unionByName(copies), copies, 1, "euclidean")
 
 
 @query("I11 I12")
@@ -111,8 +152,7 @@ def pca2(spark, d):
 @query("I17")
 def kmeans(spark, d):
     placed, quality = projection.clusters(views.vectors(spark, d), k=10)
-    sizes = placed.groupBy("cluster").agg(F.count("*").alias("n_songs"))
-    return sizes.withColumn("silhouette", F.lit(round(quality, 6)))
+    return placed.select("sid", "cluster").withColumn("silhouette", F.lit(round(quality, 6)))
 
 
 _HEAD = """WITH c AS (SELECT label, pos, avg(x) AS w FROM (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM vectors) GROUP BY ALL),
@@ -134,27 +174,51 @@ def score_head(spark, d):
 
 
 @query("I9 I10 K2 A16", "vectors tags", f"""{_HEAD}, s AS (SELECT sid, w.label, round(1 / (1 + exp(-list_dot_product(embedding, w.w))), 5) AS score FROM vectors, w)
-    SELECT sid, max(score) FILTER (label = 0) AS zero, max(score) FILTER (label = 1) AS one, max(score) FILTER (label = 2) AS two FROM s WHERE sid IN (SELECT sid FROM tags) GROUP BY sid""")
+    SELECT sid, {', '.join(f'max(score) FILTER (label = {k}) AS class_{k}' for k in range(10))} FROM s WHERE sid IN (SELECT sid FROM tags) GROUP BY sid""")
 def score_model(spark, d):
     vectors = views.vectors(spark, d)
-    # a model of three fixed classes, so three rows come to the driver
-    model = vector_means(vectors.where("label < 3"), ["label"], "embedding").orderBy("label").collect()
+    # one row of weights per class comes to the driver
+    model = vector_means(vectors, ["label"], "embedding").orderBy("label").collect()
+    classes = [f"class_{row['label']}" for row in model]
     weights = np.array([row["mean_vector"] for row in model]) * 4
 
     def load_model():
         return lambda batch: 1 / (1 + np.exp(-(batch.astype(np.float64) @ weights.T)))
 
-    scored = scoring.score(vectors, load_model, ["zero", "one", "two"], new_ids=views.tags(spark, d))
+    scored = scoring.score(vectors, load_model, classes, new_ids=views.tags(spark, d))
     good, _ = scoring.split_errors(scored)
-    return good.select("sid", *[F.round(c, 5).alias(c) for c in ("zero", "one", "two")])
+    return good.select("sid", *[F.round(c, 5).alias(c) for c in classes])
+
+
+@query("I9 A16 I7", "vectors", """WITH m AS (SELECT sid, unnest(range(4)) AS seg, embedding FROM vectors), s AS (SELECT sid, seg, embedding[seg * 16 + 1 : seg * 16 + 16] AS v FROM m)
+    SELECT sid, seg::INTEGER AS seg, CASE WHEN sid % 7 <> 3 THEN round(1 / (1 + exp(-list_sum(v))), 5) END AS up, CASE WHEN sid % 7 <> 3 THEN round(1 / (1 + exp(-(v[1] - v[16]))), 5) END AS side,
+    sid % 7 = 3 AS rejected FROM s WHERE sid % 7 <> 3 OR seg = 0""")
+def score_segments(spark, d):
+    # the 64 components as 4 segments of 16; every seventh song has a broken segment, which the model rejects
+    parts = F.array(*[F.slice("embedding", 1 + 16 * k, F.when((F.col("sid") % 7 == 3) & F.lit(k == 2), 15).otherwise(16)) for k in range(4)])
+
+    def load_model():
+        def model(segments):
+            x = segments.astype(np.float64)
+            return 1 / (1 + np.exp(-np.stack([x.sum(1), x[:, 0] - x[:, 15]], 1)))
+
+        return model
+
+    scored = scoring.score_segments(views.vectors(spark, d).select("sid", parts.alias("segments")), load_model, ["up", "side"])
+    good, bad = scoring.split_errors(scored)
+    rows = good.select("sid", F.posexplode(F.arrays_zip("up", "side")).alias("seg", "s")).select(
+        "sid", "seg", F.round("s.up", 5).alias("up"), F.round("s.side", 5).alias("side"), F.lit(False).alias("rejected"))
+    none = F.lit(None).cast("double")
+    return rows.union(bad.select("sid", F.lit(0), none, none, F.lit(True)))
 
 
-@query("I14 D16 C6", "vectors genres tags", "SELECT v.sid, round(v.embedding[1], 6) AS first_value, len(v.embedding)::INTEGER AS width, CASE greatest("
+@query("I14 D16 C6", "vectors genres tags", "SELECT v.sid, generate_subscripts(v.embedding, 1)::INTEGER - 1 AS pos, round(unnest(v.embedding), 6) AS x, CASE greatest("
        + ", ".join(GENRES) + ") " + " ".join(f"WHEN {g} THEN '{g}'" for g in GENRES) + " END AS dominant, title, artist FROM vectors v JOIN genres USING (sid) JOIN tags USING (sid)")
 def labelled_export(spark, d):
     labels = stats.dominant_class(views.genres(spark, d), "sid", GENRES).select("sid", "dominant")
     rows = projection.labelled_vectors(views.vectors(spark, d), labels, views.tags(spark, d))
-    return rows.select("sid", F.round(F.col("embedding")[0].cast("double"), 6).alias("first_value"), F.size("embedding").alias("width"), "dominant", "title", "artist")
+    placed = rows.select("sid", F.posexplode("embedding").alias("pos", "x"), "dominant", "title", "artist")
+    return placed.withColumn("x", F.round(F.col("x").cast("double"), 6))
 
 
 @query("H17", "vectors", f"""WITH r AS (SELECT embedding FROM vectors ORDER BY sid LIMIT 1) SELECT v.sid, {_COSINE.format('v.embedding', 'r.embedding')} AS cosine,

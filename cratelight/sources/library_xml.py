@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from cratelight.operators.schema import clean_names
 
-# The attributes read from a track.
+# The attributes that every track has in the result; others are kept as they occur.
 TRACK_FIELDS = [
     "TrackID", "Name", "Artist", "Genre", "Size", "TotalTime", "AverageBpm", "PlayCount", "Location", "Tonality",
 ]
-TRACK_SCHEMA = StructType([StructField(f"_{name}", StringType()) for name in TRACK_FIELDS])
+TEMPO = "TEMPO"
 PLAYLIST_TREE = (
     "NODE struct<_Name:string,NODE:array<struct<_Name:string,_Entries:string,"
     "NODE:array<struct<_Name:string,_Entries:string,TRACK:array<struct<_Key:string>>>>>>>"
@@ -20,8 +20,18 @@ PLAYLIST_TREE = (
 
 
 def read_collection(spark: SparkSession, path: str, location_part: str | None = None) -> DataFrame:
-    """The collection's tracks, all columns strings; playlist entries share the tag name but carry no TrackID."""
-    tracks = spark.read.format("xml").option("rowTag", "TRACK").schema(TRACK_SCHEMA).load(path)
+    """The collection's tracks with all their attributes, as strings, and ``TEMPO``, an array of beat-grid marks.
+
+    One pass finds which attributes occur; playlist entries share the tag name but carry no TrackID.
+    """
+    reader = spark.read.format("xml").option("rowTag", "TRACK").option("inferSchema", False)
+    found = reader.load(path).schema
+    marks = found[TEMPO].dataType if TEMPO in found.names else None
+    inside = marks.elementType if isinstance(marks, ArrayType) else marks
+    fields = [StructField(f"_{name}", StringType()) for name in TRACK_FIELDS]
+    fields += [StructField(f.name, StringType()) for f in found if f.name.startswith("_") and f.name[1:] not in TRACK_FIELDS and f.name != "_Key"]
+    fields += [StructField(TEMPO, ArrayType(inside))] if isinstance(inside, StructType) else []
+    tracks = reader.schema(StructType(fields)).load(path)
     tracks = clean_names(tracks.where(F.col("_TrackID").isNotNull()))
     return tracks if location_part is None else tracks.where(F.col("Location").contains(location_part))
 

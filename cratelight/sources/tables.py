@@ -27,10 +27,12 @@ def append(df: DataFrame, path: str) -> int:
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A Parquet table, or no rows when nothing has been written yet."""
+    """A Parquet table, or no rows when nothing has been written yet; any other failure is raised."""
     try:
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 

@@ -11,7 +11,7 @@ from cratelight.functions.tags import collapse_tag
 from cratelight.operators.align import only_new_groups
 from cratelight.operators.schema import conform, last_part_names, split_by_prefix, split_lists
 from cratelight.sources.audio_files import AUDIO_GLOB, one_per_content, plain_path
-from cratelight.sources.documents import feature_rows
+from cratelight.sources.documents import CORRUPT, feature_rows
 from cratelight.sources.tables import read_or_empty
 
 FILES_SCHEMA = "sid string, file_path string"
@@ -22,27 +22,49 @@ def new_content(batch: DataFrame, known: DataFrame) -> DataFrame:
     return only_new_groups(one_per_content(batch), known, "copies")
 
 
-def drain(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None]) -> None:
-    """Processes everything that has arrived, batch by batch, and stops."""
+BATCH_COLUMNS = "stream string, batch long"
+
+
+def drain(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, str, int], None]) -> None:
+    """Processes everything that has arrived, batch by batch, and stops.
+
+    ``write`` gets each batch with the id of its stream and its number. The id lives in the checkpoint: a renewed checkpoint
+    starts again at batch 0, but under another id, so it never replaces what the old one wrote.
+    """
+
+    def each(batch: DataFrame, number: int) -> None:
+        write(batch, batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId"), number)
+
     query = (
         stream.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(write)
+        .foreachBatch(each)
         .start()
     )
     query.awaitTermination()
 
 
+def batch_folder(table: str, stream: str, number: int) -> str:
+    return f"{table}/stream={stream}/batch={number}"
+
+
+def known_before(spark: SparkSession, table: str, schema: str, stream: str, number: int) -> DataFrame:
+    """What every other batch of every stream has written to the table."""
+    rows = read_or_empty(spark, table, f"{schema}, {BATCH_COLUMNS}")
+    return rows.where((F.col("stream") != stream) | (F.col("batch") != number))
+
+
 def ingest_stream(spark: SparkSession, stream: DataFrame, table: str, checkpoint: str) -> None:
     """Appends the new content of a (sid, file_path) stream to the Parquet table ``table``.
 
-    Every batch goes to its own ``batch=<n>`` folder with overwrite, so a batch that is repeated after a failure
-    replaces itself; what earlier batches wrote is the known content.
+    Every batch goes to its own ``stream=<id>/batch=<n>`` folder with overwrite, so a batch that is repeated after a failure
+    replaces itself and nothing else; what all other batches wrote is the known content. Any number of streams, one after
+    the other, may fill one table.
     """
 
-    def write(batch: DataFrame, number: int) -> None:
-        known = read_or_empty(spark, table, f"{FILES_SCHEMA}, batch long").where(F.col("batch") < number)
-        new_content(batch, known).write.mode("overwrite").parquet(f"{table}/batch={number}")
+    def write(batch: DataFrame, name: str, number: int) -> None:
+        known = known_before(spark, table, FILES_SCHEMA, name, number)
+        new_content(batch, known).write.mode("overwrite").parquet(batch_folder(table, name, number))
 
     drain(stream, checkpoint, write)
 
@@ -69,21 +91,45 @@ def feature_tables(rows: DataFrame, meta_prefix: str = "meta") -> dict[str, Data
     return tables | {f"{c}_tbl": lists.select("sid", c) for c in lists.columns if c != "sid"}
 
 
+REJECTS_SCHEMA = "reason string, document string"
+
+
+def split_rejects(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good documents, (reason, document) of the others): malformed ones, if the batch tells them, and those without an id."""
+    corrupt = F.col(CORRUPT) if CORRUPT in batch.columns else F.lit(None).cast("string")
+    whole = F.coalesce(corrupt, F.to_json(F.struct(*[c for c in batch.columns if c != CORRUPT])))
+    marked = batch.withColumn("_malformed", corrupt.isNotNull()).withColumn("_text", whole).drop(CORRUPT)
+    reason = F.when(F.col("_malformed"), "malformed").when(F.col("sid").isNull(), "no id")
+    flat = feature_rows(marked).withColumn("_reason", reason)
+    rejects = flat.where("_reason IS NOT NULL").select(F.col("_reason").alias("reason"), F.col("_text").alias("document"))
+    return flat.where("_reason IS NULL").drop("_text", "_malformed", "_reason"), rejects
+
+
 def ingest_documents(spark: SparkSession, stream: DataFrame, root: str, checkpoint: str) -> None:
-    """Appends the tables of new feature documents below ``root``; documents with a known or no ``sid`` are left out.
+    """Appends the tables of new feature documents below ``root``; documents with a known ``sid`` are left out.
 
-    As in ``ingest_stream``, a batch owns its ``batch=<n>`` folders. ``tags`` is written last and tells what is known,
-    so a batch that failed half way is written again as a whole.
+    Malformed documents (if the stream has a ``_corrupt`` column) and those without an id go to ``rejects`` with the reason and
+    their text. Of documents that share an id in a batch the smallest by its JSON text is taken, whole. As in
+    ``ingest_stream``, a batch owns its folders. ``tags`` is written last and tells what is known, so a batch that failed
+    half way is written again as a whole.
     """
 
-    def write(batch: DataFrame, number: int) -> None:
-        known = read_or_empty(spark, f"{root}/tags", "sid string, batch long").where(F.col("batch") < number)
-        flat = feature_rows(batch).where("sid IS NOT NULL")
-        single = flat.groupBy("sid").agg(*[F.first(c).alias(c) for c in flat.columns if c != "sid"], F.count("*").alias("_copies"))
-        rows = only_new_groups(single, known, "_copies").persist()
-        tables = feature_tables(rows)
-        for name in [*(n for n in tables if n != "tags"), "tags"]:
-            tables[name].write.mode("overwrite").parquet(f"{root}/{name}/batch={number}")
-        rows.unpersist()
+    def write(batch: DataFrame, name: str, number: int) -> None:
+        batch = batch.persist()
+        try:
+            known = known_before(spark, f"{root}/tags", "sid string", name, number)
+            flat, rejects = split_rejects(batch)
+            rejects.write.mode("overwrite").parquet(batch_folder(f"{root}/rejects", name, number))
+            fields = F.struct(*[c for c in flat.columns if c != "sid"])
+            single = flat.groupBy("sid").agg(F.min_by(fields, F.to_json(fields)).alias("_row"), F.count("*").alias("_copies"))
+            rows = only_new_groups(single.select("sid", "_row.*", "_copies"), known, "_copies").persist()
+            try:
+                tables = feature_tables(rows)
+                for table in [*(n for n in tables if n != "tags"), "tags"]:
+                    tables[table].write.mode("overwrite").parquet(batch_folder(f"{root}/{table}", name, number))
+            finally:
+                rows.unpersist()
+        finally:
+            batch.unpersist()
 
     drain(stream, checkpoint, write)

@@ -10,7 +10,7 @@ from cratelight.functions import arrays, harmony, labels, paths, tags, vectors
 
 @pytest.mark.parametrize("label, words", [
     ("60", "sixty"), ("73", "seventy-three"), ("80s", "eighties"), ("90s", "nineties"),
-    ("7", "seven"), ("11", "eleven"), ("disco", "disco"), ("80s pop", "80s pop"), ("173", "173"), ("21s", "twenty-ones"), ("6s", "sixes"),
+    ("7", "seven"), ("11", "eleven"), ("disco", "disco"), ("80s pop", "80s pop"), ("173", "one hundred and seventy-three"), ("1204", "one thousand, two hundred and four"), ("2000045s", "two million and forty-fives"), ("0", "zero"), ("100s", "one hundreds"), ("1100", "one thousand, one hundred"), ("007", "seven"), ("9" * 19, "9" * 19), ("21s", "twenty-ones"), ("6s", "sixes"),
 ])
 def test_number_words(cell, label, words):
     assert cell(labels.number_words(F.lit(label))) == words

@@ -239,13 +239,54 @@ def test_compare_songs_and_pairs(spark):
     assert all(r.title1 == f"t{r.sid1}" and r.score == pytest.approx(_distance(matrix[r.sid1], matrix[r.sid2], "euclidean"), abs=2e-6) for r in got)
 
 
-def test_approximate_nearest_recall(spark):
+def test_index_recall(spark, tmp_path):
     rng = np.random.default_rng(0)
     matrix = rng.normal(size=(300, 8))
     vectors = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(matrix)], "sid bigint, embedding array<float>")
-    got = [r.sid for r in similarity.approximate_nearest(vectors, matrix[0].tolist(), 10).collect()]
-    exact = sorted(range(300), key=lambda j: _distance(matrix[0], matrix[j], "cosine"))[:10]
-    assert len(set(got) & set(exact)) >= 7
+    path = str(tmp_path / "index")
+    similarity.build_index(vectors, path, 8, tables=12, bits=3)
+    got = [r.sid for r in similarity.search_index(vectors.where("sid = 0"), path, 8, 10, tables=12, bits=3).collect()]
+    exact = sorted(range(1, 300), key=lambda j: _distance(matrix[0], matrix[j], "cosine"))[:10]
+    assert 0 not in got and len(set(got) & set(exact)) >= 7
+
+
+@pytest.mark.parametrize("length", [1, 50, 1000])
+def test_copies_tie_at_any_length(spark, length, monkeypatch):
+    rng = np.random.default_rng(1)
+    matrix = rng.normal(size=(30, 64))
+    matrix *= length / np.linalg.norm(matrix, axis=1)[:, None]
+    rows = [(i + 100 * c, [float(x) for x in row]) for c in (0, 1) for i, row in enumerate(matrix)]
+    vectors = spark.createDataFrame(rows, "sid bigint, embedding array<double>")
+    few = {(r.seed, r.sid, r.distance) for r in similarity.nearest(vectors, vectors, 1, "euclidean").collect()}
+    many = {(r.seed, r.sid, r.distance) for r in similarity.nearest_of_many(vectors, vectors, 1, "euclidean").collect()}
+    assert few == many == {(s, (s + 100) % 200, 0.0) for s, _ in rows}
+
+
+def test_uneven_vectors_are_refused(spark):
+    for rows in ([(1, [1.0, 2.0]), (2, [1.0, 2.0, 3.0, 4.0])], [(1, [1.0, None]), (2, [1.0, 2.0])]):
+        vectors = spark.createDataFrame(rows, "sid bigint, embedding array<double>").coalesce(1)
+        with pytest.raises(Exception, match="vectors"):
+            similarity.nearest_of_many(vectors, vectors, 1).collect()
+
+
+def test_band_edges_and_window_0(spark):
+    tags = spark.createDataFrame([(1, 128.7, "8A"), (2, 128.39999999999998, "8A"), (3, 140.0, "8A"), (4, 140.0, "8A")], "sid bigint, bpm double, initialkey string")
+    vectors = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(1, 5)], "sid bigint, embedding array<double>")
+    for window in (0.3, 0, 5):
+        played = {r.seed for r in setlist.next_song(tags, vectors, bpm_window=window).collect()}
+        assert played == {r.sid for r in setlist.candidate_pool(tags, window).collect() if r.n_candidates > 0}
+        assert played >= {3, 4} and (window == 0 or played == {1, 2, 3, 4})
+
+
+def test_segments_are_scored_in_place(spark):
+    from cratelight.operators.scoring import score_segments
+
+    rows = [(i, [[float(i), float(k)] for k in range(i % 4)]) for i in range(40)] + [(50, None), (51, [[1.0]])]
+    df = spark.createDataFrame(rows, "sid bigint, segments array<array<double>>").coalesce(1)
+    got = {r.sid: r for r in score_segments(df, lambda: lambda x: np.stack([x.sum(1), x[:, 0] - x[:, 1]], 1), ["s", "d"], batch_rows=16).collect()}
+    for i in range(40):
+        assert got[i].s == [float(i + k) for k in range(i % 4)] and got[i].d == [float(i - k) for k in range(i % 4)] and got[i].error is None
+    assert got[50].s is None and got[50].error is None and got[51].s is None and got[51].error
 
 
 def test_bounded_local(spark):

@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from cratelight.sources import audio_files, documents, library_xml, tables
@@ -95,6 +97,39 @@ def test_stream_takes_each_content_once(spark, tmp_path):
     assert stored.count() == 4 and stored.select("sid").distinct().count() == 4
 
 
+def test_streams_never_replace_each_other(spark, tmp_path):
+    first, second, table = _files(tmp_path / "one"), tmp_path / "two", str(tmp_path / "files")
+    second.mkdir()
+    (second / "z.wav").write_bytes(b"two")
+    (second / "y.wav").write_bytes(b"five")
+    ingest_stream(spark, audio_stream(spark, str(first)), table, str(tmp_path / "progress1"))
+    ingest_stream(spark, audio_stream(spark, str(second)), table, str(tmp_path / "progress2"))
+    once = sorted(spark.read.parquet(table).select("sid", "file_path").collect())
+    assert len(once) == 4 and len({r.sid for r in once}) == 4
+    # a renewed checkpoint sees every file again and adds nothing
+    ingest_stream(spark, audio_stream(spark, str(first)), table, str(tmp_path / "renewed"))
+    assert sorted(spark.read.parquet(table).select("sid", "file_path").collect()) == once
+
+
+def test_a_repeated_batch_replaces_itself(spark, tmp_path):
+    from cratelight.streaming.ingest import batch_folder, known_before, new_content
+
+    table = str(tmp_path / "files")
+    rows = spark.createDataFrame([("a", "/a"), ("b", "/b")], "sid string, file_path string")
+    for _ in range(2):
+        known = known_before(spark, table, "sid string, file_path string", "s", 0)
+        new_content(rows, known).write.mode("overwrite").parquet(batch_folder(table, "s", 0))
+        assert spark.read.parquet(table).count() == 2
+
+
+def test_read_or_empty_hides_no_other_failure(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    with pytest.raises(AnalysisException):
+        tables.read_or_empty(spark, str(tmp_path / "t"), "no such type")
+
+
 def test_append_and_round_trip(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([("a", [[0.0, 1.0], [2.0, 3.0]])], "sid string, m array<array<float>>")
@@ -140,7 +175,7 @@ def test_documents_become_tables_once(spark, tmp_path):
     drain()
 
     def stored(name):
-        return spark.read.parquet(str(tmp_path / "library" / name)).drop("batch")
+        return spark.read.parquet(str(tmp_path / "library" / name)).drop("stream", "batch")
 
     assert sorted((r.sid, r.title, r.artist, r.length) for r in stored("tags").collect()) == [
         ("a", "One", None, 9.5), ("b", "two", None, 9.5), ("c", None, None, 9.5)]
