@@ -2,7 +2,8 @@
 
 ``percentile`` keeps every distinct value in one aggregation buffer. Here a mergeable sketch first brackets each
 wanted rank within a guaranteed error; one pass then counts the rows below the bracket (they collapse map-side into
-one row) and keeps only the values inside it, about ``8 / accuracy`` of the rows.
+one row) and keeps only the values inside it, about ``8 / accuracy`` of the rows. Those are counted in ``CELLS`` equal parts of
+the bracket, and only the part that holds the rank is put in order.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from cratelight.functions.labels import sql_text
 
 ACCURACY = 10_000
+CELLS = 4096
 
 
 def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]], accuracy: int = ACCURACY) -> DataFrame:
@@ -27,43 +29,57 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]], accuracy: int
     margin = 3.0 / accuracy  # the sketch is off by at most 1 / accuracy
     probs = sorted({p for _, q in asked for p in (q - margin, q + margin) if 0 < p < 1}) or [0.5]
     sketch = scores.groupBy("name").agg(
-        F.count("x").alias("n"), F.percentile_approx("x", F.array(*map(F.lit, probs)), accuracy).alias("_pts")
+        F.count("x").alias("n"), F.min("x").alias("least"), F.max("x").alias("most"),
+        F.percentile_approx("x", F.array(*map(F.lit, probs)), accuracy).alias("_pts"),
     )
 
     def edge(p: float, open_end: str) -> str:
         if p not in probs:
-            return f"double('{open_end}')"
+            return open_end
         # with few rows one rank weighs more than the margin, and keeping them all is cheap
-        return f"if(n > {accuracy}, _pts[{probs.index(p)}], double('{open_end}'))"
+        return f"if(n > {accuracy}, _pts[{probs.index(p)}], {open_end})"
 
     def bracket(slot: int, q: float) -> str:
-        return f"named_struct('slot', {slot}, 'lo', {edge(q - margin, '-Infinity')}, 'hi', {edge(q + margin, 'Infinity')})"
+        return f"named_struct('slot', {slot}, 'lo', {edge(q - margin, 'least')}, 'hi', {edge(q + margin, 'most')})"
 
     mine = {c: ", ".join(bracket(i, q) for i, (name, q) in enumerate(asked) if name == c) for c in columns}
     mine = F.expr("CASE name " + " ".join(f"WHEN {sql_text(c)} THEN array({structs})" for c, structs in mine.items()) + " END")
     brackets = sketch.select("name", "n", F.explode(mine).alias("b")).select("name", "n", "b.*")
+    # which equal part of the bracket holds a value; grows with it. -1 is below the bracket, an unbounded bracket is one part
+    cell = F.expr(f"""CASE WHEN x < lo THEN -1 WHEN hi > lo AND hi - lo < double('Infinity')
+        THEN least({CELLS - 1}, CAST(floor((x - lo) / (hi - lo) * {CELLS}) AS int)) ELSE 0 END""")
     # one row per wanted quantile, so the broadcast is bounded by the request
     counted = (
         scores.join(F.broadcast(brackets), "name")
         .where(F.col("x") <= F.col("hi"))
-        .groupBy("slot", "n", F.when(F.col("x") >= F.col("lo"), F.col("x")).alias("v"))
+        .groupBy("slot", "n", cell.alias("cell"), F.when(F.col("x") >= F.col("lo"), F.col("x")).alias("v"))
         .agg(F.count("*").alias("c"))
     )
-    upto = Window.partitionBy("slot", "n").orderBy(F.asc_nulls_first("v"))
     names = F.expr(f"array({', '.join(sql_text(c) for c, _ in asked)})[slot]")
     qs = F.expr(f"array({', '.join(f'{q!r}d' for _, q in asked)})[slot]")
+    rank = qs * (F.col("n") - 1)
+    earlier = Window.partitionBy("slot", "n").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = (
+        counted.groupBy("slot", "n", "cell")
+        .agg(F.sum("c").alias("held"))
+        .withColumn("before", F.coalesce(F.sum("held").over(earlier), F.lit(0)))
+        .where((F.col("before") <= F.ceil(rank)) & (F.col("before") + F.col("held") > F.floor(rank)))
+    )
+    upto = Window.partitionBy("slot", "n", "cell").orderBy("v")
+    # at most two parts per wanted quantile: those of the two ranks it lies between
     placed = (
-        counted.withColumn("last", F.sum("c").over(upto) - 1)
+        counted.join(F.broadcast(cells), ["slot", "n", "cell"])
+        .withColumn("last", F.col("before") + F.sum("c").over(upto) - 1)
         .withColumn("first", F.col("last") - F.col("c") + 1)
-        .withColumn("rank", qs * (F.col("n") - 1))
+        .withColumn("rank", rank)
     )
 
     def at(rank: Column) -> Column:
         return F.max(F.when(rank.between(F.col("first"), F.col("last")), F.col("v")))
 
     found = placed.groupBy("slot", "n").agg(at(F.floor("rank")).alias("a"), at(F.ceil("rank")).alias("b"))
-    rank = qs * (F.col("n") - 1)
-    value = F.col("a") + (F.col("b") - F.col("a")) * (rank - F.floor(rank))
+    between = F.col("a") + (F.col("b") - F.col("a")) * (rank - F.floor(rank))
+    value = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(between)  # equal infinities have no difference
     return found.select(names.alias("name"), qs.alias("q"), value.alias("value"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cratelight.operators.align import align_outer
 from cratelight.operators.pooling import pool_wide
-from cratelight.session import cut_lineage
+from cratelight.session import scratch_path
 from cratelight.sources import tables
 
 # The schemas of the given tables.
@@ -89,8 +89,10 @@ def mood(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stored_mood(spark: SparkSession, folder: str) -> DataFrame:
-    """The mood table written once, for queries that read it several times."""
-    return cut_lineage(mood(spark, folder))
+    """The mood table written once as Parquet, for queries that read some of its columns several times."""
+    pooled, path = mood(spark, folder), scratch_path(spark, "mood")
+    pooled.write.parquet(path)
+    return spark.read.schema(pooled.schema).parquet(path)
 
 
 def genre_segments(spark: SparkSession, folder: str) -> DataFrame:

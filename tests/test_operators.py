@@ -31,6 +31,17 @@ def test_exact_quantiles(spark, accuracy):
             assert got[c, q] == pytest.approx(np.quantile(present, q), abs=1e-12), (c, q)
 
 
+def test_exact_quantiles_of_uneven_and_infinite_values(spark):
+    n = 20_000
+    uneven = [float(i) ** 5 for i in range(n)]
+    ends = [float("-inf")] * 400 + [float(i) for i in range(n - 800)] + [float("inf")] * 400
+    df = spark.createDataFrame(list(zip(uneven, ends)), "u double, e double").repartition(4)
+    got = {(r["name"], r["q"]): r["value"] for r in quantiles.exact_quantiles(df, {"u": [0.0, 0.3, 1.0], "e": [0.001, 0.5, 0.999]}).collect()}
+    for q in (0.0, 0.3, 1.0):
+        assert got["u", q] == pytest.approx(np.quantile(uneven, q), rel=1e-12)
+    assert (got["e", 0.001], got["e", 0.5], got["e", 0.999]) == (float("-inf"), (n - 801) / 2, float("inf"))
+
+
 def test_describe_has_sample_std(spark):
     row = quantiles.describe(spark.createDataFrame([(float(x),) for x in (1, 2, 3, 4)], "x double"), "x").first()
     assert (row["count"], row["mean"], row["std"], row["min"], row["p25"], row["p50"], row["p75"], row["max"]) == (4, 2.5, 1.291, 1.0, 1.75, 2.5, 3.25, 4.0)
