@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cratelight.llm import conversations, dedup, language, lines, mixing, packing, quality, shards, toxicity, urls, vectors, warc
+from cratelight.llm import conversations, dedup, language, lines, mixing, packing, phrases, quality, shards, toxicity, urls, vectors, warc
 
 QUERIES = {
     "op1_multi_index": vectors.op1_multi_index,
@@ -17,10 +17,12 @@ QUERIES = {
     "op10_ngram_ratio": quality.op10_ngram_ratio,
     "op11_zfast_trie": conversations.op11_zfast_trie,
     "op12_line_ranges": lines.op12_line_ranges,
+    "op13_fm_phrases": phrases.op13_fm_phrases,
 }
 SQL = {
     "op6_golden_mix": mixing.OP6_SQL,
     "op7_bloom_cascade": urls.OP7_SQL,
     "op11_zfast_trie": conversations.OP11_SQL,
     "op12_line_ranges": lines.OP12_SQL,
+    "op13_fm_phrases": phrases.OP13_SQL,
 }

@@ -17,7 +17,7 @@ def test_equals_sql(spark, folder, name):
 
 def test_registered():
     names = contract.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
     assert set(SQL) <= set(QUERIES) and [n for n, _ in corpus_pipeline.STAGES][0] == "toxicity"
 
 
