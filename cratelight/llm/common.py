@@ -219,3 +219,18 @@ def pieces_of(batch, limit: int = 8 << 20, column: str = "text"):
         j = max(i + 1, int(np.searchsorted(sums, sums[i] + limit, "right")) - 1)
         yield batch.slice(i, j - i)
         i = j
+
+
+def release() -> None:
+    """Gives freed memory of this worker back to the system: workers are reused, and would keep the peak of an earlier stage."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass

@@ -12,17 +12,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cratelight.llm.common import pieces_of, stored, table
+from cratelight.llm.common import pieces_of, release, stored, table
 
 CAPACITY = 2048
 END = (0).to_bytes(4, "little")
 ROWS_PER_GROUP = 20_000
 PASSES, STEPS, DONORS, WIDEST = 2, 64, 400, 6
-MOST_WORDS = 800_000  # in the cache of a worker, about 200 bytes each
+CACHE_BYTES = 48 << 20  # of words and their ids in a worker
 TOKENIZER = "word_bpe_49k.json"
 PROBE = "The  cat's Na\u00efve stra\u00dfe,\nco-op. \u00c9t\u00e9 12ab (x) qwxz don't e\u0301 \u0130 a.b ,. tz".encode()
 MARKS = "!#$%&*+,-./:;?@^_|~()[]{}=>"
-_CACHES: dict[str, tuple[object, dict[bytes, bytes]]] = {}
+_CACHES: dict[str, tuple[object, Recent]] = {}
+
+
+class Recent:
+    """A map of words to ids of about ``CACHE_BYTES``: two halves, of which the older goes when the newer is full. A word met
+    again moves to the newer one, so frequent words stay."""
+
+    ENTRY = 150  # bytes of two small byte strings and a slot, besides their contents
+
+    def __init__(self, limit: int = CACHE_BYTES) -> None:
+        self.new, self.old, self.half, self.used = {}, {}, limit // 2, 0
+
+    def get(self, word: bytes) -> bytes | None:
+        found = self.new.get(word)
+        if found is None:
+            found = self.old.get(word)
+            if found is not None:
+                self.put(word, found)
+        return found
+
+    def put(self, word: bytes, ids: bytes) -> bytes:
+        size = self.ENTRY + len(word) + len(ids)
+        if size <= self.half:
+            if self.used + size > self.half:
+                self.old, self.new, self.used = self.new, {}, 0
+            self.new[word] = ids
+            self.used += size
+        return ids
 
 
 def default_tokenizer() -> str:
@@ -48,7 +75,7 @@ def encoder(path: str) -> Callable[[bytes], bytes]:
     from tokenizers import Tokenizer
 
     if path not in _CACHES:
-        _CACHES[path] = (Tokenizer.from_file(path), {})
+        _CACHES[path] = (Tokenizer.from_file(path), Recent())
     tokenizer, known = _CACHES[path]
     letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
 
@@ -62,21 +89,16 @@ def encoder(path: str) -> Callable[[bytes], bytes]:
         base = name.rstrip(MARKS)
         if base != name and base.isalpha():  # letters, then marks: two tokens of the rules, whatever they are
             cut = len(base.encode())
-            return b"".join(known.get(part) or known.setdefault(part, of_word(part)) for part in (word[:cut], word[cut:]))
+            return b"".join(known.get(part) or known.put(part, of_word(part)) for part in (word[:cut], word[cut:]))
         return whole(word)
 
     def encode(text: bytes) -> bytes:
         words = (text if b"<|" in text else text.lower()).split()
-        ids = list(map(known.get, words))
+        ids = list(map(known.new.get, words))
         if None in ids:
-            if len(known) + len(words) > MOST_WORDS:
-                known.clear()
             for i, found in enumerate(ids):
                 if found is None:
-                    found = known.get(words[i])
-                    if found is None:
-                        found = known[words[i]] = of_word(words[i])
-                    ids[i] = found
+                    ids[i] = known.get(words[i]) or known.put(words[i], of_word(words[i]))
         return b"".join(ids)
 
     return encode if encode(PROBE) == whole(PROBE) else whole
@@ -84,9 +106,10 @@ def encoder(path: str) -> Callable[[bytes], bytes]:
 
 def _pieces(path: str, capacity: int, schema: T.StructType, with_ids: bool):
     def run(batches):
+        release()
         encode = encoder(path)
         for batch in batches:
-            for part in pieces_of(batch):
+            for part in pieces_of(batch, 2 << 20):
                 doc, piece, start, length, crc, ids = [], [], [], [], [], []
                 for row, text in enumerate(part.column("text").to_pylist()):
                     raw = encode((text or "").encode("utf-8", "replace")) + END
