@@ -7,11 +7,13 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cratelight.llm.common import U64, _classes, pieces_of, stored, table, text_bytes, tokens
+from cratelight.llm.common import U64, _classes, mix, pieces_of, slices_for, stored, table, text_bytes, tokens
 
 WORDS_PER_SHARD = 1_000_000
 LONGEST = 5
@@ -23,8 +25,10 @@ SHARDS = T.StructType([
     T.StructField("shard", T.LongType()), T.StructField("lang", T.StringType()), T.StructField("local", T.IntegerType()),
     T.StructField("word", T.StringType()), T.StructField("n", T.LongType()), T.StructField("codes", T.BinaryType()),
 ])
-NARROW = "shard long, lang string, codes binary, gids binary"
-FOUND = "shard long, lang string, head long, rest long, forward long, backward long, size long"
+PHRASES_PER_BUCKET = 2_000_000
+NARROW = "shard long, codes binary, gids binary, n_codes long"
+FOUND = "shard long, bucket long, heads binary, rests binary, sizes binary"
+LEVEL = "shard long, gid long, head long, rest long, f long, length int, heads binary, rests binary, ids binary"
 
 
 # ---- from texts to shards -----------------------------------------------------------------------------------------------
@@ -171,54 +175,143 @@ def extended(index: Index, words: int, low: np.ndarray, other: np.ndarray, size:
     return own[keep], new[keep], (other[own] + inside)[keep], count[keep], known[keep]
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """64-bit numbers as compressed planes of equal bytes: small or slowly growing numbers take a byte or two."""
+    return zstandard.ZstdCompressor(1).compress(np.ascontiguousarray(values, "<i8").view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def _unpacked(column) -> np.ndarray:
+    parts = [np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8) for raw in column.to_pylist()]
+    return np.concatenate([np.ascontiguousarray(p.reshape(8, -1).T).view("<i8").ravel() for p in parts]) if parts else np.zeros(0, np.int64)
+
+
+def _table(schema: str, *columns) -> pa.Table:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
+    fields = [f.strip().split(" ") for f in schema.split(",")]
+    return pa.table([pa.array(c, kinds[k]) for c, (_, k) in zip(columns or [[]] * len(fields), fields, strict=True)], [n for n, _ in fields])
+
+
+def _compact(sequence: np.ndarray) -> np.ndarray:
+    """One 0 between runs of words, and around all; runs of one word are no phrase and go."""
+    sequence = np.concatenate([[0], sequence, [0]])
+    word = sequence > 0
+    word[1:-1] &= word[:-2] | word[2:]
+    sequence = np.where(word, sequence, 0)
+    return sequence[word | np.append(True, word[:-1])].astype(np.int32)
+
+
 def _narrow(codes: pa.Table, frequent: pa.Table) -> pa.Table:
-    """The shard with its frequent words alone, numbered anew; runs of one word are no phrase and go."""
-    empty = pa.table({"shard": pa.array([], pa.int64()), "lang": pa.array([], pa.string()), "codes": pa.array([], pa.binary()), "gids": pa.array([], pa.binary())})
+    """The shard with its frequent words alone, numbered anew."""
     if not codes.num_rows or not frequent.num_rows:
-        return empty
+        return _table(NARROW)
     sequence = _unsqueezed(codes.column("codes")[0].as_py())
     local, gids = frequent.column("local").to_numpy(), frequent.column("gid").to_numpy()
     order = np.argsort(local)
     numbers = np.zeros(max(int(sequence.max(initial=0)), int(local.max())) + 1, np.int32)
     numbers[local[order]] = np.arange(1, len(local) + 1)
-    sequence = np.concatenate([[0], numbers[sequence], [0]]).astype(np.int32)
-    word = sequence > 0
-    beside = np.zeros(len(word), bool)
-    beside[1:-1] = word[:-2] | word[2:]
-    sequence = np.where(beside, sequence, 0)
-    keep = (sequence > 0) | np.append(True, sequence[:-1] > 0)  # one 0 between runs
-    sequence = sequence[keep]
+    return _sequence_row(codes, _compact(numbers[sequence]), gids[order])
+
+
+def _sequence_row(codes: pa.Table, sequence: np.ndarray, gids: np.ndarray) -> pa.Table:
     if not sequence.any():
-        return empty
-    return pa.table({"shard": codes.column("shard")[:1], "lang": codes.column("lang")[:1], "codes": pa.array([_squeezed(sequence)], pa.binary()), "gids": pa.array([gids[order].astype(np.int64).tobytes()], pa.binary())})
-
-
-def _longer(to_left: bool):
-    """Phrases of a shard one word longer than the given ones: extended to the left in the index of the sequence, or to the
-    right in that of the reversed sequence. Without given ones, pairs of words."""
-
-    def run(codes: pa.Table, phrases: pa.Table) -> pa.Table:
-        names = [f.strip().split(" ")[0] for f in FOUND.split(",")]
-        kinds = [pa.int64(), pa.string(), *[pa.int64()] * 5]
-        if not codes.num_rows or not phrases.num_rows:
-            return pa.table([pa.array([], k) for k in kinds], names)
-        sequence = _unsqueezed(codes.column("codes")[0].as_py())
-        words = int(sequence.max())
-        if "forward" in phrases.column_names:
-            forward, backward, size, gid = (phrases.column(c).to_numpy() for c in ("forward", "backward", "size", "gid"))
-        else:  # single words: equal intervals in both indexes
-            gid = np.frombuffer(phrases.column("gids")[0].as_py(), np.int64)
-            size = np.bincount(sequence, minlength=words + 1)[1:]
-            gid = gid[: len(size)]
-            forward = backward = np.cumsum(np.append((sequence == 0).sum(), size[:-1]))
-        if to_left:
-            own, forward, backward, size, known = extended(Index(sequence), words, forward, backward, size, gid)
-            head, rest = known, gid[own]
-        else:
-            own, backward, forward, size, known = extended(Index(sequence[::-1]), words, backward, forward, size, gid)
-            head, rest = gid[own], known
-        n = len(own)
-        return pa.table([pa.array([codes.column("shard")[0].as_py()] * n, pa.int64()), pa.array([codes.column("lang")[0].as_py()] * n, pa.string()), *[pa.array(x.astype(np.int64)) for x in (head, rest, forward, backward, size)]], names)
+        return _table(NARROW)
+    return _table(NARROW, [codes.column("shard")[0].as_py()], [_squeezed(sequence)], [_packed(gids)], [len(sequence)])
+
+
+def _numbers_of(heads: np.ndarray, rests: np.ndarray, known: pa.Table) -> np.ndarray:
+    """The gid of each pair (head, rest) among the ``known`` frequent phrases, 0 where it is not one of them."""
+    known_heads, known_rests, ids = (_unpacked(known.column(c)) for c in ("heads", "rests", "ids"))
+    if not len(ids) or not len(heads):
+        return np.zeros(len(heads), np.int64)
+    all_heads, all_rests = np.unique(known_heads), np.unique(known_rests)
+    wanted = np.searchsorted(all_heads, known_heads) * len(all_rests) + np.searchsorted(all_rests, known_rests)
+    order = np.argsort(wanted)
+    head, rest = np.searchsorted(all_heads, heads).clip(max=len(all_heads) - 1), np.searchsorted(all_rests, rests).clip(max=len(all_rests) - 1)
+    key = head * len(all_rests) + rest
+    at = order[np.searchsorted(wanted, key, sorter=order).clip(max=len(order) - 1)]
+    return np.where((wanted[at] == key) & (all_heads[head] == heads) & (all_rests[rest] == rests), ids[at], 0)
+
+
+def _thin(codes: pa.Table, known: pa.Table) -> pa.Table:
+    """The shard with only those words that stand in a frequent pair."""
+    if not codes.num_rows or not known.num_rows:
+        return _table(NARROW)
+    sequence, gids = _unsqueezed(codes.column("codes")[0].as_py()), np.append(0, _unpacked(codes.column("gids")))
+    first = np.flatnonzero((sequence[:-1] > 0) & (sequence[1:] > 0))
+    first = first[_numbers_of(gids[sequence[first]], gids[sequence[first + 1]], known) > 0]
+    keep = np.zeros(len(sequence), bool)
+    keep[first] = keep[first + 1] = True
+    return _sequence_row(codes, _compact(np.where(keep, sequence, 0)), gids[1:])
+
+
+def _phrases(target: int, buckets: int):
+    """Phrases of ``target`` words of a shard with their counts, packed by bucket.
+
+    From single words on, phrases grow by a word to the left (even lengths, in the index of the sequence) or to the right
+    (odd lengths, in that of the reversed sequence); both intervals are kept. Only those frequent over all shards go on.
+    """
+
+    def pairs(codes: pa.Table) -> pa.Table:
+        return run(codes, None)
+
+    def run(codes: pa.Table, known: pa.Table | None) -> pa.Table:
+        if not codes.num_rows:
+            return _table(FOUND)
+        sequence, gid = _unsqueezed(codes.column("codes")[0].as_py()), _unpacked(codes.column("gids"))
+        words, indexes = len(gid), {}
+        size = np.bincount(sequence, minlength=words + 1)
+        forward = backward = np.cumsum(size)[:-1]  # of single words: equal intervals in both indexes
+        size = size[1:]
+        for length in range(2, target + 1):
+            left = length % 2 == 0
+            if left not in indexes:
+                indexes[left] = Index(sequence if left else sequence[::-1])
+            if left:
+                own, forward, backward, size, side = extended(indexes[left], words, forward, backward, size, gid)
+                heads, rests = side, gid[own]
+            else:
+                own, backward, forward, size, side = extended(indexes[left], words, backward, forward, size, gid)
+                heads, rests = gid[own], side
+            if length < target:
+                gid = _numbers_of(heads, rests, known.filter(pa.compute.equal(known.column("length"), length)))
+                often = gid > 0
+                gid, forward, backward, size = gid[often], forward[often], backward[often], size[often]
+        bucket = (mix(heads.astype(U64) ^ mix(rests.astype(U64))) % U64(buckets)).astype(np.int64)
+        order = np.lexsort((heads, rests, bucket))
+        cuts = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0)) if len(order) else np.zeros(0, np.int64)
+        blocks = [order[i:j] for i, j in zip(cuts, np.append(cuts[1:], len(order)), strict=True)]
+        shard = codes.column("shard")[0].as_py()
+        return _table(FOUND, [shard] * len(blocks), [int(bucket[b[0]]) for b in blocks], *[[_packed(x[b]) for b in blocks] for x in (heads, rests, size)])
+
+    return run if target > 2 else pairs
+
+
+def _summed(min_count: int, length: int):
+    """The frequent phrases of a bucket, and for each shard those of its phrases that are among them."""
+
+    def run(found: pa.Table) -> pa.Table:
+        parts = [[_unpacked(found.column(c)[i : i + 1]) for c in ("heads", "rests", "sizes")] for i in range(found.num_rows)]
+        heads, rests, sizes = (np.concatenate([p[k] for p in parts]) for k in range(3))
+        shards = np.repeat(found.column("shard").to_numpy(), [len(p[0]) for p in parts])
+        order = np.lexsort((shards, heads, rests))
+        heads, rests, shards = heads[order], rests[order], shards[order]
+        first = np.flatnonzero(np.concatenate([[True], (heads[1:] != heads[:-1]) | (rests[1:] != rests[:-1])]))
+        totals = np.add.reduceat(sizes[order], first)
+        often = totals >= min_count
+        base = (found.column("bucket")[0].as_py() << 32) + 1
+        ids = np.where(often, base + np.cumsum(often) - 1, 0)
+        entries = np.repeat(ids, np.diff(np.append(first, len(heads))))
+        n = int(often.sum())
+        none, size = [None] * n, [length] * n
+        grams = _table(LEVEL, none, ids[often], heads[first][often], rests[first][often], totals[often], size, none, none, none)
+        kept = np.flatnonzero(entries)
+        kept = kept[np.argsort(shards[kept], kind="stable")]
+        cuts = np.flatnonzero(np.append(True, np.diff(shards[kept]) != 0)) if len(kept) else np.zeros(0, np.int64)
+        blocks = [kept[i:j] for i, j in zip(cuts, np.append(cuts[1:], len(kept)), strict=True)]
+        none = [None] * len(blocks)
+        packed = [[_packed(x[b]) for b in blocks] for x in (heads, rests, entries)]
+        back = _table(LEVEL, [int(shards[b[0]]) for b in blocks], none, none, none, none, [length] * len(blocks), *packed)
+        return pa.concat_tables([grams, back])
 
     return run
 
@@ -226,12 +319,14 @@ def _longer(to_left: bool):
 # ---- counts over all shards ---------------------------------------------------------------------------------------------
 
 
-def frequent_phrases(docs: DataFrame, min_count: int = 100, words_per_shard: int = WORDS_PER_SHARD) -> tuple[DataFrame, list[DataFrame]]:
+def frequent_phrases(docs: DataFrame, min_count: int = 100, words_per_shard: int = WORDS_PER_SHARD, per_bucket: int = PHRASES_PER_BUCKET) -> tuple[DataFrame, list[DataFrame]]:
     """(lang, n): all words; and for each length from 1 a table (gid, lang, phrase, last, f, heads, rests) of the phrases that
     occur ``min_count`` times or more. ``heads`` and ``rests`` are the counts of a phrase's beginnings and ends by length.
 
     A phrase is as frequent as required only if both phrases one word shorter are, so each round extends only intervals of
-    phrases frequent over all shards: the numbers of those go back to the shards that hold them, and to no other.
+    phrases frequent over all shards: the numbers of those go back to the shards that hold them, and to no other. Counts
+    travel packed, by shard and bucket; a bucket of phrases meets in one task, with about ``per_bucket`` counts at most
+    whatever the input, since a shard tells a phrase once.
     """
     shards = stored(shards_of(docs, words_per_shard), "shards")
     totals = shards.where("local IS NULL").groupBy("lang").agg(F.sum("n").alias("n"))
@@ -241,19 +336,27 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, words_per_shard: int
         (F.monotonically_increasing_id() + 1).alias("gid"), "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", counts.alias("heads"), counts.alias("rests")), "words")
     levels = [level]
     back = shards.where("local IS NOT NULL").join(level.select("lang", F.col("phrase").alias("word"), "gid"), ["lang", "word"]).select(F.col("shard").alias("at"), "local", "gid")
-    codes = shards.where("local IS NULL").select("shard", "lang", "codes")
+    codes = shards.where("local IS NULL").select("shard", "codes")
     narrow = stored(codes.groupBy("shard").cogroup(back.groupBy("at")).applyInArrow(_narrow, NARROW), "narrow")
-    phrases = narrow.select(F.col("shard").alias("at"), "gids")
+    known = None
     for length in range(2, LONGEST + 1):
-        found = stored(narrow.select("shard", "lang", "codes").groupBy("shard").cogroup(phrases.groupBy("at")).applyInArrow(_longer(length % 2 == 1), FOUND), "found")
-        summed = found.groupBy("lang", "head", "rest").agg(F.sum("size").alias("f")).where(F.col("f") >= min_count)
-        head = level.select(F.col("gid").alias("head"), F.col("phrase").alias("begin"), F.col("f").alias("head_f"), "heads")
+        buckets = slices_for(narrow.agg(F.coalesce(F.sum("n_codes"), F.lit(0))).first()[0], per_bucket)
+        if known is None:
+            found = narrow.groupBy("shard").applyInArrow(_phrases(length, buckets), FOUND)
+        else:
+            found = narrow.groupBy("shard").cogroup(known.groupBy("at")).applyInArrow(_phrases(length, buckets), FOUND)
+        summed = stored(found.groupBy("bucket").applyInArrow(_summed(min_count, length), LEVEL), "summed")
+        head = level.select(F.col("gid").alias("head"), "lang", F.col("phrase").alias("begin"), F.col("f").alias("head_f"), "heads")
         rest = level.select(F.col("gid").alias("rest"), "last", F.col("f").alias("rest_f"), "rests")
-        level = stored(summed.join(head, "head").join(rest, "rest").select(
-            (F.monotonically_increasing_id() + 1).alias("gid"), "lang", F.concat_ws(" ", "begin", "last").alias("phrase"), "last", "f",
+        grams = summed.where("shard IS NULL").select("gid", "head", "rest", "f")
+        level = stored(grams.join(head, "head").join(rest, "rest").select(
+            "gid", "lang", F.concat_ws(" ", "begin", "last").alias("phrase"), "last", "f",
             F.concat("heads", F.array("head_f")).alias("heads"), F.concat("rests", F.array("rest_f")).alias("rests"), "head", "rest"), "phrases")
         levels.append(level)
-        phrases = found.join(level.select("head", "rest", "gid"), ["head", "rest"]).select(F.col("shard").alias("at"), "forward", "backward", "size", "gid")
+        more = summed.where("shard IS NOT NULL").select(F.col("shard").alias("at"), "length", "heads", "rests", "ids")
+        if known is None:
+            narrow = stored(narrow.groupBy("shard").cogroup(more.groupBy("at")).applyInArrow(_thin, NARROW), "thin")
+        known = more if known is None else known.union(more)
     return totals, levels
 
 
