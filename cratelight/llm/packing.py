@@ -18,7 +18,7 @@ CAPACITY = 2048
 END = (0).to_bytes(4, "little")
 ROWS_PER_GROUP = 20_000
 PASSES, STEPS, DONORS, WIDEST = 2, 64, 400, 6
-CACHE_BYTES = 48 << 20  # of words and their ids in a worker
+CACHE_BYTES = 128 << 20  # of words and their ids in a worker
 TOKENIZER = "word_bpe_49k.json"
 PROBE = "The  cat's Na\u00efve stra\u00dfe,\nco-op. \u00c9t\u00e9 12ab (x) qwxz don't e\u0301 \u0130 a.b ,. tz".encode()
 MARKS = "!#$%&*+,-./:;?@^_|~()[]{}=>"

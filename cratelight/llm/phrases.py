@@ -244,6 +244,11 @@ def _thin(codes: pa.Table, known: pa.Table) -> pa.Table:
     return _sequence_row(codes, _compact(np.where(keep, sequence, 0)), gids[1:])
 
 
+def _runs(order: np.ndarray, key: np.ndarray) -> list[np.ndarray]:
+    """``order`` in pieces of equal ``key``, by which it is sorted."""
+    return np.split(order, np.flatnonzero(np.diff(key[order])) + 1) if len(order) else []
+
+
 def _phrases(target: int, buckets: int):
     """Phrases of ``target`` words of a shard with their counts, packed by bucket.
 
@@ -278,8 +283,7 @@ def _phrases(target: int, buckets: int):
                 gid, forward, backward, size = gid[often], forward[often], backward[often], size[often]
         bucket = (mix(heads.astype(U64) ^ mix(rests.astype(U64))) % U64(buckets)).astype(np.int64)
         order = np.lexsort((heads, rests, bucket))
-        cuts = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0)) if len(order) else np.zeros(0, np.int64)
-        blocks = [order[i:j] for i, j in zip(cuts, np.append(cuts[1:], len(order)), strict=True)]
+        blocks = _runs(order, bucket)
         shard = codes.column("shard")[0].as_py()
         return _table(FOUND, [shard] * len(blocks), [int(bucket[b[0]]) for b in blocks], *[[_packed(x[b]) for b in blocks] for x in (heads, rests, size)])
 
@@ -306,8 +310,7 @@ def _summed(min_count: int, length: int):
         grams = _table(LEVEL, none, ids[often], heads[first][often], rests[first][often], totals[often], size, none, none, none)
         kept = np.flatnonzero(entries)
         kept = kept[np.argsort(shards[kept], kind="stable")]
-        cuts = np.flatnonzero(np.append(True, np.diff(shards[kept]) != 0)) if len(kept) else np.zeros(0, np.int64)
-        blocks = [kept[i:j] for i, j in zip(cuts, np.append(cuts[1:], len(kept)), strict=True)]
+        blocks = _runs(kept, shards)
         none = [None] * len(blocks)
         packed = [[_packed(x[b]) for b in blocks] for x in (heads, rests, entries)]
         back = _table(LEVEL, [int(shards[b[0]]) for b in blocks], none, none, none, none, [length] * len(blocks), *packed)

@@ -193,6 +193,8 @@ def test_phrases_equal_plain(spark, least, most, size):
 def test_phrases_of_nothing(spark):
     assert phrases.collocations(spark.createDataFrame([], "lang string, text string")).count() == 0
     assert phrases.collocations(spark.createDataFrame([("en", None), (None, "")], "lang string, text string")).count() == 0
+    few = [("en", "a b. a b. a b"), ("fr", "c d. c d. c d. x c d e. x c d e. x c d e"), ("de", "f. f. f. f")]  # pairs without longer phrases, words without pairs
+    assert sorted(tuple(r) for r in phrases.collocations(spark.createDataFrame(few, "lang string, text string"), 3).collect()) == plain_phrases(few, 3, 10)
 
 
 def test_scores_beyond_64_bits(spark):
