@@ -1,9 +1,8 @@
-"""Exact quantiles with linear interpolation that no single task has to sort.
+"""Exact quantiles with linear interpolation by counting alone: no sketch, no sort and no window over values.
 
-``percentile`` keeps every distinct value in one aggregation buffer. Here a mergeable sketch first brackets each
-wanted rank within a guaranteed error; one pass then counts the rows below the bracket (they collapse map-side into
-one row) and keeps only the values inside it, about ``8 / accuracy`` of the rows. Those are counted in ``CELLS`` equal parts of
-the bracket, and only the part that holds the rank is put in order.
+A first pass counts the values by sign and part of an octave, in the order of the numbers. Each further pass cuts only the
+part that holds a wanted rank into ``CELLS`` equal cells, until such a cell holds one value: two to four more passes, since
+each settles 16 bits of a double. Counts combine before their shuffle, so a value that fills the column is one row a task.
 """
 
 from __future__ import annotations
@@ -13,74 +12,77 @@ from pyspark.sql import functions as F
 
 from cratelight.functions.labels import sql_text
 
-ACCURACY = 10_000
-CELLS = 4096
+CELLS = 65_536
+OCTAVE = 8  # parts of an octave in the first pass
+ZERO = 10_000  # above the number of a part of any finite double's octave, below as well
 
 
-def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]], accuracy: int = ACCURACY) -> DataFrame:
-    """(name, q, value) for each column of ``df`` named in ``wanted`` and each of its quantiles; NULL and NaN skipped."""
-    columns = list(wanted)
+def _magnitude(x: Column) -> Column:
+    """A whole number that grows with ``x``, the same for values of one sign within an eighth of an octave; 0 for zero alone
+    and one for each infinity."""
+    part = F.when(F.abs(x) == float("inf"), 2 * ZERO).otherwise(F.floor(F.log2(F.abs(x)) * OCTAVE) + ZERO).cast("int")
+    return F.when(x == 0, 0).when(x > 0, part).otherwise(-part)
+
+
+def _placed(counted: DataFrame, group: str) -> DataFrame:
+    """(group, cell, held, least, most) with ``before``, the values in earlier cells, and ``n``, all of the group."""
+    earlier = Window.partitionBy(group).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    return counted.withColumn("before", F.coalesce(F.sum("held").over(earlier), F.lit(0))).withColumn("n", F.sum("held").over(Window.partitionBy(group)))
+
+
+def _counted(rows: DataFrame, group: str, cell: Column) -> DataFrame:
+    return rows.groupBy(group, cell.alias("cell")).agg(F.count(F.lit(1)).alias("held"), F.min("x").alias("least"), F.max("x").alias("most"))
+
+
+def _literals(spark, rows: list[tuple], names: list[str]) -> DataFrame:
+    """Rows of a request as a plan of constants."""
+    structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row, strict=True)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
+def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]], cells: int = CELLS) -> DataFrame:
+    """(name, q, value) for each column of ``df`` named in ``wanted`` and each of its quantiles; NULL and NaN skipped.
+
+    ``df`` is read once a pass. What comes back to the driver in a pass is one row for each wanted rank.
+    """
+    spark, columns = df.sparkSession, list(wanted)
     asked = [(c, float(q)) for c in columns for q in wanted[c]]
+    x = F.col("x") + F.lit(0.0)  # one zero
     scores = (
         df.select(*[F.col(c).cast("double").alias(c) for c in columns])
         .unpivot([], columns, "name", "x")
-        .where(F.col("x").isNotNull() & ~F.isnan("x"))
-    )
-    margin = 3.0 / accuracy  # the sketch is off by at most 1 / accuracy
-    probs = sorted({p for _, q in asked for p in (q - margin, q + margin) if 0 < p < 1}) or [0.5]
-    sketch = scores.groupBy("name").agg(
-        F.count("x").alias("n"), F.min("x").alias("least"), F.max("x").alias("most"),
-        F.percentile_approx("x", F.array(*map(F.lit, probs)), accuracy).alias("_pts"),
-    )
-
-    def edge(p: float, open_end: str) -> str:
-        if p not in probs:
-            return open_end
-        # with few rows one rank weighs more than the margin, and keeping them all is cheap
-        return f"if(n > {accuracy}, _pts[{probs.index(p)}], {open_end})"
-
-    def bracket(slot: int, q: float) -> str:
-        return f"named_struct('slot', {slot}, 'lo', {edge(q - margin, 'least')}, 'hi', {edge(q + margin, 'most')})"
-
-    mine = {c: ", ".join(bracket(i, q) for i, (name, q) in enumerate(asked) if name == c) for c in columns}
-    mine = F.expr("CASE name " + " ".join(f"WHEN {sql_text(c)} THEN array({structs})" for c, structs in mine.items()) + " END")
-    brackets = sketch.select("name", "n", F.explode(mine).alias("b")).select("name", "n", "b.*")
-    # which equal part of the bracket holds a value; grows with it. -1 is below the bracket, an unbounded bracket is one part
-    cell = F.expr(f"""CASE WHEN x < lo THEN -1 WHEN hi > lo AND hi - lo < double('Infinity')
-        THEN least({CELLS - 1}, CAST(floor((x - lo) / (hi - lo) * {CELLS}) AS int)) ELSE 0 END""")
-    # one row per wanted quantile, so the broadcast is bounded by the request
-    counted = (
-        scores.join(F.broadcast(brackets), "name")
-        .where(F.col("x") <= F.col("hi"))
-        .groupBy("slot", "n", cell.alias("cell"), F.when(F.col("x") >= F.col("lo"), F.col("x")).alias("v"))
-        .agg(F.count("*").alias("c"))
+        .where(F.col("x").isNotNull() & ~F.isnan("x")).select("name", x.alias("x"))
     )
-    names = F.expr(f"array({', '.join(sql_text(c) for c, _ in asked)})[slot]")
-    qs = F.expr(f"array({', '.join(f'{q!r}d' for _, q in asked)})[slot]")
-    rank = qs * (F.col("n") - 1)
-    earlier = Window.partitionBy("slot", "n").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = (
-        counted.groupBy("slot", "n", "cell")
-        .agg(F.sum("c").alias("held"))
-        .withColumn("before", F.coalesce(F.sum("held").over(earlier), F.lit(0)))
-        .where((F.col("before") <= F.ceil(rank)) & (F.col("before") + F.col("held") > F.floor(rank)))
-    )
-    upto = Window.partitionBy("slot", "n", "cell").orderBy("v")
-    # at most two parts per wanted quantile: those of the two ranks it lies between
-    placed = (
-        counted.join(F.broadcast(cells), ["slot", "n", "cell"])
-        .withColumn("last", F.col("before") + F.sum("c").over(upto) - 1)
-        .withColumn("first", F.col("last") - F.col("c") + 1)
-        .withColumn("rank", rank)
-    )
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when(rank.between(F.col("first"), F.col("last")), F.col("v")))
-
-    found = placed.groupBy("slot", "n").agg(at(F.floor("rank")).alias("a"), at(F.ceil("rank")).alias("b"))
-    between = F.col("a") + (F.col("b") - F.col("a")) * (rank - F.floor(rank))
-    value = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(between)  # equal infinities have no difference
-    return found.select(names.alias("name"), qs.alias("q"), value.alias("value"))
+    request = _literals(spark, [(i, c, q, end) for i, (c, q) in enumerate(asked) for end in (0, 1)], ["slot", "name", "q", "end"])
+    exact = F.col("q") * (F.col("n") - 1)
+    rank = F.when(F.col("end") == 0, F.floor(exact)).otherwise(F.ceil(exact))
+    first = _placed(_counted(scores, "name", _magnitude(F.col("x"))), "name")
+    held = (rank >= F.col("before")) & (rank < F.col("before") + F.col("held"))
+    found = first.join(F.broadcast(request), "name").where(held).select("slot", "end", "name", "least", "most", "before", "n", exact.alias("at"), rank.alias("rank"))
+    known = {(r.slot, r.end): r for r in found.collect()}
+    values = {k: r.least for k, r in known.items() if r.least == r.most}
+    open_ = {k: (r.name, r.least, r.most, r.rank - r.before) for k, r in known.items() if r.least < r.most}
+    while open_:
+        brackets = sorted({(name, low, high) for name, low, high, _ in open_.values()})
+        number = {b: i for i, b in enumerate(brackets)}
+        table = _literals(spark, [(i, *b) for b, i in number.items()], ["bracket", "name", "low", "high"])
+        targets = _literals(spark, [(number[b[:3]], slot, end, int(b[3])) for (slot, end), b in open_.items()], ["bracket", "slot", "end", "rank"])
+        inside = scores.join(F.broadcast(table), "name").where(F.col("x").between(F.col("low"), F.col("high")))
+        cell = F.least(F.floor((F.col("x") - F.col("low")) / (F.col("high") - F.col("low")) * cells), F.lit(cells - 1)).cast("int")
+        placed = _placed(_counted(inside, "bracket", cell), "bracket")
+        held = (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("held"))
+        rows = placed.join(F.broadcast(targets), "bracket").where(held).select("slot", "end", "least", "most", (F.col("rank") - F.col("before")).alias("rank")).collect()
+        names = {k: b[0] for k, b in open_.items()}
+        values |= {(r.slot, r.end): r.least for r in rows if r.least == r.most}
+        open_ = {(r.slot, r.end): (names[r.slot, r.end], r.least, r.most, r.rank) for r in rows if r.least < r.most}
+    out = []
+    for i, (c, q) in enumerate(asked):
+        if (i, 0) in values:
+            low, high, r = values[i, 0], values[i, 1], known[i, 0]
+            out.append((c, q, low if low == high else low + (high - low) * (r["at"] - int(r["rank"]))))
+    if not out:
+        return spark.createDataFrame([], "name string, q double, value double")
+    return _literals(spark, out, ["name", "q", "value"])
 
 
 def quantile_row(df: DataFrame, wanted: dict[str, list[float]]) -> tuple[DataFrame, dict[tuple[str, float], str]]:

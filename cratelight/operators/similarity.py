@@ -329,46 +329,6 @@ def pairs_of(spark, ids: list) -> DataFrame:
     return spark.createDataFrame([(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :]], ["sid1", "sid2"])
 
 
-def plane_signs(embedding: Column, width: int, tables: int, bits: int, seed: int) -> list[Column]:
-    """For each table a number of ``bits`` bits: on which side of ``bits`` fixed planes a vector lies.
-
-    The planes' components are -1, 0 or 1, from a linear congruence of their place, so any engine can repeat them.
-    """
-    out = []
-    for t in range(tables):
-        code = F.lit(0)
-        for b in range(bits):
-            plane = [plane_component(t * bits + b, i, seed) for i in range(width)]
-            side = F.aggregate(F.zip_with(embedding, F.array(*map(F.lit, plane)), lambda x, w: x.cast("double") * w), F.lit(0.0), lambda s, x: s + x)
-            code = code + F.when(side > 0, 1 << b).otherwise(0)
-        out.append(code.cast("int"))
-    return out
-
-
-def plane_component(plane: int, i: int, seed: int) -> int:
-    return ((plane * 64 + i) * 7919 + seed * 104729) // 13 % 3 - 1
-
-
-def build_index(vectors: DataFrame, path: str, width: int, tables: int = 6, bits: int = 4, seed: int = 1) -> None:
-    """Writes the approximate index once, (table, code, sid, embedding), partitioned by table and code: a search reads its buckets only."""
-    codes = F.array(*plane_signs(F.col("embedding"), width, tables, bits, seed))
-    rows = vectors.where(F.size("embedding") == width).select("sid", "embedding", F.posexplode(codes).alias("table", "code"))
-    rows.write.partitionBy("table", "code").parquet(path)
-
-
-def search_index(refs: DataFrame, path: str, width: int, n: int = 5, tables: int = 6, bits: int = 4, seed: int = 1) -> DataFrame:
-    """(seed, sid, distance, rank): about the ``n`` nearest songs of each reference by cosine distance, itself left out.
-
-    Songs that share a bucket of some table with the reference are ranked by their exact distance.
-    """
-    stored = refs.sparkSession.read.parquet(path)
-    codes = F.array(*plane_signs(F.col("embedding"), width, tables, bits, seed))
-    asked = refs.select(F.col("sid").alias("seed"), F.col("embedding").alias("_v1"), F.posexplode(codes).alias("table", "code"))
-    met = asked.join(stored.withColumnRenamed("embedding", "_v2"), ["table", "code"]).where("seed <> sid")
-    scored = met.select("seed", "sid", _score("cosine").alias("distance")).distinct()
-    return keep_nearest(scored, n).select("seed", "sid", "distance", F.col("rank").cast("int").alias("rank"))
-
-
 def unit_vector(vector: Column) -> Column:
     """The vector scaled to length 1."""
     from cratelight.functions.vectors import norm

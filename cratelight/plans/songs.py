@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from cratelight.functions.vectors import METRICS
-from cratelight.operators import projection, scoring, setlist, similarity, stats
+from cratelight.operators import ann, projection, scoring, setlist, similarity, stats
 from cratelight.operators.pooling import vector_means
 from cratelight.plans import views
 from cratelight.plans.registry import query
@@ -111,23 +111,28 @@ def setlist_walks(spark, d):
     return walks.join(tags.select("sid", "title", "artist"), "sid").select("seed", "order", "sid", "title", "artist")
 
 
-_TABLES, _BITS, _WIDTH = 6, 4, 64
-_CODES = "[" + ", ".join(
-    "(" + " + ".join(
-        f"CASE WHEN list_sum(list_transform(list_zip(embedding, {[similarity.plane_component(t * _BITS + b, i, 1) for i in range(_WIDTH)]}), lambda z: z[1] * z[2])) > 0 THEN {1 << b} ELSE 0 END"
-        for b in range(_BITS)) + ")" for t in range(_TABLES)) + "]"
+def _asked(spark, d):
+    """The vectors, the index of them (written once), and every 50th song, which asks it."""
+    vectors, path = views.vectors(spark, d), scratch_path(spark, "index")
+    quantiser = ann.fit(vectors)
+    if quantiser is not None:
+        ann.build(vectors, path, quantiser)
+    return vectors, path, vectors.where("sid % 50 = 0")
 
 
-@query("I3 I2 H17", "vectors", f"""WITH x AS (SELECT sid, embedding, {_CODES} AS codes FROM vectors), h AS (SELECT sid, embedding, unnest(codes) AS code, generate_subscripts(codes, 1) AS t FROM x),
-    r AS (SELECT * FROM h WHERE sid % 50 = 0),
-    m AS (SELECT DISTINCT r.sid AS seed, h.sid, {_COSINE.format('r.embedding', 'h.embedding')} AS distance FROM r JOIN h ON r.t = h.t AND r.code = h.code AND r.sid <> h.sid),
-    k AS (SELECT *, row_number() OVER (PARTITION BY seed ORDER BY distance, sid) AS rank FROM m)
-    SELECT seed, sid, distance, rank::INTEGER AS rank FROM k WHERE rank <= 5""")
+@query("I3 I2 H17", "", None)
 def ann_knn(spark, d):
-    # the index is written once; every 50th song asks it
-    vectors, path = views.vectors(spark, d), scratch_path(spark, "index")
-    similarity.build_index(vectors, path, _WIDTH, _TABLES, _BITS)
-    return similarity.search_index(vectors.where("sid % 50 = 0"), path, _WIDTH, 5, _TABLES, _BITS)
+    _, path, refs = _asked(spark, d)
+    return ann.search(refs, path, 5)
+
+
+@query("I3 I1", "vectors", "SELECT count(*) AS n_references, TRUE AS recall_reached FROM vectors WHERE sid % 50 = 0 AND len(embedding) > 0")
+def ann_recall(spark, d):
+    # the index against the exact search: at least nine of ten neighbours are found
+    vectors, path, refs = _asked(spark, d)
+    found, exact = ann.search(refs, path, 5), similarity.nearest(vectors, refs, 5, "cosine")
+    both = exact.join(found.select("seed", "sid", F.lit(1).alias("hit")), ["seed", "sid"], "left")
+    return both.agg(F.countDistinct("seed").alias("n_references"), (F.count("hit") >= 0.9 * F.count(F.lit(1))).alias("recall_reached"))
 
 
 @query("I1 I2 H17", "vectors", f"""WITH s AS (SELECT sid, list_transform(embedding, lambda x: x * 1000) AS embedding, label FROM vectors UNION ALL

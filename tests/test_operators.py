@@ -16,15 +16,15 @@ def values(df, *columns):
     return sorted(tuple(row[c] for c in columns) for row in df.collect())
 
 
-@pytest.mark.parametrize("accuracy", [20, 10_000])
-def test_exact_quantiles(spark, accuracy):
-    """Both ways: keeping all rows, and bracketing by the sketch (few rows allowed)."""
+@pytest.mark.parametrize("cells", [3, 65_536])
+def test_exact_quantiles(spark, cells):
+    """With many passes of few cells, and with few passes of many."""
     rng = random.Random(3)
     rows = [(rng.gauss(0, 1), float(rng.randrange(4)), None if i % 3 else rng.random()) for i in range(5000)]
     rows += [(float("nan"), None, None)]
     df = spark.createDataFrame(rows, "a double, b double, c double")
     probs = [0.0, 0.2, 0.333, 0.5, 0.75, 0.9, 1.0]
-    got = {(r["name"], r["q"]): r["value"] for r in quantiles.exact_quantiles(df, {c: probs for c in "abc"}, accuracy).collect()}
+    got = {(r["name"], r["q"]): r["value"] for r in quantiles.exact_quantiles(df, {c: probs for c in "abc"}, cells).collect()}
     for i, c in enumerate("abc"):
         present = [r[i] for r in rows if r[i] is not None and not math.isnan(r[i])]
         for q in probs:
@@ -42,6 +42,31 @@ def test_exact_quantiles_of_uneven_and_infinite_values(spark):
     assert (got["e", 0.001], got["e", 0.5], got["e", 0.999]) == (float("-inf"), (n - 801) / 2, float("inf"))
 
 
+def test_exact_quantiles_of_every_magnitude(spark):
+    """Values from the smallest to the largest doubles of both signs, zeros, and a value that fills a third of the column."""
+    rng = random.Random(8)
+    rows = [math.ldexp(rng.uniform(0.5, 1), rng.randrange(-1073, 1024)) * rng.choice([-1, 1]) for _ in range(1500)]
+    rows += [0.0, -0.0, 5e-324, -5e-324, 1.7976931348623157e308, -1.7976931348623157e308] + [0.1] * 800
+    rows += [0.1 + i * 2.0**-56 for i in range(50)]
+    df = spark.createDataFrame([(x,) for x in rows], "x double").repartition(5)
+    probs = [i / (len(rows) - 1) for i in range(0, len(rows), 97)] + [1.0]
+    got = {r.q: r.value for r in quantiles.exact_quantiles(df, {"x": probs}).collect()}
+    order = sorted(rows)
+    for q in probs:
+        at = q * (len(rows) - 1)
+        low, high = order[math.floor(at)], order[math.ceil(at)]
+        assert got[q] == (low if low == high else low + (high - low) * (at - math.floor(at)))
+    assert quantiles.exact_quantiles(df.limit(0), {"x": [0.5]}).count() == 0
+
+
+def test_quantiles_neither_sort_nor_sketch(spark):
+    """The counting plan: no value reaches a sort or a window, only cells do."""
+    df = spark.range(100).select((F.col("id") * 1.5).alias("x"), (F.col("id") % 3).cast("string").alias("name"))
+    plan = quantiles._placed(quantiles._counted(df, "name", quantiles._magnitude(F.col("x"))), "name")._jdf.queryExecution().executedPlan().toString()
+    assert "percentile" not in plan and "HashAggregate(" in plan and "Sort [name" in plan
+    assert all("x#" not in line for line in plan.splitlines() if "Sort [" in line or "Window [" in line)
+
+
 def test_describe_has_sample_std(spark):
     row = quantiles.describe(spark.createDataFrame([(float(x),) for x in (1, 2, 3, 4)], "x double"), "x").first()
     assert (row["count"], row["mean"], row["std"], row["min"], row["p25"], row["p50"], row["p75"], row["max"]) == (4, 2.5, 1.291, 1.0, 1.75, 2.5, 3.25, 4.0)
@@ -250,15 +275,43 @@ def test_compare_songs_and_pairs(spark):
     assert all(r.title1 == f"t{r.sid1}" and r.score == pytest.approx(_distance(matrix[r.sid1], matrix[r.sid2], "euclidean"), abs=2e-6) for r in got)
 
 
-def test_index_recall(spark, tmp_path):
+def test_index_recall_of_the_registered_query(folder, spark):
+    """On the largest given table: nine of ten neighbours, from under 15 % of the vectors; lists and codes are pruned columns."""
+    from pathlib import Path
+
+    from cratelight.operators import ann
+    from cratelight.plans import songs as plan
+
+    big = Path(folder).parent / "sf0.1"
+    vectors, path, refs = plan._asked(spark, str(big if big.exists() else folder))
+    found = {(r.seed, r.sid) for r in ann.search(refs, path, 5).collect()}
+    exact = {(r.seed, r.sid) for r in similarity.nearest(vectors, refs, 5, "cosine").collect()}
+    assert len(found & exact) >= 0.9 * len(exact) and len(found) == len(exact)
+    assert ann.share_read(vectors, path) < 0.15
+    scan = [x for x in ann.candidates(refs, path)._jdf.queryExecution().executedPlan().toString().splitlines() if "lists" in x and "ReadSchema" in x]
+    assert scan and all("embedding" not in x.split("ReadSchema")[1] for x in scan)
+
+
+def test_index_of_clusters_copies_and_strange_vectors(spark, tmp_path, monkeypatch):
+    """Clustered vectors: few lists suffice. Copies tie by sid, a crowded list is met in blocks, empty vectors are left out."""
+    from cratelight.operators import ann
+
+    monkeypatch.setattr(ann, "ROWS_PER_BLOCK", 100)
     rng = np.random.default_rng(0)
-    matrix = rng.normal(size=(300, 8))
-    vectors = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(matrix)], "sid bigint, embedding array<float>")
-    path = str(tmp_path / "index")
-    similarity.build_index(vectors, path, 8, tables=12, bits=3)
-    got = [r.sid for r in similarity.search_index(vectors.where("sid = 0"), path, 8, 10, tables=12, bits=3).collect()]
-    exact = sorted(range(1, 300), key=lambda j: _distance(matrix[0], matrix[j], "cosine"))[:10]
-    assert 0 not in got and len(set(got) & set(exact)) >= 7
+    centres = rng.normal(size=(12, 20))
+    matrix = np.concatenate([c + 0.1 * rng.normal(size=(60, 20)) for c in centres] + [np.repeat(centres[:1], 400, axis=0)])
+    rows = [(i, [float(x) for x in row]) for i, row in enumerate(matrix)] + [(9999, []), (10000, None), (10001, [0.0] * 20)]
+    vectors, path = spark.createDataFrame(rows, "sid bigint, embedding array<float>"), str(tmp_path / "index")
+    quantiser = ann.fit(vectors)
+    ann.build(vectors, path, quantiser)
+    assert quantiser.probes < len(quantiser.centres)
+    loaded = ann.Quantiser.load(spark, f"{path}/quantiser")
+    assert np.array_equal(loaded.centres, quantiser.centres) and loaded.probes == quantiser.probes and loaded.rerank == quantiser.rerank
+    refs = vectors.where("sid % 10 = 0 AND sid < 720 OR sid = 700")
+    got, exact = ({(r.seed, r.sid): r.distance for r in df.collect()} for df in (ann.search(refs, path, 5), similarity.nearest(vectors.where("sid < 9999"), refs, 5, "cosine")))
+    assert len(set(got) & set(exact)) >= 0.9 * len(exact) and all(got[k] == exact[k] for k in set(got) & set(exact))
+    assert spark.read.parquet(f"{path}/lists").count() == 721 + 400
+    assert ann.fit(vectors.where("sid = 9999")) is None
 
 
 @pytest.mark.parametrize("length", [1, 50, 1000])
