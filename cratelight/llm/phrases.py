@@ -253,11 +253,14 @@ def _phrases(target: int, buckets: int):
     """Phrases of ``target`` words of a shard with their counts, packed by bucket.
 
     From single words on, phrases grow by a word to the left (even lengths, in the index of the sequence) or to the right
-    (odd lengths, in that of the reversed sequence); both intervals are kept. Only those frequent over all shards go on.
+    (odd lengths, in that of the reversed sequence); both intervals are kept. Only those frequent over all shards go on. For
+    pairs nothing but the shards is needed, which are mapped where they lie.
     """
 
-    def pairs(codes: pa.Table) -> pa.Table:
-        return run(codes, None)
+    def pairs(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):  # a shard is a row
+                yield from run(pa.Table.from_batches([batch.slice(i, 1)]), None).to_batches()
 
     def run(codes: pa.Table, known: pa.Table | None) -> pa.Table:
         if not codes.num_rows:
@@ -345,7 +348,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, words_per_shard: int
     for length in range(2, LONGEST + 1):
         buckets = slices_for(narrow.agg(F.coalesce(F.sum("n_codes"), F.lit(0))).first()[0], per_bucket)
         if known is None:
-            found = narrow.groupBy("shard").applyInArrow(_phrases(length, buckets), FOUND)
+            found = narrow.mapInArrow(_phrases(length, buckets), FOUND)
         else:
             found = narrow.groupBy("shard").cogroup(known.groupBy("at")).applyInArrow(_phrases(length, buckets), FOUND)
         summed = stored(found.groupBy("bucket").applyInArrow(_summed(min_count, length), LEVEL), "summed")
