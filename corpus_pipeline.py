@@ -49,11 +49,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     comes back to the texts, so that table grows with the corpus and is joined by a shuffle at every size.
     """
     ship_package(spark)
-    taken = mixing.taken_words(mixing.mix(docs)).where("size > 0").groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"))
+    taken = mixing.taken_words(mixing.mix(docs.select("doc_id", "source", "text"))).where("size > 0").groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"))
     times = stored(taken.agg(F.round(F.sum("taken") / F.sum("size")).cast("int").alias("_times")).where("_times > 0"), "times")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
-    words = mixing.word_count(F.col("text")) > 0
-    return docs.where(words).join(times.hint("shuffle_merge"), same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[f"`{c}`" for c in docs.columns])
+    boxed = _boxed(docs).where(mixing.word_count(F.col("text")) > 0)
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("rest").getField("source").eqNullSafe(F.col("_source"))
+    copies = boxed.join(times.hint("shuffle_merge"), same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    return _unboxed(copies, docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
