@@ -22,6 +22,7 @@ QUERIES = {
 SQL = {
     "op6_golden_mix": mixing.OP6_SQL,
     "op7_bloom_cascade": urls.OP7_SQL,
+    "op9_seekable_warc": warc.OP9_SQL,
     "op11_zfast_trie": conversations.OP11_SQL,
     "op12_line_ranges": lines.OP12_SQL,
     "op13_fm_phrases": phrases.OP13_SQL,

@@ -224,3 +224,9 @@ def save_files(archives: DataFrame, folder: str) -> int:
 def op9_seekable_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Every page, written to archives and read back."""
     return read_archives(write_archives(table(spark, folder, "pages").select("page_id", "url", "html")))
+
+
+OP9_SQL = """WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+    d AS (SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, sha1(payload) AS payload_digest, max(page_id) OVER (PARTITION BY payload) AS last_id FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 1000 AND page_id < last_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN payload_bytes >= 1000 AND page_id < last_id THEN last_id END AS refers_to FROM d"""

@@ -1,6 +1,7 @@
 """Every operator and stage over nulls, empty and very long texts, ties, repeated rows, no rows, and clashing column names."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cratelight.llm import dedup, language, mixing, packing, quality, shards, toxicity, urls, vectors, warc
@@ -40,6 +41,18 @@ def test_stages(spark, name, stage, edges, nothing, tags, tmp_path_factory):
     assert stage(spark, nothing, folder).count() == 0
 
 
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES[:-1])
+def test_stages_with_columns_named_as_helpers(spark, name, stage, edges, tags, tmp_path_factory):
+    """Columns called as a stage's own helpers come back with their values."""
+    folder = str(tmp_path_factory.mktemp("labels"))
+    tags.write.parquet(f"{folder}/labels.parquet")
+    helpers = ["_times", "_id", "_source", "_copy", "_size", "_slice", "class_id"]
+    docs = edges.withColumns({c: F.concat(F.lit(c), F.lit("-"), F.col("doc_id")) for c in helpers})
+    result = stage(spark, docs, folder)
+    assert result.columns == docs.columns and result.count() > 0
+    assert result.where(" OR ".join(f"NOT {c} <=> concat('{c}-', doc_id)" for c in helpers)).count() == 0
+
+
 def test_empty_tables_of_other_inputs(spark):
     assert vectors.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
     pages = spark.createDataFrame([], "page_id long, url string, html string")
