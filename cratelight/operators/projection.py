@@ -7,7 +7,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, PCAModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -20,6 +20,7 @@ class Projection:
         self.signs = np.sign(loadings[largest, np.arange(loadings.shape[1])])
         self.shift = (mean @ loadings) * self.signs
         self.model = model
+        self.mean = mean
         self.explained = model.explainedVariance.toArray()
 
     def apply(self, vectors: DataFrame) -> DataFrame:
@@ -35,6 +36,20 @@ class Projection:
         )
 
 
+    def save(self, folder: str) -> None:
+        """Writes the model and the mean below ``folder``, a path all executors can reach; an earlier one is replaced."""
+        spark = SparkSession.active()
+        self.model.write().overwrite().save(f"{folder}/model")
+        mean = spark.createDataFrame([(self.mean.tolist(),)], "mean array<double>")
+        mean.coalesce(1).write.mode("overwrite").parquet(f"{folder}/mean")
+
+    @classmethod
+    def load(cls, spark: SparkSession, folder: str) -> Projection:
+        """The projection that ``save`` wrote, in any later session; axes are turned as they were."""
+        mean = spark.read.parquet(f"{folder}/mean").first()["mean"]
+        return cls(PCAModel.load(f"{folder}/model"), np.array(mean))
+
+
 def fit_projection(vectors: DataFrame, components: int = 2) -> Projection:
     """Fits the projection; only the width x width covariance reaches the driver."""
     from pyspark.ml.stat import Summarizer

@@ -105,6 +105,17 @@ def family_map(columns: list[str], sep: str = "___") -> dict[str, list[str]]:
     return families
 
 
+def family_lists(classes: DataFrame, column: str = "class", sep: str = "___") -> DataFrame:
+    """(family, subgenres, n_subgenres): the distinct sub-genres of every family in order; a class without sub-genre adds none.
+
+    Names are made distinct before they are gathered, so a list is as long as its family has sub-genres.
+    """
+    parts = F.split(F.col(column), sep)
+    names = classes.select(F.get(parts, F.lit(0)).alias("family"), F.get(parts, F.lit(1)).alias("subgenre")).where("family IS NOT NULL").distinct()
+    lists = names.groupBy("family").agg(F.array_sort(F.collect_list("subgenre")).alias("subgenres"))
+    return lists.withColumn("n_subgenres", F.size("subgenres"))
+
+
 def drop_families(df: DataFrame, families: list[str], key: str = "sid", sep: str = "___") -> DataFrame:
     """Without the class columns of some genre families."""
     return df.select(*[c for c in df.columns if c == key or c.split(sep)[0] not in families])

@@ -120,6 +120,13 @@ def class_means(arrays: DataFrame, key: str = "sid") -> DataFrame:
     return arrays.select(key, *[mean_of(F.col(c)).alias(c) for c in arrays.columns if c != key])
 
 
+def value_range(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Two rows, the smallest and the largest value of each column: a fitted scaler that can be stored as a table and later
+    stand for ``df`` as ``fitted`` of ``minmax_scale``."""
+    ends = df.agg(*[F.array(F.min(c), F.max(c)).alias(c) for c in columns])
+    return ends.select(F.explode(F.arrays_zip(*columns)).alias("end")).select(*[F.col("end").getField(c).alias(c) for c in columns])
+
+
 def minmax_scale(df: DataFrame, columns: list[str], fitted: DataFrame | None = None) -> DataFrame:
     """Columns scaled to [0, 1] by the range in ``fitted`` (default: the frame itself), as ``<column>_scaled``.
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cratelight.functions import arrays
-from cratelight.operators import align, pooling, quantiles, ranking, scenario, scoring, stats
+from cratelight.operators import align, pooling, quantiles, ranking, scenario, schema, scoring, stats
 from cratelight.operators.scenario import SCENARIOS, Rule
 from cratelight.plans import views
 from cratelight.plans.registry import query
 from cratelight.plans.views import GENRES, MOODS
+from cratelight.session import scratch_path
 
 
 def _threshold(rule: Rule) -> str:
@@ -247,6 +248,23 @@ def genre_families(spark, d):
     return songs.select(family(F.col("class")).alias("family"), subgenre(F.col("class")).alias("subgenre"), "n_songs")
 
 
+@query("D20 H10", "genre_segments", """SELECT family, string_agg(subgenre, ',' ORDER BY subgenre) AS subgenres, count(subgenre)::INTEGER AS n_subgenres
+    FROM (SELECT DISTINCT string_split(class, '___')[1] AS family, string_split(class, '___')[2] AS subgenre FROM genre_segments) GROUP BY family""")
+def family_lists(spark, d):
+    lists = schema.family_lists(views.genre_segments(spark, d))
+    return lists.withColumn("subgenres", F.array_join("subgenres", ","))
+
+
+@query("I13", "mood", "SELECT sid, " + ", ".join(
+    f"round(({m} - (SELECT min({m}) FROM mood WHERE sid % 2 = 0)) / (SELECT max({m}) - min({m}) FROM mood WHERE sid % 2 = 0), 6) AS {m}_scaled" for m in MOODS) + " FROM mood")
+def saved_scaler(spark, d):
+    """Fitted on every second song, stored, read back, and applied to all."""
+    mood, path = views.stored_mood(spark, d), scratch_path(spark, "scaler")
+    scoring.value_range(mood.where("sid % 2 = 0"), MOODS).write.parquet(path)
+    scaled = scoring.minmax_scale(mood, MOODS, spark.read.parquet(path))
+    return scaled.select("sid", *[F.round(f"{m}_scaled", 6).alias(f"{m}_scaled") for m in MOODS])
+
+
 @query("I13", "mood", "SELECT sid, " + ", ".join(
     f"round(({m} - (SELECT min({m}) FROM mood)) / (SELECT max({m}) - min({m}) FROM mood), 6) AS {m}_scaled" for m in MOODS) + " FROM mood")
 def minmax_scale(spark, d):

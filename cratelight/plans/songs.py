@@ -154,6 +154,15 @@ def pca2(spark, d):
     return placed.withColumns({c: F.round(c, 6) for c in ("component1", "component2")})
 
 
+@query("I12 I11")
+def saved_projection(spark, d):
+    """Fitted on every second song, saved, loaded into a fresh object, and applied to all."""
+    vectors, folder = views.vectors(spark, d), scratch_path(spark, "projection")
+    projection.fit_projection(vectors.where("sid % 2 = 0")).save(folder)
+    placed = projection.song_map(projection.Projection.load(spark, folder), vectors, views.tags(spark, d))
+    return placed.withColumns({c: F.round(c, 6) for c in ("component1", "component2")})
+
+
 @query("I17")
 def kmeans(spark, d):
     placed, quality = projection.clusters(views.vectors(spark, d), k=10)

@@ -2,6 +2,7 @@
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -454,3 +455,69 @@ def test_zero_scores_align(spark):
     got = align.reconcile(left, right, "sid")
     assert sorted((r.sid, r.in_left, r.in_right) for r in got.collect()) == [(1, True, False), (2, True, True), (3, False, True)]
     assert values(align.only_new(left, right), "sid") == [(1,)] and values(align.only_known(left, right), "sid") == [(2,)]
+
+
+@pytest.mark.parametrize("hot_rows", [2, 200_000])
+def test_reconcile_splits_hot_keys(spark, monkeypatch, hot_rows):
+    """Hot keys on either side, on both, on one alone, and null keys: the rows of a plain full outer join."""
+    monkeypatch.setattr(align, "HOT_ROWS", hot_rows)
+    rng = np.random.default_rng(5)
+    keys = [["a"] * 9 + ["b"] * 2 + ["c"] * 8 + ["only left"] * 7 + [None] * 6 + [f"k{i}" for i in rng.integers(0, 12, 15)],
+            ["a"] * 3 + ["b"] * 9 + ["c"] + ["only right"] * 7 + [None] * 5 + [f"k{i}" for i in rng.integers(6, 18, 15)]]
+    left, right = [spark.createDataFrame([(k, i) for i, k in enumerate(side)], f"key string, {name} int").repartition(3) for side, name in zip(keys, "lr")]
+    got = Counter((r.key, r.l, r.r, r.in_left, r.in_right) for r in align.reconcile(left, right, "key").collect())
+    expected = Counter()
+    for i, k in enumerate(keys[0]):
+        partners = [j for j, other in enumerate(keys[1]) if k is not None and other == k]
+        expected.update([(k, i, j, True, True) for j in partners] or [(k, i, None, True, False)])
+    expected.update((k, None, j, False, True) for j, k in enumerate(keys[1]) if k is None or k not in keys[0])
+    assert got == expected
+    assert align._hot_keys(left, right, "key").count() == (0 if hot_rows > 2 else len({k for side in keys for k in side if k is not None and max(s.count(k) for s in keys) > 2}))
+
+
+def test_reconcile_reads_each_side_once(spark, tmp_path):
+    """One join, and no task gets all rows without key."""
+    spark.range(3000).selectExpr("CAST(NULL AS bigint) AS key", "id AS l").write.parquet(str(tmp_path / "l"))
+    spark.range(100).selectExpr("id AS key", "id AS r").write.parquet(str(tmp_path / "r"))
+    joined = align.reconcile(spark.read.parquet(str(tmp_path / "l")), spark.read.parquet(str(tmp_path / "r")), "key")
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("FullOuter") == 1 and plan.count("parquet") == 2
+    assert joined.count() == 3100 and joined.where("in_left").count() == 3000
+
+
+def test_saved_projection_and_scaler(spark, tmp_path):
+    """What is loaded again places and scales songs as what was saved, also songs it was not fitted on."""
+    from cratelight.operators import projection
+
+    rng = np.random.default_rng(3)
+    vectors = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(rng.normal(size=(100, 6)) * [6, 4, 2, 1, 1, 1] - 3)], "sid bigint, embedding array<double>")
+    fitted = projection.fit_projection(vectors.where("sid % 2 = 0"), 3)
+    for _ in range(2):  # a second save replaces the first
+        fitted.save(str(tmp_path / "projection"))
+    loaded = projection.Projection.load(spark, str(tmp_path / "projection"))
+    assert loaded.apply(vectors).columns == ["sid", "component1", "component2", "component3"]
+    assert sorted(loaded.apply(vectors).collect()) == sorted(fitted.apply(vectors).collect())
+    assert loaded.explained == pytest.approx(fitted.explained)
+    scores = spark.createDataFrame([(1, 2.0, 5.0), (2, 4.0, 5.0), (3, 6.0, None), (4, None, 7.0)], "sid int, happy double, calm double")
+    scoring.value_range(scores.where("sid < 3"), ["happy", "calm"]).write.parquet(str(tmp_path / "scaler"))
+    scaled = scoring.minmax_scale(scores, ["happy", "calm"], spark.read.parquet(str(tmp_path / "scaler")))
+    assert values(scaled.where("sid <> 4"), "sid", "happy_scaled") == [(1, 0.0), (2, 1.0), (3, 2.0)]
+    assert {r.sid: r.calm_scaled for r in scaled.collect()} == {1: 0.0, 2: 0.0, 3: None, 4: 2.0}
+
+
+def test_family_lists(spark):
+    classes = spark.createDataFrame([("rock___punk",), ("rock___metal",), ("rock___punk",), ("rock_n___roll",), ("noise",), (None,)], "class string")
+    assert values(schema.family_lists(classes), "family", "subgenres", "n_subgenres") == [
+        ("noise", [], 0), ("rock", ["metal", "punk"], 2), ("rock_n", ["roll"], 1)]
+
+
+def test_compared_songs_unordered(spark):
+    ids, _, _, matrix, tags, vectors = _library(spark, 12)
+    pairs = similarity.pairs_of(spark, ids)
+    named = tags.select("sid", F.concat(F.lit("t"), "sid").alias("title"), F.lit("x").alias("artist")).where(F.col("sid") != ids[3])
+    ordered = similarity.compare_songs(pairs, vectors, named).collect()
+    free = similarity.compare_songs(pairs, vectors, named, ordered=False)
+    assert sorted(map(str, free.collect())) == sorted(map(str, ordered)) and len(ordered) == 66
+    assert [r.score for r in ordered] == sorted(r.score for r in ordered)
+    assert all((r.title1 is None) == (r.sid1 == ids[3]) for r in ordered)
+    assert "Sort" not in free._jdf.queryExecution().optimizedPlan().toString()
