@@ -12,13 +12,11 @@ from pyspark.sql import functions as F
 
 from cratelight.functions.arrays import segment_start
 from cratelight.functions.labels import sql_text
-from cratelight.session import bounded_local, bounded_rows
+from cratelight.session import written
 
 FEW_CLASSES = 32
 HOT_ROWS = 1_000_000  # rows of one song that one task may sort
-SLICES_PER_HOT = 4  # room for an uneven spread
-MANY_HOT_KEYS = 100_000
-MANY_SLICES = 1_000_000
+ROWS_PER_SLICE = 500_000  # rows of a range of large songs, on average
 
 
 def pool_scores(df: DataFrame, keys: list[str], score: str = "score") -> DataFrame:
@@ -96,48 +94,34 @@ def running_sum(
     return summed.select(*df.columns, name)
 
 
-def _as_number(df: DataFrame, column: str) -> Column:
-    """A numeric or timestamp column as a double that keeps its order."""
-    kind = dict(df.dtypes)[column]
-    if kind == "timestamp_ntz":  # wall-clock fields keep the order; a cast would follow daylight saving
-        number = F.unix_date(F.to_date(column)) * 86400.0 + F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
-    else:
-        number = F.unix_micros(column) if kind == "timestamp" else F.col(column)
-    return number.cast("double")
-
-
 def _null_safe(left: list[str], right: list[str]) -> list[Column]:
     return [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)]
 
 
 def positions(df: DataFrame, keys: list[str], order: list[str], name: str = "pos") -> DataFrame:
-    """0-based position of each row inside its ``keys``, along ``order`` (a total order that starts with a number or timestamp).
+    """0-based position of each row inside its ``keys``, along ``order`` (a total order).
 
-    Keys with more than ``HOT_ROWS`` rows are looked up first. Their range of the first order column is cut into
-    slices of equal width, numbered apart and put together with offsets; the others are one slice each.
+    Rows of keys with more than ``HOT_ROWS`` rows are ranged by keys and the whole order, so neither a long sequence nor one
+    with very many rows at one instant is a single task. The ranges are written; a row's place in its range, moved by the rows
+    of its key in the ranges before, is its position. The other keys are numbered by a window.
     """
-    number = _as_number(df, order[0])
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"), F.min(number).alias("_lo"), F.max(number).alias("_hi"))
-    hot = sizes.where(F.col("_n") > HOT_ROWS).toDF(*[f"_k{i}" for i in range(len(keys))], "_n", "_lo", "_hi")
-    rows = bounded_rows(hot, MANY_HOT_KEYS)
-    if rows == []:
-        return df.withColumn(name, (F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1).cast("long"))
-    hot_keys = hot.columns[: len(keys)]
-    known = hot if rows is None else F.broadcast(df.sparkSession.createDataFrame(rows, hot.schema))
-    width = F.nullif((F.col("_hi") - F.col("_lo")) / (SLICES_PER_HOT * F.ceil(F.col("_n") / HOT_ROWS)), F.lit(0.0))
-    slot = F.when(F.col(order[0]).isNull(), F.lit(-1)).otherwise(F.coalesce(F.floor((number - F.col("_lo")) / width), F.lit(0)))
-    sliced = df.join(known, _null_safe(keys, hot_keys), "left").withColumn("_slice", F.when(F.col("_n").isNull(), 0).otherwise(slot).cast("int"))
-    sliced = sliced.withColumn("_hot", F.col("_n").isNotNull()).select(*df.columns, "_slice", "_hot")
-
-    counts = sliced.where("_hot").groupBy(*keys, "_slice").agg(F.count("*").alias("_c"))
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_offset", F.sum("_c").over(before)).drop("_c").toDF(*hot_keys, "_s", "_offset")
-    few = bounded_local(offsets, MANY_SLICES)
-    inside = F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(*order)) - 1
-    placed = sliced.withColumn("_local", inside.cast("long")).join(
-        offsets if few is None else F.broadcast(few), _null_safe([*keys, "_slice"], [*hot_keys, "_s"]), "left"
-    )
-    return placed.select(*df.columns, (F.col("_local") + F.coalesce("_offset", F.lit(0))).alias(name))
+    numbered = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1
+    marks = [f"_k{i}" for i in range(len(keys))]
+    hot = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > HOT_ROWS).toDF(*marks, "_n")
+    total = hot.agg(F.sum("_n")).first()[0]
+    if total is None:
+        return df.withColumn(name, numbered.cast("long"))
+    hot = written(hot, "hot-keys")
+    same = _null_safe(keys, marks)
+    ranged = df.join(hot, same, "left_semi").repartitionByRange(-(-total // ROWS_PER_SLICE), *keys, *order).sortWithinPartitions(*keys, *order)
+    sliced = written(ranged.withColumns({"_slice": F.spark_partition_id(), "_row": F.monotonically_increasing_id()}), "ranges")
+
+    runs = sliced.groupBy(*keys, "_slice").agg(F.count("*").alias("_c"), F.min("_row").alias("_first")).toDF(*marks, "_s", "_c", "_first")
+    before = Window.partitionBy(*marks).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    # written, so that Spark knows its size when it plans the join
+    shifts = written(runs.select(*marks, "_s", (F.coalesce(F.sum("_c").over(before), F.lit(0)) - F.col("_first")).alias("_shift")), "shifts")
+    placed = sliced.join(shifts, _null_safe([*keys, "_slice"], [*marks, "_s"])).select(*df.columns, (F.col("_row") + F.col("_shift")).alias(name))
+    return placed.unionByName(df.join(hot, same, "left_anti").withColumn(name, numbered.cast("long")))
 
 
 def timeline(df: DataFrame, pos: str = "pos") -> DataFrame:

@@ -68,6 +68,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: read as often as wanted, computed once, and of a size Spark knows."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def bounded_rows(df: DataFrame, max_rows: int) -> list[Row] | None:
     """The rows of ``df`` when there are at most ``max_rows``, else None; reads ``max_rows + 1`` rows at most."""
     rows = df.limit(max_rows + 1).collect()

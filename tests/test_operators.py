@@ -73,11 +73,10 @@ def test_describe_has_sample_std(spark):
     assert (row["count"], row["mean"], row["std"], row["min"], row["p25"], row["p50"], row["p75"], row["max"]) == (4, 2.5, 1.291, 1.0, 1.75, 2.5, 3.25, 4.0)
 
 
-@pytest.mark.parametrize("many", [100_000, 0])
+@pytest.mark.parametrize("slice_rows", [500_000, 200])
 @pytest.mark.parametrize("hot_rows", [1_000_000, 100, 5, 1])
-def test_positions_with_a_hot_key(spark, monkeypatch, hot_rows, many):
-    for limit in ("MANY_HOT_KEYS", "MANY_SLICES"):
-        monkeypatch.setattr(pooling, limit, many)
+def test_positions_with_a_hot_key(spark, monkeypatch, hot_rows, slice_rows):
+    monkeypatch.setattr(pooling, "ROWS_PER_SLICE", slice_rows)
     monkeypatch.setattr(pooling, "HOT_ROWS", hot_rows)
     rows = [("hot", i // 3, i) for i in range(3000)] + [("cold", i, i) for i in range(7)] + [("one", None, 1), (None, 3, 1), (None, 2, 2)]
     random.Random(1).shuffle(rows)
@@ -92,6 +91,25 @@ def test_positions_of_one_instant(spark, monkeypatch):
     assert values(pooling.positions(df, ["sid"], ["t", "id"]), "pos", "id") == [(i, i) for i in range(9)]
 
 
+def test_positions_split_one_instant(spark, monkeypatch):
+    """A song whose rows all share one instant is cut into ranges of bounded size; other songs are numbered beside it."""
+    monkeypatch.setattr(pooling, "HOT_ROWS", 100)
+    monkeypatch.setattr(pooling, "ROWS_PER_SLICE", 300)
+    written, ranges = pooling.written, []
+
+    def spy(df, name):
+        table = written(df, name)
+        if name == "ranges":
+            ranges.extend(r["count"] for r in table.groupBy("_slice").count().collect())
+        return table
+
+    monkeypatch.setattr(pooling, "written", spy)
+    df = spark.range(3010).selectExpr("IF(id < 3000, 'a', 'b') AS sid", "5 AS t", "3010 - id AS id").repartition(4)
+    got = pooling.positions(df, ["sid"], ["t", "id"])
+    assert got.where("sid = 'a' AND pos <> id - 11 OR sid = 'b' AND pos <> id - 1").count() == 0 and got.count() == 3010
+    assert len(ranges) == 10 and max(ranges) < 900 and sum(ranges) == 3000
+
+
 def test_patches(spark):
     rows = [("long", p, float(p)) for p in range(11)] + [("exact", p, 1.0) for p in range(4)] + [("short", p, 2.0) for p in range(3)]
     cut = pooling.patches(spark.createDataFrame(rows, "sid string, pos bigint, x double"), ["sid"], "pos", "x", 4)
