@@ -313,12 +313,14 @@ def pair_distances(pairs: DataFrame, vectors: DataFrame, metric: str = "cosine")
 def compare_songs(pairs: DataFrame, vectors: DataFrame, tags: DataFrame, metric: str = "cosine", ordered: bool = True) -> DataFrame:
     """Title and artist of both songs of each pair with their distance, closest first unless ``ordered`` is false.
 
-    Vector and tags are put side by side once, so each side of the pairs is one join, which adaptive execution can split
-    on a song that very many pairs name. Ordering sorts all pairs; a job that only stores them needs none.
+    Vector and tags of one side are joined one after the other, so the pairs are shuffled once per side. Ordering sorts all
+    pairs; a job that only stores them needs none.
     """
-    songs = vectors.select("sid", "embedding").join(tags.select("sid", "title", "artist"), "sid", "left")
     for i in (1, 2):
-        pairs = pairs.join(songs.toDF(f"sid{i}", f"_v{i}", f"title{i}", f"artist{i}"), f"sid{i}")
+        sid = F.col("sid").alias(f"sid{i}")
+        pairs = pairs.join(vectors.select(sid, F.col("embedding").alias(f"_v{i}")), f"sid{i}").join(
+            tags.select(sid, F.col("title").alias(f"title{i}"), F.col("artist").alias(f"artist{i}")), f"sid{i}", "left"
+        )
     scored = pairs.select("sid1", "title1", "artist1", "sid2", "title2", "artist2", _score(metric).alias("score"))
     return scored.orderBy("score", "sid1", "sid2") if ordered else scored
 
