@@ -1,8 +1,8 @@
 """Exact nearest songs: one pass for a few references, block by block for many.
 
 No pair of songs is ever shuffled. Few references travel to the rows: each task keeps its own best n and only those
-are merged. Many references meet the songs in blocks of bounded bytes; each block pair is one matrix product that
-is reduced to the best n before it leaves the task, so a hot group only means more block pairs.
+are merged. Many references go to cells around pivots (``pivots``). Songs of given cells meet in blocks of bounded bytes; each block pair
+is one matrix product that is reduced to the best n before it leaves the task, so a hot group only means more block pairs.
 """
 
 from __future__ import annotations
@@ -273,27 +273,21 @@ def nearest(vectors: DataFrame, refs: DataFrame, n: int = 5, metric: str = "cosi
     """(seed, sid, distance, rank): the ``n`` nearest songs of each reference in ``refs`` (sid, embedding).
 
     A reference is never its own neighbour. Up to ``FEW_REFERENCES`` references are sent to the rows; more go
-    through blocks. Either way a matrix product chooses candidates, with room for its error, and their distances are
+    through cells (``pivots``). Either way a matrix product chooses candidates, with room for its error, and their distances are
     then computed directly, so both agree and copies tie at any length. Vectors must have one width and no NULL element.
     """
     vectors = vectors.select("sid", "embedding").where(F.size("embedding") > 0)
     refs = refs.select("sid", "embedding").where(F.size("embedding") > 0)
     few = bounded_rows(refs, FEW_REFERENCES)
     if few is None:
+        from cratelight.operators.pivots import nearest_of_many  # builds on this module
+
         return nearest_of_many(vectors, refs, n, metric)
     schema = f"seed {_id_type(refs)}, sid {_id_type(vectors)}, distance double"
     found = _few(vectors, few, n, metric, schema) if few else vectors.sparkSession.createDataFrame([], schema)
     return keep_nearest(found, n)
 
 
-def nearest_of_many(vectors: DataFrame, refs: DataFrame, n: int = 5, metric: str = "cosine") -> DataFrame:
-    """``nearest`` by blocks, for any number of references; the work is the product of both sides."""
-    cell = F.lit(0).alias("_cell")
-    sides = [df.select("sid", "embedding", cell).where(F.size("embedding") > 0) for df in (refs, vectors)]
-    seeds = sides[0].withColumnRenamed("sid", "seed").withColumn("excluded", F.array("seed"))
-    return keep_nearest(block_nearest(seeds, sides[1], n, metric, ["_cell"]), n)
-
-
 def with_tags(neighbours: DataFrame, tags: DataFrame, fields: tuple[str, ...] = ("title", "artist", "bpm", "initialkey")) -> DataFrame:
     """Adds the tags of every neighbour; neighbours without tags are left out."""
     return neighbours.join(tags.select("sid", *fields), "sid").select("seed", "rank", "sid", *fields, "distance")

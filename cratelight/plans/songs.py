@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from cratelight.functions.vectors import METRICS
-from cratelight.operators import ann, projection, scoring, setlist, similarity, stats
+from cratelight.operators import ann, pivots, projection, scoring, setlist, similarity, stats
 from cratelight.operators.pooling import vector_means
 from cratelight.plans import views
 from cratelight.plans.registry import query
@@ -63,7 +63,7 @@ def compare_songs_euclid(spark, d):
     SELECT seed, sid, distance, rank::INTEGER AS rank FROM (SELECT *, row_number() OVER (PARTITION BY seed ORDER BY distance, sid) AS rank FROM n) WHERE rank <= 3""")
 def nearest_of_every_song(spark, d):
     vectors = views.vectors(spark, d)
-    return similarity.nearest_of_many(vectors, vectors, 3, "euclidean")
+    return pivots.nearest_of_many(vectors, vectors, 3, "euclidean")
 
 
 _KEY_STEPS = """(CASE WHEN abs(a.kn - b.kn) = 11 THEN 1 ELSE abs(a.kn - b.kn) END + CASE WHEN a.kl <> b.kl THEN 1 ELSE 0 END)"""
@@ -143,7 +143,7 @@ def knn_euclid_scaled(spark, d):
     # long vectors, some of them twice: a copy is at distance 0
     scaled = views.vectors(spark, d).withColumn("embedding", F.transform("embedding", lambda x: x.cast("double") * 1000))
     copies = scaled.where("sid % 10 = 0").withColumn("sid", F.col("sid") + 1000000)
-    return similarity.nearest_of_many(scaled.unionByName(copies), copies, 1, "euclidean")
+    return pivots.nearest_of_many(scaled.unionByName(copies), copies, 1, "euclidean")
 
 
 @query("I11 I12")

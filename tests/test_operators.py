@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cratelight.operators import align, pooling, quantiles, ranking, repair, scenario, schema, scoring, setlist, similarity, stats
+from cratelight.operators import align, pivots, pooling, quantiles, ranking, repair, scenario, schema, scoring, setlist, similarity, stats
 from cratelight.operators.scenario import Rule
 from cratelight.session import bounded_local
 
@@ -341,7 +341,7 @@ def test_copies_tie_at_any_length(spark, length, monkeypatch):
     rows = [(i + 100 * c, [float(x) for x in row]) for c in (0, 1) for i, row in enumerate(matrix)]
     vectors = spark.createDataFrame(rows, "sid bigint, embedding array<double>")
     few = {(r.seed, r.sid, r.distance) for r in similarity.nearest(vectors, vectors, 1, "euclidean").collect()}
-    many = {(r.seed, r.sid, r.distance) for r in similarity.nearest_of_many(vectors, vectors, 1, "euclidean").collect()}
+    many = {(r.seed, r.sid, r.distance) for r in pivots.nearest_of_many(vectors, vectors, 1, "euclidean").collect()}
     assert few == many == {(s, (s + 100) % 200, 0.0) for s, _ in rows}
 
 
@@ -349,7 +349,7 @@ def test_uneven_vectors_are_refused(spark):
     for rows in ([(1, [1.0, 2.0]), (2, [1.0, 2.0, 3.0, 4.0])], [(1, [1.0, None]), (2, [1.0, 2.0])]):
         vectors = spark.createDataFrame(rows, "sid bigint, embedding array<double>").coalesce(1)
         with pytest.raises(Exception, match="vectors"):
-            similarity.nearest_of_many(vectors, vectors, 1).collect()
+            pivots.nearest_of_many(vectors, vectors, 1).collect()
 
 
 def test_band_edges_and_window_0(spark):
