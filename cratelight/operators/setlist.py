@@ -2,47 +2,65 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cratelight.functions.harmony import compatible_keys
 from cratelight.operators.align import only_known
 from cratelight.operators.pooling import running_sum
-from cratelight.operators.similarity import Blocks, block_nearest, fits_in_one, keep_nearest
-from cratelight.session import cut_lineage
+from cratelight.operators.similarity import Blocks, block_nearest, fits_in_one, keep_nearest, meeting
+from cratelight.session import Bucketed, cut_lineage
+
+
+CELL_SONGS = 1024
+
+
+def _bucket(bpm: Column, width: float) -> Column:
+    """Tempo bucket of a width, or 1 for a band of one tempo."""
+    return F.floor(bpm / F.lit(float(width) or 1.0)).cast("long")
 
 
-def _bucket(bpm: Column, window: float) -> Column:
-    """Tempo bucket, as wide as the band, or 1 for a band of one tempo."""
-    return F.floor(bpm / F.lit(float(window) or 1.0)).cast("long")
+def cell_width(songs: DataFrame, window: float) -> float:
+    """Width of a tempo bucket: that of the band, or more while a key has fewer than ``CELL_SONGS`` songs a bucket.
+
+    Any width finds the same songs; too many small cells only cost calls.
+    """
+    facts = songs.agg(F.count("*").alias("n"), F.approx_count_distinct("initialkey").alias("keys"), F.min("bpm").alias("low"), F.max("bpm").alias("high")).first()
+    narrow = float(window) or 1.0
+    if not facts["n"] or not math.isfinite(facts["high"] - facts["low"]):
+        return narrow
+    buckets = max(1, facts["n"] // (max(1, facts["keys"]) * CELL_SONGS))
+    return max(narrow, (facts["high"] - facts["low"]) / buckets)
+
+
+def _keyed(tags: DataFrame) -> DataFrame:
+    return tags.select("sid", F.col("bpm").cast("double").alias("bpm"), "initialkey").where("bpm IS NOT NULL AND initialkey IS NOT NULL")
 
 
 def playable(tags: DataFrame, vectors: DataFrame) -> DataFrame:
     """Songs that can be recommended: with tempo, key and vector."""
-    return (
-        tags.select("sid", F.col("bpm").cast("double").alias("bpm"), "initialkey")
-        .where("bpm IS NOT NULL AND initialkey IS NOT NULL")
-        .join(vectors.select("sid", "embedding").where(F.size("embedding") > 0), "sid")
-    )
+    return _keyed(tags).join(vectors.select("sid", "embedding").where(F.size("embedding") > 0), "sid")
 
 
 CELL = ["cell_key", "cell_bpm"]
 
 
-def _cells_of_seeds(seeds: DataFrame, bpm_window: float, key_thresh: int) -> DataFrame:
+def _cells_of_seeds(seeds: DataFrame, bpm_window: float, key_thresh: int, width: float) -> DataFrame:
     # from the same bounds that the band is checked with: rounding is monotonic, so no bucket of the band is left out
-    first, last = _bucket(F.col("bpm") - bpm_window, bpm_window), _bucket(F.col("bpm") + bpm_window, bpm_window)
+    first, last = _bucket(F.col("bpm") - bpm_window, width), _bucket(F.col("bpm") + bpm_window, width)
     keys = seeds.withColumn("cell_key", F.explode(compatible_keys(F.col("initialkey"), key_thresh)))
     return keys.withColumn("cell_bpm", F.explode(F.sequence(first, last)))
 
 
-def _cells_of_songs(songs: DataFrame, bpm_window: float) -> DataFrame:
-    return songs.withColumn("cell_key", F.col("initialkey")).withColumn("cell_bpm", _bucket(F.col("bpm"), bpm_window))
+def _cells_of_songs(songs: DataFrame, width: float) -> DataFrame:
+    return songs.withColumn("cell_key", F.col("initialkey")).withColumn("cell_bpm", _bucket(F.col("bpm"), width))
 
 
 def best_next(
     seeds: DataFrame, songs: DataFrame, bpm_window: float = 5, key_thresh: int = 2, metric: str = "cosine",
-    seed_blocks: Blocks | None = None, song_blocks: Blocks | None = None,
+    width: float | None = None,
 ) -> DataFrame:
     """(seed, sid, distance): the nearest song within tempo and key limits of each seed.
 
@@ -50,8 +68,9 @@ def best_next(
     an equality on tempo buckets and the key rule an equality on compatible keys, so songs only meet inside one
     (key, bucket) cell; seeds with nothing to play are absent.
     """
-    cells, stock = _cells_of_seeds(seeds, bpm_window, key_thresh), _cells_of_songs(songs, bpm_window)
-    found = block_nearest(cells, stock, 1, metric, CELL, bpm_window, seed_blocks, song_blocks)
+    width = width or bpm_window
+    cells, stock = _cells_of_seeds(seeds, bpm_window, key_thresh, width), _cells_of_songs(songs, width)
+    found = block_nearest(cells, stock, 1, metric, CELL, bpm_window)
     return keep_nearest(found, 1).drop("rank")
 
 
@@ -66,7 +85,55 @@ def next_song(
         chosen = songs.join(seeds, "sid") if "excludes" in seeds.columns else only_known(songs, seeds)
     own = F.array("sid")
     excluded = F.concat(own, F.coalesce("excludes", F.array().cast(f"array<{dict(songs.dtypes)['sid']}>"))) if "excludes" in chosen.columns else own
-    return best_next(chosen.withColumn("seed", F.col("sid")).withColumn("excluded", excluded), songs, bpm_window, key_thresh, metric)
+    chosen = chosen.withColumn("seed", F.col("sid")).withColumn("excluded", excluded)
+    return best_next(chosen, songs, bpm_window, key_thresh, metric, cell_width(_keyed(tags), bpm_window))
+
+
+class Stock:
+    """The songs of all steps, written twice: clustered by cell and block for the comparison, and by ``sid`` for their vectors.
+
+    Neither is shuffled afterwards, except blocks of cells with more seeds than one block holds: seeds of the first slice of a cell
+    go to the stored block, and only those of the other slices get copies of it.
+    """
+
+    def __init__(self, songs: DataFrame, bpm_window: float, key_thresh: int, metric: str):
+        self.window, self.thresh, self.metric = bpm_window, key_thresh, metric
+        self.by_sid = Bucketed(songs.select("sid", "bpm", "initialkey", "embedding"), "stock_songs", ["sid"])
+        songs = self.by_sid.table
+        self.width = cell_width(songs, bpm_window)
+        cells = _cells_of_songs(songs, self.width)
+        self.blocks = Blocks(cells, CELL)
+        numbered = self.blocks.add(cells, "_n_cb").withColumn("_cb", F.pmod(F.xxhash64("sid"), F.col("_n_cb")).cast("int"))
+        self.by_cell = Bucketed(numbered.select(*CELL, "_cb", "sid", "bpm", "embedding"), "stock_cells", [*CELL, "_cb"])
+
+    def __enter__(self) -> Stock:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for stored in (self.by_cell, self.by_sid):
+            stored.__exit__()
+
+    def located(self, walks: DataFrame) -> DataFrame:
+        """(seed, sid, excluded) with tempo, key and vector of the song each walk is at."""
+        return walks.join(self.by_sid.table, "sid")
+
+    def step(self, walks: DataFrame, few_seeds: bool = False) -> DataFrame:
+        """(seed, sid): the best next song of every walk (seed, excluded, bpm, initialkey, embedding)."""
+        cells = _cells_of_seeds(walks, self.window, self.thresh, self.width)
+        seed_blocks = Blocks(cells, CELL, fits=few_seeds)
+        left = self.blocks.add(seed_blocks.add(cells, "_n_sb"), "_n_cb").select(
+            *CELL, F.pmod(F.xxhash64("seed"), F.col("_n_sb")).cast("int").alias("_sb"),
+            F.explode(F.sequence(F.lit(0), F.col("_n_cb") - 1)).alias("_cb"), "seed", "embedding", "excluded", "bpm",
+        )
+        stock = self.by_cell.table
+        meet, schema = meeting(1, self.metric, self.window), f"seed {dict(left.dtypes)['seed']}, sid {dict(stock.dtypes)['sid']}, distance double"
+        group = [*CELL, "_cb"]
+        found = left.where("_sb = 0").groupBy(*group).cogroup(stock.groupBy(*group)).applyInArrow(meet, schema)
+        if seed_blocks.counts is not None:
+            crowded = seed_blocks.counts.where("n > 1").select(*CELL, F.explode(F.sequence(F.lit(1), F.col("n") - 1)).alias("_sb"))
+            copies, group = stock.join(crowded, CELL), [*group, "_sb"]
+            found = found.unionByName(left.where("_sb > 0").groupBy(*group).cogroup(copies.groupBy(*group)).applyInArrow(meet, schema))
+        return keep_nearest(found, 1).select("seed", "sid")
 
 
 def setlists(
@@ -76,26 +143,28 @@ def setlists(
     """(seed, order, sid): from each seed, ``n_songs`` times the best next song, never repeating.
 
     All seeds advance together, one job per step; the loop only counts steps. A walk with nothing left to play ends
-    early. Each step is written to the shared checkpoint folder, so a lost executor repeats one step at most.
+    early. Songs are written once (``Stock``); a step carries ids alone and is written to the shared checkpoint folder, so a lost
+    executor repeats one step at most.
     """
-    songs = cut_lineage(playable(tags, vectors))
-    start = songs if seeds is None else only_known(songs, seeds)
-    walks = start.select(F.col("sid").alias("seed"), F.array("sid").alias("excluded"), "bpm", "initialkey", "embedding")
-    song_blocks = Blocks(_cells_of_songs(songs, bpm_window), CELL)
-    few_seeds = fits_in_one(walks)
-    ended = []
-    for _ in range(n_songs):
-        # seeds move to other cells, so unless they fit in one block they are counted again
-        seed_blocks = Blocks(_cells_of_seeds(walks, bpm_window, key_thresh), CELL, fits=few_seeds)
-        step = best_next(walks, songs, bpm_window, key_thresh, metric, seed_blocks, song_blocks).select("seed", "sid")
-        moved = walks.select("seed", "excluded").join(step, "seed", "left").join(songs, "sid", "left")
-        moved = cut_lineage(
-            moved.select("seed", F.when(F.col("sid").isNull(), F.col("excluded")).otherwise(F.array_append("excluded", F.col("sid"))).alias("excluded"),
-                         F.col("sid").isNotNull().alias("_alive"), "bpm", "initialkey", "embedding")
-        )
-        ended.append(moved.where("NOT _alive").select("seed", "excluded"))
-        walks = moved.where("_alive").drop("_alive")
-    paths = walks.select("seed", "excluded")
+    songs = playable(tags, vectors)
+    with Stock(songs, bpm_window, key_thresh, metric) as stock:
+        everyone = stock.by_sid.table
+        start = everyone if seeds is None else only_known(everyone, seeds)
+        walks = start.select(F.col("sid").alias("seed"), "sid", F.array("sid").alias("excluded"))
+        few_seeds = fits_in_one(start)
+        ended = []
+        for _ in range(n_songs):
+            # seeds move to other cells, so unless they fit in one block they are counted again
+            step = stock.step(stock.located(walks), few_seeds).withColumnRenamed("sid", "_next")
+            moved = cut_lineage(walks.join(step, "seed", "left").select(
+                "seed", F.col("_next").alias("sid"),
+                F.when(F.col("_next").isNull(), F.col("excluded")).otherwise(F.array_append("excluded", F.col("_next"))).alias("excluded"),
+            ))
+            ended.append(moved.where("sid IS NULL").select("seed", "excluded"))
+            walks = moved.where("sid IS NOT NULL")
+        paths = walks.select("seed", "excluded")
+        if n_songs < 1:
+            paths = cut_lineage(paths)
     for part in ended:
         paths = paths.unionByName(part)
     return paths.select("seed", F.posexplode("excluded").alias("_pos", "sid")).select(
@@ -109,9 +178,7 @@ def candidate_pool(tags: DataFrame, bpm_window: float = 5, key_thresh: int = 2)
     Songs are first counted per (key, bpm). Each (key, bpm) then asks for two running counts per compatible key, one
     at either end of its band, and the pool is the difference.
     """
-    songs = tags.select("sid", F.col("bpm").cast("double").alias("bpm"), "initialkey").where(
-        "bpm IS NOT NULL AND initialkey IS NOT NULL"
-    )
+    songs = _keyed(tags)
     counts = songs.groupBy("initialkey", "bpm").agg(F.count("*").alias("c"))
     asked = counts.select("initialkey", "bpm", F.explode(compatible_keys(F.col("initialkey"), key_thresh)).alias("key"))
     # at one tempo: band starts come before the songs counted there, band ends after them

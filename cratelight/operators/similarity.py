@@ -195,36 +195,9 @@ class Blocks:
         return df.join(self.counts.withColumnRenamed("n", name), self.cell)
 
 
-def block_nearest(
-    seeds: DataFrame, songs: DataFrame, n: int, metric: str, cell: list[str], bpm_window: float | None = None,
-    seed_blocks: Blocks | None = None, song_blocks: Blocks | None = None,
-) -> DataFrame:
-    """(seed, sid, distance): the ``n`` nearest songs of every seed among songs of the same cell.
-
-    seeds: seed, excluded array of sids, embedding, the cell columns (a seed may stand in several cells) and bpm if
-    ``bpm_window`` is given. songs: sid, embedding, the cell columns (one cell each) and bpm.
-    """
-    seed_blocks, song_blocks = seed_blocks or Blocks(seeds, cell), song_blocks or Blocks(songs, cell)
-    tempo = ["bpm"] if bpm_window is not None else []
-    id_type = _id_type(songs)
-
-    def both(df: DataFrame) -> DataFrame:
-        return song_blocks.add(seed_blocks.add(df, "_n_sb"), "_n_cb")
-
-    left = both(seeds).select(
-        *cell,
-        F.pmod(F.xxhash64("seed"), F.col("_n_sb")).cast("int").alias("_sb"),
-        F.explode(F.sequence(F.lit(0), F.col("_n_cb") - 1)).alias("_cb"),
-        "seed", "embedding", "excluded", *tempo,
-    )
-    # fresh column ids, since seeds and songs may come from one frame
-    right = both(songs).select(
-        *[F.col(c).alias(c) for c in cell],
-        F.explode(F.sequence(F.lit(0), F.col("_n_sb") - 1)).alias("_sb"),
-        F.pmod(F.xxhash64("sid"), F.col("_n_cb")).cast("int").alias("_cb"),
-        *[F.col(c).alias(c) for c in ("sid", "embedding", *tempo)],
-    )
-    group = [*cell, "_sb", "_cb"]
+def meeting(n: int, metric: str, bpm_window: float | None = None):
+    """The comparison of a block of seeds with a block of songs, for ``applyInArrow``."""
+    tempo = bpm_window is not None
 
     def meet(seed_rows: pa.Table, song_rows: pa.Table) -> pa.Table:
         best = _Running(n, metric)
@@ -255,8 +228,41 @@ def block_nearest(
                     best.add(dist, chunk, matrix, chosen, at)
         return best.table(seed_ids, song_type)
 
+    return meet
+
+
+def block_nearest(
+    seeds: DataFrame, songs: DataFrame, n: int, metric: str, cell: list[str], bpm_window: float | None = None,
+    seed_blocks: Blocks | None = None, song_blocks: Blocks | None = None,
+) -> DataFrame:
+    """(seed, sid, distance): the ``n`` nearest songs of every seed among songs of the same cell.
+
+    seeds: seed, excluded array of sids, embedding, the cell columns (a seed may stand in several cells) and bpm if
+    ``bpm_window`` is given. songs: sid, embedding, the cell columns (one cell each) and bpm.
+    """
+    seed_blocks, song_blocks = seed_blocks or Blocks(seeds, cell), song_blocks or Blocks(songs, cell)
+    tempo = ["bpm"] if bpm_window is not None else []
+    id_type = _id_type(songs)
+
+    def both(df: DataFrame) -> DataFrame:
+        return song_blocks.add(seed_blocks.add(df, "_n_sb"), "_n_cb")
+
+    left = both(seeds).select(
+        *cell,
+        F.pmod(F.xxhash64("seed"), F.col("_n_sb")).cast("int").alias("_sb"),
+        F.explode(F.sequence(F.lit(0), F.col("_n_cb") - 1)).alias("_cb"),
+        "seed", "embedding", "excluded", *tempo,
+    )
+    # fresh column ids, since seeds and songs may come from one frame
+    right = both(songs).select(
+        *[F.col(c).alias(c) for c in cell],
+        F.explode(F.sequence(F.lit(0), F.col("_n_sb") - 1)).alias("_sb"),
+        F.pmod(F.xxhash64("sid"), F.col("_n_cb")).cast("int").alias("_cb"),
+        *[F.col(c).alias(c) for c in ("sid", "embedding", *tempo)],
+    )
+    group = [*cell, "_sb", "_cb"]
     return left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(
-        meet, f"seed {_id_type(seeds, 'seed')}, sid {id_type}, distance double"
+        meeting(n, metric, bpm_window), f"seed {_id_type(seeds, 'seed')}, sid {id_type}, distance double"
     )
 
 

@@ -75,6 +75,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Bucketed:
+    """``df`` written once to the shared folder, clustered by ``columns``: joins and groupings on just these need no shuffle of it.
+
+    Used as a context; the catalog's entry goes at its end, so what is read from ``table`` has to be stored before.
+    """
+
+    def __init__(self, df: DataFrame, name: str, columns: list[str]):
+        self.spark, self.name = df.sparkSession, f"{name}_{uuid.uuid4().hex}"
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        writer = df.repartition(buckets, *columns).write.option("path", scratch_path(self.spark, name))
+        writer.bucketBy(buckets, *columns).sortBy(*columns).format("parquet").saveAsTable(self.name)
+
+    @property
+    def table(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def __enter__(self) -> "Bucketed":
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+
 def bounded_rows(df: DataFrame, max_rows: int) -> list[Row] | None:
     """The rows of ``df`` when there are at most ``max_rows``, else None; reads ``max_rows + 1`` rows at most."""
     rows = df.limit(max_rows + 1).collect()

@@ -539,3 +539,30 @@ def test_compared_songs_unordered(spark):
     assert [r.score for r in ordered] == sorted(r.score for r in ordered)
     assert all((r.title1 is None) == (r.sid1 == ids[3]) for r in ordered)
     assert "Sort" not in free._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_steps_do_not_shuffle_the_songs(spark, folder):
+    """Of large stocks: in the plan of a step, the only Exchanges are of walks and of results."""
+    from cratelight.plans import views
+
+    songs = setlist.playable(views.tags(spark, folder), views.vectors(spark, folder))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with setlist.Stock(songs, 5, 2, "cosine") as stock:
+            walks = stock.by_sid.table.select(F.col("sid").alias("seed"), "sid", F.array("sid").alias("excluded")).checkpoint()
+            assert walks.columns == ["seed", "sid", "excluded"]  # what a step carries
+            plan = stock.step(stock.located(walks), True)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = [(len(line) - len(line.lstrip(" :+-")), line) for line in plan.splitlines()]
+    for number, (depth, line) in enumerate(lines):
+        if "FileScan" not in line:
+            continue
+        assert "Bucketed: true" in line
+        for above, text in reversed(lines[:number]):
+            if above < depth:
+                depth = above
+                if "SortMergeJoin" in text or "FlatMapCoGroups" in text:
+                    break
+                assert "Exchange" not in text
