@@ -6,12 +6,15 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cratelight.functions.arrays import matrix_column, mean_of
 from cratelight.functions.vectors import dot
-from cratelight.operators.align import only_known
+from cratelight.operators.align import only_known, only_new_groups
+from cratelight.session import scratch_path, written
+from cratelight.sources.tables import read_or_empty
 
 Predict = Callable[[np.ndarray], np.ndarray]
 
@@ -100,6 +103,51 @@ def score_segments(
     return df.select(key, matrix).mapInPandas(run, schema)
 
 
+_LOADED: dict[str, Predict] = {}  # models of this worker process, by file
+
+
+def _loaded(load_model: Callable[[str], Predict], file: str) -> Predict:
+    """A shipped model; at module level, so that workers share the table of their process."""
+    if file not in _LOADED:
+        _LOADED[file] = load_model(SparkFiles.get(file))
+    return _LOADED[file]
+
+
+def store_file(spark: SparkSession, text: str, name: str) -> str:
+    """Writes a text as one file in the shared folder and returns its path, as ``score_job`` takes it."""
+    folder = scratch_path(spark, name)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(folder)
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("path").first()["path"]
+
+
+def score_job(
+    songs: DataFrame, model_file: str, classes_file: str, load_model: Callable[[str], Predict], root: str, name: str, job: str,
+    key: str = "sid", matrix: str = "segments",
+) -> DataFrame:
+    """Scores the segments of songs not scored yet and appends them to ``<root>/<name>_activations``; returns that table.
+
+    Model and class list (one class a line) are files; they are shipped to the workers, and ``load_model`` gets the model's local path
+    once per worker process. Every job owns the folder ``job=<job>`` and writes it with overwrite, so a job that is repeated replaces
+    itself, and what all other jobs wrote is left out. Songs the model rejects go to ``<root>/<name>_rejects`` and are tried
+    again by the next job. Of rows with one id the smallest matrix counts; rows without id are left out.
+    """
+    spark = songs.sparkSession
+    classes = [line for line in spark.read.text(classes_file, wholetext=True).first()["value"].split("\n") if line]
+    spark.sparkContext.addFile(model_file)
+    file = model_file.rsplit("/", 1)[-1]
+
+    id_type = dict(songs.dtypes)[key]
+    columns = ", ".join([f"{key} {id_type}", *[f"`{c}` array<double>" for c in classes]])
+    table = f"{root}/{name}_activations"
+    known = read_or_empty(spark, table, f"{columns}, job string").where(F.col("job") != job)
+    single = songs.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(matrix).alias(matrix), F.count("*").alias("_copies"))
+    scored = written(score_segments(only_new_groups(single, known, "_copies", key), lambda: _loaded(load_model, file), classes, key, matrix), "scored")
+    good, bad = split_errors(scored)
+    bad.select(key, "error").write.mode("overwrite").parquet(f"{root}/{name}_rejects/job={job}")
+    good.write.mode("overwrite").parquet(f"{table}/job={job}")
+    return spark.read.schema(f"{columns}, job string").parquet(table)
+
+
 def split_errors(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows, rejected rows) of a scored frame."""
     return scored.where("error IS NULL").drop("error"), scored.where("error IS NOT NULL")

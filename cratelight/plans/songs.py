@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from pathlib import Path
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -226,6 +229,31 @@ def score_segments(spark, d):
     return rows.union(bad.select("sid", F.lit(0), none, none, F.lit(True)))
 
 
+def _linear_model(file: str):
+    """A model file of one weight row per class."""
+    weights = np.array(json.loads(Path(file).read_text()))
+    return lambda segments: 1 / (1 + np.exp(-(segments.astype(np.float64) @ weights.T)))
+
+
+@query("I9 I10 K2 H21 A11 A12 C10", "vectors", """WITH c AS (SELECT label, pos, avg(x) AS w FROM (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM vectors) GROUP BY ALL),
+    w AS (SELECT label, list(w * 4 ORDER BY pos)[1:16] AS w FROM c WHERE label < 2 GROUP BY label),
+    m AS (SELECT sid, unnest(range(4)) AS seg, embedding FROM vectors),
+    s AS (SELECT sid, seg, label, round(1 / (1 + exp(-list_dot_product(embedding[seg * 16 + 1 : seg * 16 + 16], w.w))), 5) AS score FROM m, w)
+    SELECT CASE WHEN sid % 2 = 0 THEN 'first' ELSE 'second' END AS job, sid, seg::INTEGER AS seg, max(score) FILTER (label = 0) AS class_0, max(score) FILTER (label = 1) AS class_1 FROM s GROUP BY ALL""")
+def score_library(spark, d):
+    # half of the songs, then all of them: the second job scores only the others; a repeated job changes nothing
+    vectors, root = views.vectors(spark, d), scratch_path(spark, "activations")
+    means = vector_means(vectors.where("label < 2"), ["label"], "embedding").orderBy("label").collect()  # two rows of weights
+    weights = scoring.store_file(spark, json.dumps([[4 * x for x in row["mean_vector"][:16]] for row in means]), "model")
+    classes = scoring.store_file(spark, "\n".join(f"class_{row['label']}" for row in means), "classes")
+    parts = F.array(*[F.slice("embedding", 1 + 16 * k, 16) for k in range(4)])
+    songs = vectors.select("sid", parts.alias("segments"))
+    for job, batch in (("first", songs.where("sid % 2 = 0")), ("second", songs), ("first", songs.where("sid % 2 = 0"))):
+        stored = scoring.score_job(batch, weights, classes, _linear_model, root, "heads", job)
+    rows = stored.select("job", "sid", F.posexplode(F.arrays_zip("class_0", "class_1")).alias("seg", "s"))
+    return rows.select("job", "sid", "seg", F.round("s.class_0", 5).alias("class_0"), F.round("s.class_1", 5).alias("class_1"))
+
+
 @query("I14 D16 C6", "vectors genres tags", "SELECT v.sid, generate_subscripts(v.embedding, 1)::INTEGER - 1 AS pos, round(unnest(v.embedding), 6) AS x, CASE greatest("
        + ", ".join(GENRES) + ") " + " ".join(f"WHEN {g} THEN '{g}'" for g in GENRES) + " END AS dominant, title, artist FROM vectors v JOIN genres USING (sid) JOIN tags USING (sid)")
 def labelled_export(spark, d):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cratelight.functions.tags import collapse_tag
@@ -12,10 +12,9 @@ from cratelight.operators.align import only_new_groups
 from cratelight.operators.schema import conform, last_part_names, split_by_prefix, split_lists
 from cratelight.sources.audio_files import AUDIO_GLOB, one_per_content, plain_path
 from cratelight.sources.documents import CORRUPT, feature_rows
+from cratelight.session import bounded_local
 from cratelight.sources.tables import read_or_empty
 
-FILES_SCHEMA = "sid string, file_path string"
-
 
 def new_content(batch: DataFrame, known: DataFrame) -> DataFrame:
     """(sid, file_path) rows of a batch that are not known yet, one per content."""
@@ -54,17 +53,57 @@ def known_before(spark: SparkSession, table: str, schema: str, stream: str, numb
     return rows.where((F.col("stream") != stream) | (F.col("batch") != number))
 
 
+PARTS = 64
+MOST_IDS = 100_000
+
+
+def part_of(sid: Column) -> Column:
+    """The part of a table that holds a content id."""
+    return F.pmod(F.xxhash64(sid), F.lit(PARTS)).cast("int")
+
+
+def store_batch(rows: DataFrame, folder: str) -> None:
+    """Writes the keys of a batch, one file for each part they hit, replacing what an earlier try of the batch wrote."""
+    placed = rows.withColumn("part", part_of(F.col("sid"))).repartition("part")
+    placed.write.mode("overwrite").partitionBy("part").parquet(folder)
+
+
+def history_hits(history: DataFrame, ids: DataFrame, parts: list[int]) -> DataFrame:
+    """The ids of a small batch that the history holds: only their parts are read, and the ids go to the rows."""
+    return history.where(F.col("part").isin(parts)).join(F.broadcast(ids), "sid", "left_semi").select("sid")
+
+
+def known_of(ids: DataFrame, table: str, stream: str, number: int) -> DataFrame:
+    """Those ids of a batch that another batch has written to ``table``.
+
+    Up to ``MOST_IDS`` ids are sent to the history, which is neither shuffled nor read beyond the parts they hit, and the hits, no more
+    than the ids, come back. A batch of more ids gets the whole history, for a join by Spark's own choice.
+    """
+    spark = ids.sparkSession
+    history = known_before(spark, table, "sid string, part int", stream, number)
+    asked = bounded_local(ids.select("sid", part_of(F.col("sid")).alias("part")).where("sid IS NOT NULL"), MOST_IDS)
+    if asked is None:
+        return history.select("sid")
+    parts = sorted(row["part"] for row in asked.select("part").distinct().collect())  # PARTS at most
+    hits = bounded_local(history_hits(history, asked.select("sid"), parts), MOST_IDS)
+    return history.select("sid") if hits is None else hits
+
+
 def ingest_stream(spark: SparkSession, stream: DataFrame, table: str, checkpoint: str) -> None:
     """Appends the new content of a (sid, file_path) stream to the Parquet table ``table``.
 
     Every batch goes to its own ``stream=<id>/batch=<n>`` folder with overwrite, so a batch that is repeated after a failure
-    replaces itself and nothing else; what all other batches wrote is the known content. Any number of streams, one after
-    the other, may fill one table.
+    replaces itself and nothing else; what all other batches wrote is the known content, kept in parts by a hash of the id. Any number
+    of streams, one after the other, may fill one table.
     """
 
     def write(batch: DataFrame, name: str, number: int) -> None:
-        known = known_before(spark, table, FILES_SCHEMA, name, number)
-        new_content(batch, known).write.mode("overwrite").parquet(batch_folder(table, name, number))
+        single = one_per_content(batch).persist()
+        try:
+            known = known_of(single, table, name, number)
+            store_batch(only_new_groups(single, known, "copies"), batch_folder(table, name, number))
+        finally:
+            single.unpersist()
 
     drain(stream, checkpoint, write)
 
@@ -117,16 +156,17 @@ def ingest_documents(spark: SparkSession, stream: DataFrame, root: str, checkpoi
     def write(batch: DataFrame, name: str, number: int) -> None:
         batch = batch.persist()
         try:
-            known = known_before(spark, f"{root}/tags", "sid string", name, number)
             flat, rejects = split_rejects(batch)
             rejects.write.mode("overwrite").parquet(batch_folder(f"{root}/rejects", name, number))
             fields = F.struct(*[c for c in flat.columns if c != "sid"])
             single = flat.groupBy("sid").agg(F.min_by(fields, F.to_json(fields)).alias("_row"), F.count("*").alias("_copies"))
+            known = known_of(single, f"{root}/tags", name, number)
             rows = only_new_groups(single.select("sid", "_row.*", "_copies"), known, "_copies").persist()
             try:
                 tables = feature_tables(rows)
-                for table in [*(n for n in tables if n != "tags"), "tags"]:
+                for table in [n for n in tables if n != "tags"]:
                     tables[table].write.mode("overwrite").parquet(batch_folder(f"{root}/{table}", name, number))
+                store_batch(tables["tags"], batch_folder(f"{root}/tags", name, number))
             finally:
                 rows.unpersist()
         finally:
