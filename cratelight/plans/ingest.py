@@ -10,7 +10,7 @@ from cratelight.plans import views
 from cratelight.plans.registry import query
 from cratelight.session import scratch_path
 from cratelight.sources import documents, library_xml, tables
-from cratelight.sources.audio_files import existing_only
+from cratelight.sources.audio_files import existing_only, hashed_files, list_files
 from cratelight.plans.views import scan
 from cratelight.streaming import ingest as library
 from cratelight.streaming.ingest import ingest_stream, new_content
@@ -183,7 +183,35 @@ def append_files(spark, d):
     return spark.read.parquet(path)
 
 
-@query("A15 A8", "holed_tags export", "SELECT sid, file_path FROM holed_tags WHERE file_path IN (SELECT path FROM export)")
+@query("A15", "holed_tags export", "SELECT sid, file_path FROM holed_tags WHERE file_path IN (SELECT path FROM export)")
 def existing_paths(spark, d):
     listing = views.export(spark, d).select(export_path(F.col("Location")).alias("file_path"))
     return existing_only(views.files(spark, d), listing).select("sid", "file_path")
+
+
+def _written_files(spark, d):
+    """A folder of files, two alike for every brand: what its songs add up to."""
+    brands = scan(spark, d, "part", "p_brand", "p_partkey").groupBy("p_brand").agg(F.count("*").alias("n"), F.sum("p_partkey").alias("total"))
+    text = F.concat("p_brand", F.lit(" "), F.col("n").cast("string"), F.lit(" "), F.col("total").cast("string"))
+    folder = scratch_path(spark, "drop")
+    copies = F.explode(F.array(F.lit("a"), F.lit("b"))).alias("side")
+    brands.select(text.alias("value"), F.translate("p_brand", "#", "-").alias("brand"), copies).write.partitionBy("side", "brand").text(folder)
+    return folder
+
+
+def _place(path):
+    return F.regexp_extract(path, "side=([^/]*)/brand=([^/]*)", 1).alias("side"), F.regexp_extract(path, "side=([^/]*)/brand=([^/]*)", 2).alias("brand")
+
+
+_TEXTS = "b AS (SELECT replace(p_brand, '#', '-') AS brand, p_brand || ' ' || count(*) || ' ' || sum(p_partkey) || chr(10) AS text FROM part GROUP BY p_brand)"
+
+
+@query("A8", sql=f"WITH {_TEXTS} SELECT unnest(['a', 'b']) AS side, brand, strlen(text) AS length FROM b")
+def listed_files(spark, d):
+    return list_files(spark, _written_files(spark, d), "part-*").select(*_place(F.col("file_path")), "length")
+
+
+@query("A8 A9", sql=f"WITH {_TEXTS} SELECT 'a' AS side, brand, md5(text) AS sid FROM b")
+def hashed_contents(spark, d):
+    # the copies on side b have the same content; of two paths the smaller counts
+    return hashed_files(spark, _written_files(spark, d), "part-*").select(*_place(F.col("file_path")), "sid")
