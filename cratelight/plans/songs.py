@@ -157,6 +157,40 @@ def pca2(spark, d):
     return placed.withColumns({c: F.round(c, 6) for c in ("component1", "component2")})
 
 
+_PARTS = "x AS (SELECT generate_subscripts(embedding, 1) AS pos, unnest(embedding) AS x FROM vectors)"
+
+
+@query("I11 I12", "vectors", f"""WITH {_PARTS}, v AS (SELECT var_pop(x) AS v FROM x GROUP BY pos)
+    SELECT (SELECT count(*) FROM vectors) AS n, round(sum(v), 4) AS variance, TRUE AS falling, TRUE AS uncorrelated FROM v""")
+def map_variance(spark, d):
+    # all axes together keep the whole variance, each has less than the one before, and the first two do not vary together
+    vectors = views.vectors(spark, d)
+    width = vectors.agg(F.max(F.size("embedding"))).first()[0]
+    placed = projection.fit_projection(vectors, width).apply(vectors)
+    spread = [F.var_pop(f"component{i + 1}") for i in range(width)]
+    facts = placed.agg(F.count("*").alias("n"), F.array(*spread).alias("v"), F.covar_pop("component1", "component2").alias("c"))
+    total = F.aggregate("v", F.lit(0.0), lambda total, x: total + x)
+    falling = F.forall(F.arrays_zip(F.slice("v", 1, width - 1).alias("a"), F.slice("v", 2, width - 1).alias("b")), lambda p: p["a"] >= p["b"] - 1e-9)
+    return facts.select("n", F.round(total, 4).alias("variance"), falling.alias("falling"), (F.abs("c") < 1e-6 * total).alias("uncorrelated"))
+
+
+@query("I17", "vectors", f"""WITH {_PARTS}, t AS (SELECT sum(x * x) - sum(x) * sum(x) / count(*) AS t FROM x GROUP BY pos)
+    SELECT (SELECT count(*) FROM vectors) AS n, round(sum(t), 3) AS total, TRUE AS tighter FROM t""")
+def cluster_spread(spark, d):
+    # every song is in one cluster; spread inside the clusters and between them is the whole spread, and more is between them than
+    # one and a half times what a cut at random has on average
+    vectors = views.vectors(spark, d)
+    placed, _ = projection.clusters(vectors, k=10)
+    values = placed.join(vectors, "sid").select("sid", "cluster", F.posexplode("embedding").alias("pos", "value")).withColumn("value", F.col("value").cast("double"))
+    cells = values.groupBy("cluster", "pos").agg(F.count("*").alias("n"), F.sum("value").alias("s"), F.sum(F.col("value") ** 2).alias("q"))
+    axes = cells.groupBy("pos").agg(
+        F.sum("n").alias("n"), F.sum(F.col("q") - F.col("s") ** 2 / F.col("n")).alias("inside"),
+        (F.sum(F.col("s") ** 2 / F.col("n")) - F.sum("s") ** 2 / F.sum("n")).alias("between"),
+    )
+    total, by_chance = F.sum("inside") + F.sum("between"), F.lit(9.0) / (F.max("n") - 1)
+    return axes.agg(F.max("n").alias("n"), F.round(total, 3).alias("total"), (F.sum("between") > 1.5 * by_chance * total).alias("tighter"))
+
+
 @query("I12 I11")
 def saved_projection(spark, d):
     """Fitted on every second song, saved, loaded into a fresh object, and applied to all."""
