@@ -30,13 +30,20 @@ def dedupe_ingest(spark, d):
     return new_content(_content(docs), known)
 
 
+_FILES = "sid string, file_path string"
+
+
+def _arriving(spark, d):
+    """The documents as a file stream; the table may be one file or a folder of part files, so it is named by a pattern that fits either."""
+    fields = scan(spark, d, "documents").schema
+    return spark.readStream.schema(fields).parquet(f"{d}/documents.parque[t]")
+
+
 @query("A14 A9 G3", sql=f"{_CONTENT} GROUP BY 1")
 def stream_ingest(spark, d):
     table, progress = scratch_path(spark, "files"), scratch_path(spark, "progress")
-    fields = scan(spark, d, "documents").schema
-    arriving = spark.readStream.schema(fields).option("pathGlobFilter", "documents.parquet").parquet(d)
-    ingest_stream(spark, _content(arriving), table, progress)
-    return spark.read.parquet(table).select("sid", "file_path")
+    ingest_stream(spark, _content(_arriving(spark, d)), table, progress)
+    return tables.read_or_empty(spark, table, _FILES)
 
 
 @query("A14 A9 G3", sql="""WITH c AS (SELECT lang, md5(text) AS sid, '/' || lang || '/' || source || '/' || lpad(doc_id::VARCHAR, 12, '0') AS file_path FROM documents),

@@ -111,6 +111,25 @@ def test_streams_never_replace_each_other(spark, tmp_path):
     assert sorted(spark.read.parquet(table).select("sid", "file_path").collect()) == once
 
 
+def test_streams_of_a_table_in_parts_and_of_one_file(spark, tmp_path):
+    from cratelight.plans.registry import load
+
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    rows = [(1, "one", "de", "a", 3), (2, "two", "fr", "a", 3), (3, "one", "en", "b", 3), (4, "three", "it", "a", 5)]
+    expected = {(sid, path) for sid, path in spark.createDataFrame(rows, schema).groupBy(F.md5("text")).agg(
+        F.min(F.concat(F.lit("/"), "lang", F.lit("/"), "source", F.lit("/"), F.lpad(F.col("doc_id").cast("string"), 12, "0")))).collect()}
+    for name, some in {"parts": rows, "none": []}.items():
+        spark.createDataFrame(some, schema).repartition(3).write.parquet(str(tmp_path / name / "documents.parquet"))
+    single = tmp_path / "single"
+    single.mkdir()
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "whole"))
+    next((tmp_path / "whole").glob("*.parquet")).rename(single / "documents.parquet")
+    for name in ("stream_ingest",):
+        for folder in ("parts", "single", "none"):
+            found = load()[name].run(spark, str(tmp_path / folder)).collect()
+            assert {(r.sid, r.file_path) for r in found} == (set() if folder == "none" else expected) and len(found) == len(set(found))
+
+
 def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     from cratelight.streaming.ingest import batch_folder, known_before, new_content
 
