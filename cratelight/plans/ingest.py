@@ -55,13 +55,12 @@ def stream_ingest(spark, d):
 def stream_two_sources(spark, d):
     # two overlapping sources and then everything under a third checkpoint fill one table; nothing written earlier is lost
     table = scratch_path(spark, "files")
-    fields = scan(spark, d, "documents").schema
     for languages in (["de", "en"], ["de", "fr"], None):
-        arriving = spark.readStream.schema(fields).option("pathGlobFilter", "documents.parquet").parquet(d)
+        arriving = _arriving(spark, d)
         if languages is not None:
             arriving = arriving.where(F.col("lang").isin(languages))
         ingest_stream(spark, _content(arriving), table, scratch_path(spark, "progress"))
-    return spark.read.parquet(table).select("sid", "file_path")
+    return tables.read_or_empty(spark, table, _FILES)
 
 
 @query("A16 A14", "tags", """SELECT CASE sid % 3 WHEN 0 THEN 'malformed' ELSE 'no id' END AS reason,

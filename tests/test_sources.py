@@ -124,7 +124,7 @@ def test_streams_of_a_table_in_parts_and_of_one_file(spark, tmp_path):
     single.mkdir()
     spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "whole"))
     next((tmp_path / "whole").glob("*.parquet")).rename(single / "documents.parquet")
-    for name in ("stream_ingest",):
+    for name in ("stream_ingest", "stream_two_sources"):
         for folder in ("parts", "single", "none"):
             found = load()[name].run(spark, str(tmp_path / folder)).collect()
             assert {(r.sid, r.file_path) for r in found} == (set() if folder == "none" else expected) and len(found) == len(set(found))
