@@ -17,8 +17,12 @@ def norm(vector: Column) -> Column:
 
 def cosine_distance(left: Column, right: Column) -> Column:
     """1 - cosine similarity, kept inside [0, 2]; a zero vector is at distance 1 from everything."""
-    lengths = norm(left) * norm(right)
-    distance = F.greatest(F.lit(0.0), F.least(F.lit(2.0), F.lit(1.0) - dot(left, right) / lengths))
+    return cosine_of(dot(left, right), norm(left) * norm(right))
+
+
+def cosine_of(product: Column, lengths: Column) -> Column:
+    """The cosine distance from the scalar product and the product of the lengths."""
+    distance = F.greatest(F.lit(0.0), F.least(F.lit(2.0), F.lit(1.0) - product / lengths))
     return F.when(lengths > 0, distance).when(lengths == 0, 1.0)
 
 

@@ -7,6 +7,7 @@ is one matrix product that is reduced to the best n before it leaves the task, s
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,8 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cratelight.functions.vectors import METRICS
-from cratelight.session import bounded_rows
+from cratelight.functions.vectors import METRICS, cosine_of
+from cratelight.session import bounded_rows, written
 
 DECIMALS = 6  # distances are compared at the precision of the stored vectors, so copies tie
 FEW_REFERENCES = 1024
@@ -24,6 +25,9 @@ BLOCK_BYTES = 16 << 20
 CHUNK_ROWS = 2048
 DIRECT_VALUES = 1 << 22
 MANY_CELLS = 200_000
+FEW_PAIRS = 1 << 16
+CELL_PAIRS = 1 << 21
+PAIR_ROWS = 1 << 14
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -299,29 +303,174 @@ def with_tags(neighbours: DataFrame, tags: DataFrame, fields: tuple[str, ...] =
     return neighbours.join(tags.select("sid", *fields), "sid").select("seed", "rank", "sid", *fields, "distance")
 
 
-def _score(metric: str) -> Column:
-    return F.round(METRICS[metric](F.col("_v1"), F.col("_v2")), DECIMALS)
+def _rounded(distance: Column) -> Column:
+    return F.round(distance, DECIMALS)
 
 
-def pair_distances(pairs: DataFrame, vectors: DataFrame, metric: str = "cosine") -> DataFrame:
-    """Adds the distance of both songs to a table of pairs (sid1, sid2); pairs without both vectors are left out."""
+def _joined(pairs: DataFrame, vectors: DataFrame, metric: str) -> DataFrame:
+    """``pairs`` with ``score`` by two joins: every pair carries a vector through a shuffle."""
     for i in (1, 2):
         pairs = pairs.join(vectors.select(F.col("sid").alias(f"sid{i}"), F.col("embedding").alias(f"_v{i}")), f"sid{i}")
-    return pairs.withColumn("score", _score(metric)).drop("_v1", "_v2")
+    return pairs.withColumn("score", _rounded(METRICS[metric](F.col("_v1"), F.col("_v2")))).drop("_v1", "_v2")
+
+
+class _Side:
+    """The vectors of one side of a cell, ordered by id; those that are null or hold a null have no width."""
+
+    def __init__(self, ids: list[pa.Array], vectors: list[pa.Array]):
+        ids, column = pa.chunked_array(ids), pa.chunked_array(vectors).combine_chunks()
+        widths = np.nan_to_num(column.value_lengths().to_numpy(zero_copy_only=False).astype(np.float64), nan=-1).astype(np.int64)
+        starts = np.cumsum(np.maximum(widths, 0)) - np.maximum(widths, 0)
+        elements = column.flatten()
+        holes = np.flatnonzero(elements.is_null().to_numpy(zero_copy_only=False))
+        filled = np.flatnonzero(widths > 0)
+        widths[filled[np.searchsorted(starts[filled], holes, "right") - 1]] = -1
+        names = ids.to_numpy()
+        order = np.argsort(names, kind="stable")
+        self.ids, self.widths, self.starts = names[order], widths[order], starts[order]
+        self.flat = elements.to_numpy(zero_copy_only=False).astype(np.float64)
+        self.lengths = np.zeros(len(self.ids))
+        with np.errstate(all="ignore"):
+            for width in np.unique(self.widths[self.widths > 0]).tolist():
+                same = np.flatnonzero(self.widths == width)
+                for at in np.split(same, range(PAIR_ROWS, len(same), PAIR_ROWS)):
+                    self.lengths[at] = np.sqrt(_summed((x * x for x in self.rows(at, width)), len(at)))
+
+    def places(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First place and number of the rows of each wanted id."""
+        low = np.searchsorted(self.ids, wanted, "left")
+        return low, np.searchsorted(self.ids, wanted, "right") - low
+
+    def rows(self, at: np.ndarray, width: int) -> np.ndarray:
+        """Components by row: one array for each component."""
+        return self.flat[self.starts[at][:, None] + np.arange(width)].T.copy()
+
+
+def _summed(products: Iterator[np.ndarray], n: int) -> np.ndarray:
+    """Component after component, as the column functions add."""
+    total = np.zeros(n)
+    for part in products:
+        total += part
+    return total
+
+
+def _sums(sides: list[_Side], one: np.ndarray, two: np.ndarray, metric: str) -> list[pa.Array]:
+    """(scalar product or distance, product of the lengths) of rows that meet, null where a vector has no width; sums over two
+    vectors are null for unequal widths too."""
+    first = np.zeros(len(one))
+    widths, known = sides[0].widths[one], (sides[0].widths[one] >= 0) & (sides[1].widths[two] >= 0)
+    alike = known & (widths == sides[1].widths[two])
+    with np.errstate(all="ignore"):
+        for width in np.unique(widths[alike]).tolist():
+            at = np.flatnonzero(alike & (widths == width))
+            left, right = sides[0].rows(one[at], width), sides[1].rows(two[at], width)
+            if metric == "cosine":
+                first[at] = _summed((a * b for a, b in zip(left, right, strict=True)), len(at))
+            else:
+                first[at] = np.sqrt(_summed(((a - b) * (a - b) for a, b in zip(left, right, strict=True)), len(at)))
+        second = sides[0].lengths[one] * sides[1].lengths[two]
+    return [pa.array(x, pa.float64(), mask=~m, from_pandas=False) for x, m in ((first, alike), (second, known))]
+
+
+def _scored_cells(metric: str):
+    """Scores sorted rows: in each cell the vectors of side 0, those of side 1, then (2) the pairs, which only pass through."""
+
+    def scored(sides: list[_Side], pairs: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for start in range(0, pairs.num_rows, PAIR_ROWS):
+            part = pairs.slice(start, PAIR_ROWS)
+            found = [side.places(part[f"sid{i}"].to_numpy(zero_copy_only=False)) for i, side in enumerate(sides, 1)]
+            (low1, n1), (low2, n2) = found
+            pair = np.repeat(np.arange(part.num_rows), n1 * n2)
+            turn = np.arange(len(pair)) - np.repeat(np.cumsum(n1 * n2) - n1 * n2, n1 * n2)
+            for at in range(0, len(pair), PAIR_ROWS):  # ids that repeat meet with each other
+                p, t = pair[at : at + PAIR_ROWS], turn[at : at + PAIR_ROWS]
+                ids = [part[c].take(pa.array(p)) for c in ("sid1", "sid2")]
+                sums = _sums(sides, low1[p] + t // n2[p], low2[p] + t % n2[p], metric)
+                yield pa.RecordBatch.from_arrays([*ids, *sums], ["sid1", "sid2", "_first", "_second"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, held, sides = None, None, None
+        for batch in batches:
+            slots = batch["slot"].to_numpy()
+            bounds = np.flatnonzero(np.r_[True, slots[1:] != slots[:-1], True]) if len(slots) else []
+            for low, high in zip(bounds[:-1], bounds[1:], strict=True):
+                part, (own, kind) = batch.slice(low, high - low), divmod(int(slots[low]), 3)
+                if own != cell:
+                    cell, held, sides = own, ([], []), None
+                if kind < 2:
+                    held[kind].append((part[f"sid{kind + 1}"], part["embedding"]))
+                elif held[0] and held[1]:
+                    sides = sides or [_Side(*zip(*side, strict=True)) for side in held]
+                    yield from scored(sides, part)
+
+    return run
+
+
+def _met(pairs: DataFrame, vectors: DataFrame, metric: str, blocks: int) -> DataFrame:
+    """``pairs`` (sid1, sid2) with ``score``: both sides' vectors are copied to the cells of a grid of ``blocks`` by ``blocks`` and every pair
+    goes to its cell as two ids. A task holds the vectors of one cell, whatever the number of pairs."""
+    kind = _id_type(vectors)
+
+    def block(sid: Column) -> Column:
+        return F.pmod(F.xxhash64(sid), F.lit(blocks)).cast("int")
+
+    def slot(one: Column, two: Column, side: int) -> Column:
+        return ((one * blocks + two).cast("long") * 3 + side).alias("slot")  # one number, which Spark sorts by its digits
+
+    every, none = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))), F.lit(None).cast(kind)
+    vectors = vectors.select("sid", "embedding").where("sid IS NOT NULL")
+    copies = vectors.select(block(F.col("sid")).alias("own"), every.alias("other"), "sid", "embedding")
+    rows = [
+        copies.select(slot(F.col("own"), F.col("other"), 0), F.col("sid").alias("sid1"), none.alias("sid2"), "embedding"),
+        copies.select(slot(F.col("other"), F.col("own"), 1), none.alias("sid1"), F.col("sid").alias("sid2"), "embedding"),
+        pairs.where("sid1 IS NOT NULL AND sid2 IS NOT NULL").select(
+            slot(block(F.col("sid1")), block(F.col("sid2")), 2), "sid1", "sid2",
+            F.array().cast(vectors.schema["embedding"].dataType).alias("embedding")),  # not null: a run of null arrays is slow to pass to Python
+    ]
+    parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cell = F.floor(F.col("slot") / 3)
+    placed = rows[0].union(rows[1]).union(rows[2]).repartition(min(parts, blocks * blocks), cell).sortWithinPartitions("slot")
+    sums = placed.mapInArrow(_scored_cells(metric), f"sid1 {kind}, sid2 {kind}, _first double, _second double")
+    distance = cosine_of(F.col("_first"), F.col("_second")) if metric == "cosine" else F.col("_first")
+    return sums.select("sid1", "sid2", _rounded(distance).alias("score"))
+
+
+def _grid(pairs: DataFrame, vectors: DataFrame) -> int:
+    """Blocks a side for ``_met``, or 0 where the joins shuffle less: for few pairs, or fewer than copies of vectors."""
+    if {_id_type(pairs, "sid1"), _id_type(pairs, "sid2")} != {_id_type(vectors)} or _id_type(vectors) not in ("int", "bigint", "string"):
+        return 0
+    n_pairs = pairs.count()
+    if n_pairs <= FEW_PAIRS:
+        return 0
+    size = vectors.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.greatest(F.size("embedding"), F.lit(0)).cast("long") * 4), F.lit(0)).alias("bytes")).first()
+    blocks = max(math.ceil(math.sqrt(n_pairs / CELL_PAIRS)), math.ceil(size["bytes"] / BLOCK_BYTES), 1)
+    return blocks if 2 * blocks * size["n"] < n_pairs else 0
+
+
+def pair_distances(pairs: DataFrame, vectors: DataFrame, metric: str = "cosine") -> DataFrame:
+    """Adds the distance of both songs to a table of pairs (sid1, sid2); pairs without both vectors are left out.
+
+    Pairs are written once and counted. Where they outnumber the vectors they meet them in the cells of a grid (``_met``), so no
+    pair carries a vector through a shuffle, and their scores are written, as ordering reads them twice; else they are joined.
+    """
+    if set(pairs.columns) != {"sid1", "sid2"}:
+        return _joined(pairs, vectors, metric)
+    pairs = written(pairs.select("sid1", "sid2"), "pairs")
+    blocks = _grid(pairs, vectors)
+    return written(_met(pairs, vectors, metric, blocks), "scores") if blocks else _joined(pairs, vectors, metric)
 
 
 def compare_songs(pairs: DataFrame, vectors: DataFrame, tags: DataFrame, metric: str = "cosine", ordered: bool = True) -> DataFrame:
     """Title and artist of both songs of each pair with their distance, closest first unless ``ordered`` is false.
 
-    Vector and tags of one side are joined one after the other, so the pairs are shuffled once per side. Ordering sorts all
-    pairs; a job that only stores them needs none.
+    Distances come first (``pair_distances``), so tags join only pairs that have both vectors. Ordering sorts all pairs; a job that
+    only stores them needs none.
     """
+    scored = pair_distances(pairs.select("sid1", "sid2"), vectors, metric)
     for i in (1, 2):
         sid = F.col("sid").alias(f"sid{i}")
-        pairs = pairs.join(vectors.select(sid, F.col("embedding").alias(f"_v{i}")), f"sid{i}").join(
-            tags.select(sid, F.col("title").alias(f"title{i}"), F.col("artist").alias(f"artist{i}")), f"sid{i}", "left"
-        )
-    scored = pairs.select("sid1", "title1", "artist1", "sid2", "title2", "artist2", _score(metric).alias("score"))
+        scored = scored.join(tags.select(sid, F.col("title").alias(f"title{i}"), F.col("artist").alias(f"artist{i}")), f"sid{i}", "left")
+    scored = scored.select("sid1", "title1", "artist1", "sid2", "title2", "artist2", "score")
     return scored.orderBy("score", "sid1", "sid2") if ordered else scored
 
 

@@ -566,3 +566,41 @@ def test_steps_do_not_shuffle_the_songs(spark, folder):
                 if "SortMergeJoin" in text or "FlatMapCoGroups" in text:
                     break
                 assert "Exchange" not in text
+
+
+def _odd_pairs(spark):
+    """Vectors that repeat, are null, hold nulls, are zero, empty, not finite or of other widths, and every pair of their ids."""
+    nan, inf = float("nan"), float("inf")
+    some = [(i, [0.1 * i, 0.7, -0.3 * i]) for i in range(30)] + [(30, [0.3, 0.2, 0.9]), (30, [0.1, 0.5, 0.5]), (31, None), (32, [1.0, None, 2.0]), (33, [0.0] * 3)]
+    some += [(34, []), (35, [nan, 1.0, 1.0]), (36, [inf, 1.0, 1.0]), (37, [1.0, 2.0]), (38, [2.0, 1.0]), (None, [1.0, 1.0, 1.0]), (39, []), (31, [1.0, 1.0, 0.0])]
+    vectors = spark.createDataFrame(some, "sid long, embedding array<float>")
+    ids = [*range(42), None]
+    pairs = spark.createDataFrame([(a, b) for a in ids for b in ids] + [(3, 5), (3, 5), (30, 30)], "sid1 long, sid2 long")
+    return pairs, vectors
+
+
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+def test_pairs_meet_vectors_in_a_grid_as_in_joins(spark, metric):
+    pairs, vectors = _odd_pairs(spark)
+    plain = similarity._joined(pairs, vectors, metric).collect()
+    for blocks in (1, 3):
+        met = similarity._met(pairs, vectors, metric, blocks).collect()
+        assert sorted(str((r.sid1, r.sid2, r.score)) for r in met) == sorted(str((r.sid1, r.sid2, r.score)) for r in plain)
+
+
+def test_no_pair_carries_a_vector_through_a_shuffle(spark, monkeypatch):
+    """Vectors go to the cells of a grid, pairs as ids: nothing that holds an embedding is joined or ordered."""
+    _, _, _, _, tags, vectors = _library(spark, 12)
+    pairs = similarity.pairs_of(spark, list(range(1, 60)))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = similarity._met(pairs, vectors, "cosine", 2)._jdf.queryExecution().optimizedPlan().toString()
+        assert "MapInArrow" in plan and "Join" not in plan
+        plain = similarity.compare_songs(pairs, vectors, tags).collect()
+        monkeypatch.setattr(similarity, "FEW_PAIRS", 10)
+        compared = similarity.compare_songs(pairs, vectors, tags)
+        assert "embedding" not in compared._jdf.queryExecution().optimizedPlan().toString()
+        assert compared.collect() == plain and plain
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
