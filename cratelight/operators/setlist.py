@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -119,6 +120,16 @@ class Stock:
 
     def step(self, walks: DataFrame, few_seeds: bool = False) -> DataFrame:
         """(seed, sid): the best next song of every walk (seed, excluded, bpm, initialkey, embedding)."""
+        return self.best(walks, 1, few_seeds).select("seed", "sid")
+
+    def followers(self, n: int) -> Bucketed:
+        """(sid, followers): the ``n`` best next songs of every song, best first; written, clustered by ``sid``."""
+        everyone = self.by_sid.table.withColumn("seed", F.col("sid")).withColumn("excluded", F.array("sid"))
+        ranked = self.best(everyone, n).groupBy("seed").agg(F.sort_array(F.collect_list(F.struct("rank", "sid"))).alias("ranked"))
+        return Bucketed(ranked.select(F.col("seed").alias("sid"), F.col("ranked.sid").alias("followers")), "stock_followers", ["sid"])
+
+    def best(self, walks: DataFrame, n: int, few_seeds: bool = False) -> DataFrame:
+        """(seed, sid, distance, rank): the ``n`` best next songs of every walk."""
         cells = _cells_of_seeds(walks, self.window, self.thresh, self.width)
         seed_blocks = Blocks(cells, CELL, fits=few_seeds)
         left = self.blocks.add(seed_blocks.add(cells, "_n_sb"), "_n_cb").select(
@@ -126,14 +137,38 @@ class Stock:
             F.explode(F.sequence(F.lit(0), F.col("_n_cb") - 1)).alias("_cb"), "seed", "embedding", "excluded", "bpm",
         )
         stock = self.by_cell.table
-        meet, schema = meeting(1, self.metric, self.window), f"seed {dict(left.dtypes)['seed']}, sid {dict(stock.dtypes)['sid']}, distance double"
+        meet, schema = meeting(n, self.metric, self.window), f"seed {dict(left.dtypes)['seed']}, sid {dict(stock.dtypes)['sid']}, distance double"
         group = [*CELL, "_cb"]
         found = left.where("_sb = 0").groupBy(*group).cogroup(stock.groupBy(*group)).applyInArrow(meet, schema)
         if seed_blocks.counts is not None:
             crowded = seed_blocks.counts.where("n > 1").select(*CELL, F.explode(F.sequence(F.lit(1), F.col("n") - 1)).alias("_sb"))
             copies, group = stock.join(crowded, CELL), [*group, "_sb"]
             found = found.unionByName(left.where("_sb > 0").groupBy(*group).cogroup(copies.groupBy(*group)).applyInArrow(meet, schema))
-        return keep_nearest(found, 1).select("seed", "sid")
+        return keep_nearest(found, n)
+
+
+def _once(songs: DataFrame) -> bool:
+    """Whether every song has one row."""
+    return not songs.groupBy("sid").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
+
+
+def _followed(walks: DataFrame, known: DataFrame) -> DataFrame:
+    """``walks`` with ``_next``: the best follower of the song each is at that it has not played."""
+    left = F.array_except("followers", "excluded")
+    return walks.join(known, "sid", "left").select("seed", "excluded", F.get(left, F.lit(0)).alias("_next"))
+
+
+def _walked(walks: DataFrame, n_songs: int, step: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, list[DataFrame]]:
+    """(seed, excluded) of the walks still going after ``n_songs`` steps, and of those that ended at each step."""
+    ended = []
+    for _ in range(n_songs):
+        moved = cut_lineage(step(walks).select(
+            "seed", F.col("_next").alias("sid"),
+            F.when(F.col("_next").isNull(), F.col("excluded")).otherwise(F.array_append("excluded", F.col("_next"))).alias("excluded"),
+        ))
+        ended.append(moved.where("sid IS NULL").select("seed", "excluded"))
+        walks = moved.where("sid IS NOT NULL")
+    return walks.select("seed", "excluded"), ended
 
 
 def setlists(
@@ -145,24 +180,24 @@ def setlists(
     All seeds advance together, one job per step; the loop only counts steps. A walk with nothing left to play ends
     early. Songs are written once (``Stock``); a step carries ids alone and is written to the shared checkpoint folder, so a lost
     executor repeats one step at most.
+
+    Walks that take more steps together than there are songs share the comparisons: the ``n_songs`` best next songs of every song are found
+    once, and a step takes the first that the walk has not played. That is exact, as a walk has played less than ``n_songs`` songs besides
+    the one it is at. Fewer walks compare at each step, and so do songs with several rows.
     """
     songs = playable(tags, vectors)
     with Stock(songs, bpm_window, key_thresh, metric) as stock:
         everyone = stock.by_sid.table
         start = everyone if seeds is None else only_known(everyone, seeds)
         walks = start.select(F.col("sid").alias("seed"), "sid", F.array("sid").alias("excluded"))
-        few_seeds = fits_in_one(start)
-        ended = []
-        for _ in range(n_songs):
+        if n_songs > 1 and (seeds is None or start.count() * n_songs >= everyone.count()) and _once(everyone):
+            with stock.followers(n_songs) as known:
+                paths, ended = _walked(walks, n_songs, lambda at: _followed(at, known.table))
+        else:
+            few_seeds = fits_in_one(start)
             # seeds move to other cells, so unless they fit in one block they are counted again
-            step = stock.step(stock.located(walks), few_seeds).withColumnRenamed("sid", "_next")
-            moved = cut_lineage(walks.join(step, "seed", "left").select(
-                "seed", F.col("_next").alias("sid"),
-                F.when(F.col("_next").isNull(), F.col("excluded")).otherwise(F.array_append("excluded", F.col("_next"))).alias("excluded"),
-            ))
-            ended.append(moved.where("sid IS NULL").select("seed", "excluded"))
-            walks = moved.where("sid IS NOT NULL")
-        paths = walks.select("seed", "excluded")
+            paths, ended = _walked(walks, n_songs, lambda at: at.join(
+                stock.step(stock.located(at), few_seeds).withColumnRenamed("sid", "_next"), "seed", "left"))
         if n_songs < 1:
             paths = cut_lineage(paths)
     for part in ended:

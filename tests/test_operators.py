@@ -604,3 +604,22 @@ def test_no_pair_carries_a_vector_through_a_shuffle(spark, monkeypatch):
         assert compared.collect() == plain and plain
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_walks_of_all_songs_compare_once(spark, monkeypatch):
+    """Walks from every song are those that compare at each step, and ask the blocks once; songs with two rows still compare at each step."""
+    _, _, _, _, tags, vectors = _library(spark, 60)
+    calls = []
+    best = setlist.Stock.best
+    monkeypatch.setattr(setlist.Stock, "best", lambda self, *rest: calls.append(rest[1]) or best(self, *rest))
+    shared = values(setlist.setlists(tags, vectors, n_songs=6, bpm_window=5), "seed", "order", "sid")
+    assert calls == [6] and max(order for _, order, _ in shared) == 7
+    with monkeypatch.context() as patch:
+        patch.setattr(setlist, "_once", lambda songs: False)
+        assert values(setlist.setlists(tags, vectors, n_songs=6, bpm_window=5), "seed", "order", "sid") == shared
+    assert calls == [6] + [1] * 6
+    few = tags.select("sid").orderBy("sid").limit(2)
+    some = {s for s, _, _ in values(setlist.setlists(tags, vectors, few, n_songs=3), "seed", "order", "sid")}
+    assert calls == [6] + [1] * 9 and len(some) <= 2
+    setlist.setlists(tags, vectors.unionByName(vectors.limit(3)), n_songs=2).collect()
+    assert calls == [6] + [1] * 11
