@@ -47,6 +47,46 @@ def test_library_export(spark, tmp_path):
     assert sorted((r.name, r.Name) for r in labelled.withColumnRenamed("name", "playlist").toDF("TrackID", "folder", "name", "Name").collect()) == [("Disco", "One"), ("Disco", "Two"), ("House", "Two")]
 
 
+def _odd_export(tracks):
+    odd = """ <TRACK TrackID="a" Name="One &amp; x > y" Artist=""><TEMPO Inizio="0.1" Bpm="120"/></TRACK>
+ <TRACK TrackID="b" Name='T/>w "q"' B="  s " x-y.z="1"/><TRACK TrackID="c"></TRACK><TRACK/><TRACK></TRACK>
+ <TRACK
+   TrackID="d">text<TEMPO Inizio="1"/><TEMPO Inizio="2" Bpm="4">w</TEMPO><X>1</X></TRACK>
+"""
+    many = "".join(f'<TRACK TrackID="{i}" Name="n é {i}" Location="file://x/{i}.wav"><TEMPO Inizio="{i}"/></TRACK>\n' for i in range(tracks))
+    return f'\n<C Entries="2">\n{odd}{many}<PLAYLISTS><NODE Name="p"><TRACK Key="1"/><TRACK Key="2"></TRACK></NODE></PLAYLISTS></C>'
+
+
+def _rows(df):
+    return sorted(map(str, df.select(sorted(df.columns)).collect()))
+
+
+def test_one_export_is_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    path = tmp_path / "export.xml"
+    path.write_text(_odd_export(4000))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20011")
+    try:
+        split = library_xml.read_collection(spark, str(path))
+        assert split.rdd.getNumPartitions() > 5
+        found = _rows(split)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    monkeypatch.setattr(library_xml, "_plain", lambda pieces: False)
+    whole = library_xml.read_collection(spark, str(path))
+    assert split.schema == whole.schema and found == _rows(whole) and len(found) == 4004
+
+
+@pytest.mark.parametrize("hidden", ['<!-- <TRACK TrackID="9"/> -->', '<TRACK TrackID="9"><X><![CDATA[<TRACK TrackID="8"/>]]></X></TRACK>',
+                                    '<TRACK TrackID="9"><TRACKER A="1"/><TEMPO Bpm="7"/></TRACK>'])
+def test_tags_elsewhere_are_no_tracks(spark, tmp_path, hidden, monkeypatch):
+    path = tmp_path / "export.xml"
+    path.write_text(_odd_export(3).replace("<PLAYLISTS>", f"{hidden}<PLAYLISTS>"))
+    found = _rows(library_xml.read_collection(spark, str(path)))
+    monkeypatch.setattr(library_xml, "_plain", lambda pieces: False)
+    assert found == _rows(library_xml.read_collection(spark, str(path))) and len(found) == (7 if "!--" in hidden else 8)
+
+
 def test_json_documents(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps({"metadata": {"audio_properties": {"md5_encoded": "x1", "length": 3.5}}, "rhythm": {"bpm": 120.0}}, indent=1))
     (tmp_path / "b.json").write_text('{"metadata": {"audio_properties": {"md5_encoded": ')
