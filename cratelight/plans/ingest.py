@@ -43,7 +43,7 @@ def _arriving(spark, d):
 def stream_ingest(spark, d):
     table, progress = scratch_path(spark, "files"), scratch_path(spark, "progress")
     ingest_stream(spark, _content(_arriving(spark, d)), table, progress)
-    return tables.read_or_empty(spark, table, _FILES)
+    return tables.read_or_empty(spark, table, _FILES).select("sid", "file_path")
 
 
 @query("A14 A9 G3", sql="""WITH c AS (SELECT lang, md5(text) AS sid, '/' || lang || '/' || source || '/' || lpad(doc_id::VARCHAR, 12, '0') AS file_path FROM documents),
@@ -60,7 +60,7 @@ def stream_two_sources(spark, d):
         if languages is not None:
             arriving = arriving.where(F.col("lang").isin(languages))
         ingest_stream(spark, _content(arriving), table, scratch_path(spark, "progress"))
-    return tables.read_or_empty(spark, table, _FILES)
+    return tables.read_or_empty(spark, table, _FILES).select("sid", "file_path")
 
 
 @query("A16 A14", "tags", """SELECT CASE sid % 3 WHEN 0 THEN 'malformed' ELSE 'no id' END AS reason,

@@ -166,7 +166,9 @@ def test_streams_of_a_table_in_parts_and_of_one_file(spark, tmp_path):
     next((tmp_path / "whole").glob("*.parquet")).rename(single / "documents.parquet")
     for name in ("stream_ingest", "stream_two_sources"):
         for folder in ("parts", "single", "none"):
-            found = load()[name].run(spark, str(tmp_path / folder)).collect()
+            stored = load()[name].run(spark, str(tmp_path / folder))
+            assert stored.columns == ["sid", "file_path"]
+            found = stored.collect()
             assert {(r.sid, r.file_path) for r in found} == (set() if folder == "none" else expected) and len(found) == len(set(found))
 
 
