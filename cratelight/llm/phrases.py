@@ -3,7 +3,7 @@ intervals of the Burrows-Wheeler transform by one word on either side, and the s
 
 from __future__ import annotations
 
-import zlib
+from contextlib import ExitStack
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cratelight.llm.common import U64, _classes, mix, pieces_of, slices_for, stored, table, text_bytes, tokens
+from cratelight.llm.common import U64, _classes, discard, mix, pieces_of, slices_for, stored, table, text_bytes, tokens
+from cratelight.session import Bucketed
 
 WORDS_PER_SHARD = 1_000_000
 LONGEST = 5
@@ -57,11 +58,13 @@ def words_of(texts) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
 
 
 def _squeezed(codes: np.ndarray) -> bytes:
-    return zlib.compress(codes.tobytes(), 1)
+    """Ids as compressed planes of equal bytes: as frequent words have small ids, the upper planes are nearly all 0."""
+    return zstandard.ZstdCompressor(1).compress(np.ascontiguousarray(codes, "<i4").view(np.uint8).reshape(-1, 4).T.tobytes())
 
 
-def _unsqueezed(raw: bytes, kind=np.int32) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(raw), kind)
+def _unsqueezed(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").ravel()
 
 
 class _Shard:
@@ -76,14 +79,18 @@ class _Shard:
         self.size += len(codes)
 
     def rows(self, shard: int, lang: str):
-        """The shard's sequence of local word ids (0 parts pieces), and a row for each of its words."""
+        """The shard's sequence of local word ids (0 parts pieces, then by falling count), and a row for each of its words."""
         hashes = np.concatenate([*self.parts, np.zeros(1, U64)])
         known, at = np.unique(np.concatenate(self.known), return_index=True)
         words = [w for part in self.words for w in part]
-        names = [words[i] for i in at.tolist()]
-        codes = np.where(hashes == 0, 0, np.searchsorted(known, hashes) + 1).astype(np.int32)
-        counts = np.bincount(codes, minlength=len(known) + 1)
+        codes = np.where(hashes == 0, 0, np.searchsorted(known, hashes) + 1)
         n = len(known)
+        counts = np.bincount(codes, minlength=n + 1)
+        order = np.argsort(-counts[1:], kind="stable")
+        local = np.zeros(n + 1, np.int32)
+        local[order + 1] = np.arange(1, n + 1)
+        codes, counts = local[codes], np.append(counts[:1], counts[1:][order])
+        names = [words[i] for i in at[order].tolist()]
         columns = [
             pa.array([shard] * (n + 1), pa.int64()), pa.array([lang] * (n + 1), pa.string()), pa.array([None, *range(1, n + 1)], pa.int32()),
             pa.array([None, *[w.decode("utf-8", "replace") for w in names]], pa.string()), pa.array([int(counts[1:].sum()), *counts[1:].tolist()], pa.int64()),
@@ -332,37 +339,48 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, words_per_shard: int
     A phrase is as frequent as required only if both phrases one word shorter are, so each round extends only intervals of
     phrases frequent over all shards: the numbers of those go back to the shards that hold them, and to no other. Counts
     travel packed, by shard and bucket; a bucket of phrases meets in one task, with about ``per_bucket`` counts at most
-    whatever the input, since a shard tells a phrase once.
+    whatever the input, since a shard tells a phrase once. The shards themselves lie in buckets by their number, so what goes
+    back is sent to them and no sequence passes through a shuffle.
     """
-    shards = stored(shards_of(docs, words_per_shard), "shards")
-    totals = shards.where("local IS NULL").groupBy("lang").agg(F.sum("n").alias("n"))
-    counts = F.array().cast("array<bigint>")
-    words = shards.where("local IS NOT NULL").groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
-    level = stored(words.select(
-        (F.monotonically_increasing_id() + 1).alias("gid"), "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", counts.alias("heads"), counts.alias("rests")), "words")
-    levels = [level]
-    back = shards.where("local IS NOT NULL").join(level.select("lang", F.col("phrase").alias("word"), "gid"), ["lang", "word"]).select(F.col("shard").alias("at"), "local", "gid")
-    codes = shards.where("local IS NULL").select("shard", "codes")
-    narrow = stored(codes.groupBy("shard").cogroup(back.groupBy("at")).applyInArrow(_narrow, NARROW), "narrow")
-    known = None
-    for length in range(2, LONGEST + 1):
-        buckets = slices_for(narrow.agg(F.coalesce(F.sum("n_codes"), F.lit(0))).first()[0], per_bucket)
-        if known is None:
-            found = narrow.mapInArrow(_phrases(length, buckets), FOUND)
-        else:
-            found = narrow.groupBy("shard").cogroup(known.groupBy("at")).applyInArrow(_phrases(length, buckets), FOUND)
-        summed = stored(found.groupBy("bucket").applyInArrow(_summed(min_count, length), LEVEL), "summed")
-        head = level.select(F.col("gid").alias("head"), "lang", F.col("phrase").alias("begin"), F.col("f").alias("head_f"), "heads")
-        rest = level.select(F.col("gid").alias("rest"), "last", F.col("f").alias("rest_f"), "rests")
-        grams = summed.where("shard IS NULL").select("gid", "head", "rest", "f")
-        level = stored(grams.join(head, "head").join(rest, "rest").select(
-            "gid", "lang", F.concat_ws(" ", "begin", "last").alias("phrase"), "last", "f",
-            F.concat("heads", F.array("head_f")).alias("heads"), F.concat("rests", F.array("rest_f")).alias("rests"), "head", "rest"), "phrases")
-        levels.append(level)
-        more = summed.where("shard IS NOT NULL").select(F.col("shard").alias("at"), "length", "heads", "rests", "ids")
-        if known is None:
-            narrow = stored(narrow.groupBy("shard").cogroup(more.groupBy("at")).applyInArrow(_thin, NARROW), "thin")
-        known = more if known is None else known.union(more)
+    with ExitStack() as kept:
+
+        def clustered(df: DataFrame, name: str) -> DataFrame:
+            return kept.enter_context(Bucketed(df, name, ["shard"], moved=False)).table
+
+        shards = stored(shards_of(docs, words_per_shard), "shards")
+        totals = stored(shards.where("local IS NULL").groupBy("lang").agg(F.sum("n").alias("n")), "totals")
+        counts, word = F.array().cast("array<bigint>"), Window.partitionBy("lang", "word")
+        summed = shards.where("local IS NOT NULL").select("lang", "word", "shard", "local", F.sum("n").over(word).alias("f")).where(F.col("f") >= min_count)
+        numbered = summed.withColumn("row", F.monotonically_increasing_id() + 1).withColumn("gid", F.min("row").over(word))
+        words = stored(numbered, "words")  # a row for each shard that holds a frequent word, from one shuffle
+        level = words.where("row = gid").select(
+            "gid", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", counts.alias("heads"), counts.alias("rests"))
+        levels = [level]
+        back = words.select(F.col("shard").alias("at"), "local", "gid")
+        codes = clustered(shards.where("local IS NULL").select("shard", "codes"), "codes")
+        discard(shards)
+        narrow = clustered(codes.groupBy("shard").cogroup(back.groupBy("at")).applyInArrow(_narrow, NARROW), "narrow")
+        discard(codes)
+        known = None
+        for length in range(2, LONGEST + 1):
+            buckets = slices_for(narrow.agg(F.coalesce(F.sum("n_codes"), F.lit(0))).first()[0], per_bucket)
+            if known is None:
+                found = narrow.mapInArrow(_phrases(length, buckets), FOUND)
+            else:
+                found = narrow.groupBy("shard").cogroup(known.groupBy("at")).applyInArrow(_phrases(length, buckets), FOUND)
+            summed = stored(found.groupBy("bucket").applyInArrow(_summed(min_count, length), LEVEL), "summed")
+            head = level.select(F.col("gid").alias("head"), "lang", F.col("phrase").alias("begin"), F.col("f").alias("head_f"), "heads")
+            rest = level.select(F.col("gid").alias("rest"), "last", F.col("f").alias("rest_f"), "rests")
+            grams = summed.where("shard IS NULL").select("gid", "head", "rest", "f")
+            level = stored(grams.join(head, "head").join(rest, "rest").select(
+                "gid", "lang", F.concat_ws(" ", "begin", "last").alias("phrase"), "last", "f",
+                F.concat("heads", F.array("head_f")).alias("heads"), F.concat("rests", F.array("rest_f")).alias("rests"), "head", "rest"), "phrases")
+            levels.append(level)
+            more = summed.where("shard IS NOT NULL").select(F.col("shard").alias("at"), "length", "heads", "rests", "ids")
+            if known is None:
+                wide, narrow = narrow, clustered(narrow.groupBy("shard").cogroup(more.groupBy("at")).applyInArrow(_thin, NARROW), "thin")
+                discard(wide)
+            known = more if known is None else known.union(more)
     return totals, levels
 
 

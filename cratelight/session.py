@@ -78,13 +78,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
 class Bucketed:
     """``df`` written once to the shared folder, clustered by ``columns``: joins and groupings on just these need no shuffle of it.
 
-    Used as a context; the catalog's entry goes at its end, so what is read from ``table`` has to be stored before.
+    Used as a context; the catalog's entry goes at its end, so what is read from ``table`` has to be stored before. Where rows are few
+    and large, ``moved=False`` writes them without a shuffle too: a task then adds a file to each bucket that it has rows of.
     """
 
-    def __init__(self, df: DataFrame, name: str, columns: list[str]):
+    def __init__(self, df: DataFrame, name: str, columns: list[str], moved: bool = True):
         self.spark, self.name = df.sparkSession, f"{name}_{uuid.uuid4().hex}"
         buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        writer = df.repartition(buckets, *columns).write.option("path", scratch_path(self.spark, name))
+        rows = df.repartition(buckets, *columns) if moved else df
+        writer = rows.write.option("path", scratch_path(self.spark, name))
         writer.bucketBy(buckets, *columns).sortBy(*columns).format("parquet").saveAsTable(self.name)
 
     @property

@@ -197,6 +197,53 @@ def test_phrases_of_nothing(spark):
     assert sorted(tuple(r) for r in phrases.collocations(spark.createDataFrame(few, "lang string, text string"), 3).collect()) == plain_phrases(few, 3, 10)
 
 
+def test_sequences_pass_through_no_shuffle(spark, monkeypatch):
+    """What goes back to the shards is sent to where they lie; words meet once; ids are small for frequent words, so sequences are small."""
+    from cratelight import session
+
+    plans = []
+    keep, bucket = phrases.stored, session.Bucketed.__init__
+
+    def text(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString().splitlines())
+
+    monkeypatch.setattr(phrases, "stored", lambda df, name: text(df) or keep(df, name))
+    monkeypatch.setattr(session.Bucketed, "__init__", lambda self, df, *rest, **more: text(df) or bucket(self, df, *rest, **more))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        data = spark.createDataFrame(phrase_docs(), "lang string, text string").repartition(3)
+        phrases.frequent_phrases(data, 3, 1500)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    of_words = 0
+    for lines_ in plans:
+        tree = [(len(line) - len(line.lstrip(" :+-")), line) for line in lines_]
+        for at, (depth, line) in enumerate(tree):
+            if "Exchange hashpartitioning(lang" in line and "word" in line:
+                of_words += 1
+            if "Exchange" not in line:
+                continue
+            for deeper, below in tree[at + 1 :]:  # what this exchange moves
+                if deeper <= depth or "InArrow" in below:
+                    break
+                assert "codes" not in below
+    assert plans and of_words == 1
+    sequence = phrases.np.arange(100_000) % 200
+    assert (phrases._unsqueezed(phrases._squeezed(sequence)) == sequence).all()
+
+
+def test_frequent_words_of_a_shard_have_small_ids():
+    import pyarrow as pa
+
+    shard = phrases._Shard()
+    shard.add(pa.array(["b a c. a b a", "a c d"]))
+    rows = pa.Table.from_batches(shard.rows(7, "en")).to_pylist()
+    assert [r["n"] for r in rows] == [9, 4, 2, 2, 1] and rows[1]["word"] == "a" and rows[4]["word"] == "d"
+    names = {0: "|"} | {r["local"]: r["word"] for r in rows[1:]}
+    assert "".join(names[i] for i in phrases._unsqueezed(rows[0]["codes"]).tolist()) == "|bac|aba|acd|"
+
+
 def test_scores_beyond_64_bits(spark):
     """1000 a n passes 64 bits long before the counts do."""
     from pyspark.sql import functions as F
