@@ -26,6 +26,7 @@ CHUNK_ROWS = 2048
 DIRECT_VALUES = 1 << 22
 MANY_CELLS = 200_000
 FEW_PAIRS = 1 << 16
+MANY_IDS = 1 << 20
 CELL_PAIRS = 1 << 21
 PAIR_ROWS = 1 << 14
 
@@ -447,15 +448,30 @@ def _grid(pairs: DataFrame, vectors: DataFrame) -> int:
     return blocks if 2 * blocks * size["n"] < n_pairs else 0
 
 
+def _answerable(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
+    """``pairs`` (sid1, sid2) without those of songs that have no vector, left out before pairs are grouped or written.
+
+    Up to ``MANY_IDS`` ids, counted here, are sent to the pairs; of more only the first and the last are.
+    """
+    ids = vectors.select("sid").where("sid IS NOT NULL")
+    ends = ids.agg(F.count("*").alias("n"), F.min("sid").alias("low"), F.max("sid").alias("high")).first()
+    for sid in ("sid1", "sid2"):
+        if ends["n"] <= MANY_IDS:
+            pairs = pairs.join(F.broadcast(ids.withColumnRenamed("sid", sid)), sid, "left_semi")
+        elif _id_type(pairs, sid) == _id_type(vectors):
+            pairs = pairs.where(F.col(sid).between(ends["low"], ends["high"]))
+    return pairs.select("sid1", "sid2")
+
+
 def pair_distances(pairs: DataFrame, vectors: DataFrame, metric: str = "cosine") -> DataFrame:
     """Adds the distance of both songs to a table of pairs (sid1, sid2); pairs without both vectors are left out.
 
-    Pairs are written once and counted. Where they outnumber the vectors they meet them in the cells of a grid (``_met``), so no
+    Pairs that have both (``_answerable``) are written once and counted. Where they outnumber the vectors they meet them in the cells of a grid (``_met``), so no
     pair carries a vector through a shuffle, and their scores are written, as ordering reads them twice; else they are joined.
     """
     if set(pairs.columns) != {"sid1", "sid2"}:
         return _joined(pairs, vectors, metric)
-    pairs = written(pairs.select("sid1", "sid2"), "pairs")
+    pairs = written(_answerable(pairs.select("sid1", "sid2"), vectors), "pairs")
     blocks = _grid(pairs, vectors)
     return written(_met(pairs, vectors, metric, blocks), "scores") if blocks else _joined(pairs, vectors, metric)
 

@@ -606,6 +606,23 @@ def test_no_pair_carries_a_vector_through_a_shuffle(spark, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+@pytest.mark.parametrize("many", [1 << 20, 0])
+def test_pairs_without_vectors_are_not_shuffled(spark, monkeypatch, many):
+    """They go below the grouping of the pairs: by the ids of the vectors, or by the range of very many ids. Scores stay those of joins."""
+    pairs, vectors = _odd_pairs(spark)
+    far = spark.range(1000, 1500).select(F.col("id").alias("sid1"), (F.col("id") % 40).alias("sid2"))
+    pairs = pairs.union(far).union(far.select("sid2", "sid1")).distinct()
+    plain = similarity._joined(pairs, vectors, "cosine").collect()
+    stored, keep = {}, similarity.written
+    monkeypatch.setattr(similarity, "written", lambda df, name: stored.setdefault(name, df) and keep(df, name))
+    monkeypatch.setattr(similarity, "MANY_IDS", many)
+    got = similarity.pair_distances(pairs, vectors, "cosine").collect()
+    assert sorted(str((r.sid1, r.sid2, r.score)) for r in got) == sorted(str((r.sid1, r.sid2, r.score)) for r in plain)
+    assert stored["pairs"].count() == 40 * 40
+    plan = stored["pairs"]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("Join LeftSemi" if many else "Filter")
+
+
 def test_walks_of_all_songs_compare_once(spark, monkeypatch):
     """Walks from every song are those that compare at each step, and ask the blocks once; songs with two rows still compare at each step."""
     _, _, _, _, tags, vectors = _library(spark, 60)
